@@ -64,7 +64,8 @@ def main() -> int:
     arguments = sys.argv[1:]
     sf_dir = arguments.pop(0) if arguments and os.path.isdir(arguments[0]) else "/root/testdata/sf0.01"
     spark = build_session("compare", "local[8]", {
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     connection, bad = duckdb_over(sf_dir), 0
     for name in arguments or QUERIES:

@@ -41,7 +41,7 @@ _VIEWS = {
     concat('{"product_type":"', p_size % 2, '"}') AS extend_info
   FROM part""",
     "clicks": """
-  SELECT date_trunc('millisecond', ts) AS ts, epoch_ms(ts) AS timestamp,
+  SELECT date_trunc('millisecond', ts) AS ts, epoch_us(ts) // 1000 AS timestamp,
     concat('province_', user_id % 5) AS province, concat('city_', user_id % 25) AS city,
     CAST(user_id AS INTEGER) AS user_id,
     CAST(json_extract_string(props, '$.k') AS INTEGER) AS ad_id

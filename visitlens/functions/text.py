@@ -13,15 +13,23 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
 
+def has_text(c: Column) -> Column:
+    """Neither null nor blank. After trimming spaces, a text starting with a printable character
+    is decided at once; only one that starts with a control character is searched."""
+    plain = F.trim(c)
+    rare = (plain != "") & c.rlike(r"[^\x00-\x20]")
+    return F.coalesce((plain >= "!") | rare, F.lit(False))
+
+
 def is_empty(c: Column) -> Column:
     """Null or blank. The word "null" is not empty here, unlike in ``is_not_empty``."""
-    return F.coalesce(strip(c), F.lit("")) == ""
+    return ~has_text(c)
 
 
 def is_not_empty(c: Column) -> Column:
     """Neither null, blank nor the word "null" in any case."""
-    word = F.coalesce(strip(c), F.lit(""))
-    return (word != "") & (F.lower(word) != "null")
+    lower = F.lower(c)
+    return has_text(c) & ~(lower.contains("null") & (strip(lower) == "null"))
 
 
 def trim_comma(c: Column) -> Column:
@@ -36,7 +44,7 @@ def pad2(c: Column) -> Column:
 
 def split_ids(c: Column) -> Column:
     """``a|b|c`` as an array; blank parts are removed, the others kept untrimmed."""
-    return F.filter(F.split(c, r"\|"), lambda part: strip(part) != "")
+    return F.filter(F.split(c, r"\|"), has_text)
 
 
 def _quoted(text: str) -> str:

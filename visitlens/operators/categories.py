@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.functions.text import is_empty, split_ids
+from visitlens.functions.text import has_text, split_ids
 from visitlens.operators.ranking import broadcast_bounded, top_n
 
 # Action flags.
@@ -21,9 +21,9 @@ def explode_category_actions(actions: DataFrame) -> DataFrame:
     """
     click, order, pay = (F.col(c) for c in
                          ("click_category_id", "order_category_ids", "pay_category_ids"))
-    flag = (F.when(~is_empty(click), F.lit(CLICK))
-            .when(~is_empty(order), F.lit(ORDER))
-            .when(~is_empty(pay), F.lit(PAY)))
+    flag = (F.when(has_text(click), F.lit(CLICK))
+            .when(has_text(order), F.lit(ORDER))
+            .when(has_text(pay), F.lit(PAY)))
     ids = (F.when(F.col("flag") == CLICK, F.array(click))
            .when(F.col("flag") == ORDER, split_ids(order))
            .otherwise(split_ids(pay)))

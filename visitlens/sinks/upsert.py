@@ -54,7 +54,7 @@ def read_latest(
         return spark.createDataFrame([], names)
     base = max(_versions(spark, path, full=1), default=versions[0])
     reader = spark.read.option("basePath", path).schema(
-        StructType(names.fields).add("version", "bigint").add("full", "int")
+        StructType(names.fields).add("version", "long").add("full", "integer")
     )
     rows = reader.parquet(*[f"{path}/version={v}" for v in versions if v >= base])
     newest = [F.col("version").desc(), F.col("full").desc()]

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitlens.functions.times import to_time
+from visitlens.sources.schemas import ACTION_SCHEMA, columns_of
+
 
 def scan_catalog_table(
     spark: SparkSession, name: str, columns: list[str] | None = None, *conditions: Column
@@ -35,6 +38,11 @@ def with_time(actions: DataFrame) -> DataFrame:
     """Add ``ts`` from ``action_time`` where the source did not deliver it; drops bad times."""
     if "ts" in actions.columns:
         return actions
-    from visitlens.functions.times import to_time
-
     return actions.withColumn("ts", to_time(F.col("action_time"))).where("ts IS NOT NULL")
+
+
+def project_action_record(actions: DataFrame) -> DataFrame:
+    """The 13 action columns in their types and order."""
+    return actions.select(*[
+        F.col(name).cast(kind).alias(name) for name, kind in columns_of(ACTION_SCHEMA)
+    ])
