@@ -147,15 +147,23 @@ def province_top5_ads_salted(spark, sf):
     return ads.province_top_ads(ads.ad_daily_counts(views.clicks(spark, sf)), salts=100)
 
 
-@check("stream_ad_clicks_window", "clicks", """
+_AD_WINDOWS = """
 SELECT strftime(w + INTERVAL 10 MINUTE, '%Y%m%d%H%M%S') AS date, ad_id, count(*) AS click_count
 FROM (SELECT ad_id, unnest(range(date_trunc('minute', ts) - INTERVAL 9 MINUTE,
     date_trunc('minute', ts) + INTERVAL 1 MINUTE, INTERVAL 1 MINUTE)) AS w FROM clicks)
-GROUP BY w, ad_id""")
+GROUP BY w, ad_id"""
+
+
+@check("stream_ad_clicks_window", "clicks", _AD_WINDOWS)
 def stream_ad_clicks_window(spark, sf):
     return ads.ad_click_windows(views.clicks(spark, sf))
 
 
+@check("stream_ad_clicks_window_panes", "clicks", _AD_WINDOWS)
+def stream_ad_clicks_window_panes(spark, sf):
+    return ads.ad_click_windows(views.clicks(spark, sf), panes=True)
+
+
 # Runs of batches with fewer than twelve idle ones between: gaps of at most 360 seconds.
 @check("stream_idle_expiry", "clicks", """
 SELECT strftime(min(b), '%Y-%m-%d %H:%M:%S') AS run_start, strftime(max(b), '%Y-%m-%d %H:%M:%S') AS run_end,

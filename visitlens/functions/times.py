@@ -23,6 +23,11 @@ def to_time(c: Column, pattern: str = TIME_FORMAT) -> Column:
     return F.try_to_timestamp(c, F.lit(pattern))
 
 
+def day_text(ts: Column) -> Column:
+    """``yyyy-MM-dd`` of a timestamp, without a formatter."""
+    return ts.cast("date").cast("string")
+
+
 def format_millis(c: Column, pattern: str = TIME_FORMAT) -> Column:
     return F.date_format(F.timestamp_millis(c), pattern)
 

@@ -75,16 +75,22 @@ def join_top_product(ranked: DataFrame, products: DataFrame) -> DataFrame:
     return ranked.join(products.withColumnRenamed("product_id", "_id"), key == F.col("_id")).drop("_id")
 
 
-def area_top_products(counts: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
-    """The report: the ``n`` most clicked products of each area. Ranking comes before the product
-    join, so an unlisted product leaves fewer than ``n`` rows."""
-    full = join_top_product(rank_area_products(counts, n), products)
+def area_product_report(ranked: DataFrame, products: DataFrame) -> DataFrame:
+    """The columns of the report for rows that are ranked already."""
+    full = join_top_product(ranked, products)
     full = full.withColumn("area_level", area_level(F.col("area")))
     full = full.withColumn("product_type", product_type(F.col("extend_info")))
     return full.select(*AREA_PRODUCT_COLUMNS)
 
 
+def area_top_products(counts: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
+    """The report: the ``n`` most clicked products of each area. Ranking comes before the product
+    join, so an unlisted product leaves fewer than ``n`` rows."""
+    return area_product_report(rank_area_products(counts, n), products)
+
+
 def area_top_products_of_clicks(clicks: DataFrame, cities: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
     """Both steps together; the city texts are built for the ranked products only."""
     ranked = rank_area_products(_with_cities(_city_counts(clicks, cities)), n)
-    return area_top_products(_render_cities(ranked), products, n)
+    return area_product_report(_render_cities(ranked), products)
+

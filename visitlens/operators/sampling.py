@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from visitlens.operators.ranking import broadcast_bounded, top_n
 from visitlens.sources.tables import with_time
-from visitlens.functions.times import DATE_FORMAT
+from visitlens.functions.times import day_text
 
 # Every hour gets at least 3 sessions, and at most 50 are topped up to.
 FLOOR, CAP = 3, 50
@@ -136,7 +136,7 @@ def sample_items(
 
 
 def hour_columns(time: str) -> list[Column]:
-    return [F.date_format(time, DATE_FORMAT).alias("day"), F.hour(time).alias("hour")]
+    return [day_text(F.col(time)).alias("day"), F.hour(time).alias("hour")]
 
 
 def with_hour(actions: DataFrame) -> DataFrame:

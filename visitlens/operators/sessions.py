@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlens.functions.times import DATE_FORMAT
+from visitlens.functions.times import day_text
 from visitlens.sources.tables import with_time
 
 # Fixed values: (level, longest length in ms); below a second is level A, beyond the last is H.
@@ -54,7 +54,7 @@ def hours_to_hourly(hours: DataFrame) -> DataFrame:
     """``session_hour_lengths`` computed from ``session_hours``, with the number of actions."""
     return hours.select(
         "session_id",
-        F.date_format("hour_start", DATE_FORMAT).alias("day"),
+        day_text(F.col("hour_start")).alias("day"),
         F.hour("hour_start").alias("hour"),
         (F.col("last_ms") - F.col("first_ms")).alias("length_ms"),
         "n_actions",

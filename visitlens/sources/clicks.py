@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from visitlens.functions.text import strip
 from visitlens.sources.schemas import CLICK_SCHEMA, columns_of
+from visitlens.sources.text import parse_tokens
 
 
 def topic_names(setting: str) -> list[str]:
@@ -40,20 +41,8 @@ def file_lines(spark: SparkSession, path: str, max_files: int | None = None) ->
 
 
 def _parse(lines: DataFrame) -> DataFrame:
-    tokens = F.filter(
-        F.transform(F.split("value", " "), lambda part: strip(part)), lambda part: part != ""
-    )
-    columns = columns_of(CLICK_SCHEMA)
-    fields, problems = [], [F.when(F.size("tokens") != len(columns), F.lit("width"))]
-    for position, (name, kind) in enumerate(columns):
-        token = F.get("tokens", F.lit(position))
-        field = token if kind == "string" else token.try_cast(kind)
-        fields.append(field.alias(name))
-        if kind != "string":
-            problems.append(F.when(field.isNull(), F.lit(f"number:{name}")))
-    return lines.select("value", tokens.alias("tokens")).select(
-        "value", *fields, F.coalesce(*problems).alias("reason")
-    )
+    tokens = F.filter(F.transform(F.split("value", " "), strip), lambda part: part != "")
+    return parse_tokens(lines, tokens, CLICK_SCHEMA)
 
 
 def parse_ad_click(lines: DataFrame) -> DataFrame:

@@ -2,40 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import to_time
 from visitlens.sources.schemas import ACTION_SCHEMA, PRODUCT_SCHEMA, USER_SCHEMA, columns_of
 
 
-def parse_delimited(
-    lines: DataFrame, schema: str, sep: str, time_column: str | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Split the ``value`` column of ``lines``; returns (good rows, rejected lines with reason).
+def parse_tokens(
+    lines: DataFrame, tokens: Column, schema: str, time_column: str | None = None
+) -> DataFrame:
+    """``value``, the typed columns, ``ts`` if there is a time column, and ``reason``.
 
-    Separators at the end of a line do not count towards its width, so a line whose last field
-    is empty is too short. ``time_column`` must hold a time; it is also returned as ``ts``.
+    ``reason`` is null for good lines. Tokens and fields pass through one-element generators, so
+    that the filters that follow use the finished values: pushed below a plain projection they
+    would split the line again for every field they test.
     """
     columns = columns_of(schema)
-    tokens = F.split(F.rtrim("value", F.lit(sep)), r"\Q" + sep + r"\E")
-    split = lines.select("value", tokens.alias("tokens"))
+    split = lines.select("value", F.explode(F.array(tokens)).alias("tokens"))
 
-    fields, problems = [], [F.when(F.size("tokens") != len(columns), F.lit("width"))]
+    fields = [F.size("tokens").alias("_width")]
+    problems = [F.when(F.col("_width") != len(columns), F.lit("width"))]
     for position, (name, kind) in enumerate(columns):
         token = F.get("tokens", F.lit(position))
-        field = token if kind == "string" else token.try_cast(kind)
-        fields.append(field.alias(name))
+        fields.append((token if kind == "string" else token.try_cast(kind)).alias(name))
         if kind != "string":
-            problems.append(F.when(field.isNull(), F.lit(f"number:{name}")))
+            problems.append(F.when(F.col(name).isNull(), F.lit(f"number:{name}")))
         if name == time_column:
-            ts = to_time(token)
-            fields.append(ts.alias("ts"))
-            problems.append(F.when(ts.isNull(), F.lit(f"time:{name}")))
+            fields.append(to_time(token).alias("ts"))
+            problems.append(F.when(F.col("ts").isNull(), F.lit(f"time:{name}")))
+
+    typed = split.select("value", F.inline(F.array(F.struct(*fields))))
+    return typed.withColumn("reason", F.coalesce(*problems)).drop("_width")
+
 
-    reason = F.coalesce(*problems)
-    good = split.where(reason.isNull()).select(*fields)
-    rejected = split.select("value", reason.alias("reason")).where("reason IS NOT NULL")
+def parse_delimited(
+    lines: DataFrame, schema: str, sep: str, time_column: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Split the ``value`` column of ``lines``; returns (good rows, rejected lines with reason).
+
+    Separators at the end of a line do not count towards its width, so a line whose last field
+    is empty is too short. ``time_column`` must hold a time; it is also returned as ``ts``.
+    """
+    tokens = F.split(F.rtrim("value", F.lit(sep)), r"\Q" + sep + r"\E")
+    parsed = parse_tokens(lines, tokens, schema, time_column)
+    good = parsed.where("reason IS NULL").drop("value", "reason")
+    rejected = parsed.where("reason IS NOT NULL").select("value", "reason")
     return good, rejected
 
 

@@ -178,7 +178,7 @@ def start_idle_runs(
     watermark: str = WATERMARK, trigger: dict | None = None,
 ) -> StreamingQuery:
     """Totals that restart after idle batches; a run is written when it can no longer grow."""
-    runs = ads.ad_idle_runs(clicks.withWatermark("ts", watermark))
+    runs = ads.ad_idle_runs(clicks, watermark=watermark)
     return (
         runs.writeStream.queryName("ad_idle_runs").outputMode("append").format("parquet")
         .option("path", path).option("checkpointLocation", checkpoint)
