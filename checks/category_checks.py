@@ -15,7 +15,8 @@ def _exploded(spark, sf):
 
 def _top_sessions(spark, sf):
     exploded = _exploded(spark, sf)
-    return cat.top_category_sessions(exploded, cat.top_categories(exploded))
+    return cat.top_category_sessions(
+        exploded, cat.top_categories(exploded), max_rows=cat.MAX_TOP_CATEGORIES)
 
 
 _PIVOT = """
@@ -55,8 +56,9 @@ SELECT session_id, category_id, flag FROM exploded
 WHERE category_id IN (SELECT category_id FROM category_tops)""")
 def semi_join_broadcast(spark, sf):
     exploded = _exploded(spark, sf)
-    return cat.only_categories(exploded, cat.top_categories(exploded)).select(
-        "session_id", "category_id", "flag")
+    return cat.only_categories(
+        exploded, cat.top_categories(exploded), cat.MAX_TOP_CATEGORIES,
+    ).select("session_id", "category_id", "flag")
 
 
 @check("session_category_counts", "category_tops", """
@@ -65,7 +67,8 @@ WHERE category_id IN (SELECT category_id FROM category_tops)
 GROUP BY category_id, flag, session_id""")
 def session_category_counts(spark, sf):
     exploded = _exploded(spark, sf)
-    return cat.session_category_counts(exploded, cat.top_categories(exploded))
+    return cat.session_category_counts(
+        exploded, cat.top_categories(exploded), cat.MAX_TOP_CATEGORIES)
 
 
 check("top10_category_sessions", "category_top_sessions",
@@ -76,7 +79,8 @@ check("top10_category_sessions", "category_top_sessions",
 SELECT {_RECORD} AS document FROM actions
 WHERE session_id IN (SELECT session_id FROM category_top_sessions)""")
 def top_session_details(spark, sf):
-    details = cat.top_session_details(views.actions(spark, sf), _top_sessions(spark, sf))
+    details = cat.top_session_details(
+        views.actions(spark, sf), _top_sessions(spark, sf), cat.MAX_TOP_SESSIONS)
     return doc.action_json(details)
 
 

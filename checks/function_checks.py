@@ -180,13 +180,14 @@ _AREAS = ("华东", "华南", "华北", "东北", "华中", "西南", "西北",
 
 
 @check("fn_area_level", "", """
-SELECT n_nationkey, name AS area, CASE WHEN name IN ('华东', '华南', '华北') THEN 'A' WHEN name = '东北' THEN 'B'
+SELECT c_custkey, name AS area, CASE WHEN name IN ('华东', '华南', '华北') THEN 'A' WHEN name = '东北' THEN 'B'
   WHEN name IN ('华中', '西南') THEN 'C' WHEN name = '西北' THEN 'D' ELSE 'E' END AS level
-FROM (SELECT n_nationkey, ['华东', '华南', '华北', '东北', '华中', '西南', '西北', '其它'][n_nationkey % 8 + 1] AS name FROM nation)""")
+FROM (SELECT c_custkey,
+  ['华东', '华南', '华北', '东北', '华中', '西南', '西北', '其它'][c_nationkey % 8 + 1] AS name FROM customer)""")
 def fn_area_level(spark, sf):
     names = F.array(*[F.lit(a) for a in _AREAS])
-    area = F.get(names, F.col("n_nationkey") % 8)
-    return views.table(spark, sf, "nation").select("n_nationkey", area.alias("area")).withColumn(
+    area = F.get(names, F.col("c_nationkey") % 8)
+    return views.table(spark, sf, "customer").select("c_custkey", area.alias("area")).withColumn(
         "level", business.area_level(F.col("area")))
 
 

@@ -107,8 +107,8 @@ def sql_functions(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
-@check("fn_concat_id_name", "city_info",
-       "SELECT city_id, concat(city_id, ':', city_name) AS id_name FROM city_info")
+@check("fn_concat_id_name", "", """
+SELECT c_custkey, concat(c_custkey, ':', c_name) AS id_name FROM customer""")
 def fn_concat_id_name(spark, sf):
-    return views.cities(spark, sf).select(
-        "city_id", concat_id_name(F.col("city_id"), F.col("city_name")).alias("id_name"))
+    return views.table(spark, sf, "customer").select(
+        "c_custkey", concat_id_name(F.col("c_custkey"), F.col("c_name")).alias("id_name"))

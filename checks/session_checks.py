@@ -254,12 +254,9 @@ def sample_session_rows(spark, sf):
     return doc.sample_session_rows(detail, smp.hour_top_sessions(detail), 7)
 
 
-_FILTERED_METRICS = _METRICS
-
-
-@check("job_session_analysis", "sessions hourly", _FILTERED_METRICS)
+# The whole job over all days, its first result.
+@check("job_session_analysis", "sessions hourly", _METRICS)
 def job_session_analysis(spark, sf):
-    result = analyse_sessions(
-        views.actions(spark, sf), views.users(spark, sf),
-        TaskParams.from_document({"startDate": "2024-01-01", "endDate": "2024-12-31"}), 7)
-    return result.metrics
+    params = TaskParams.from_document({"startDate": "2024-01-01", "endDate": "2024-12-31"})
+    actions, users = views.actions(spark, sf), views.users(spark, sf)
+    return analyse_sessions(actions, users, params, 7, keep=False).metrics

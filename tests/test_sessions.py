@@ -213,6 +213,7 @@ def test_whole_job(spark, tmp_path):
     params = TaskParams.from_document({"startDate": "2024-01-01", "endDate": "2024-01-01", "sex": "male"})
     result = analyse_sessions(records, users, params, 3)
     write_analysis(result, str(tmp_path), 3)
+    assert result.stored is not None
     result.close()
     metrics = json.loads(spark.read.text(f"{tmp_path}/session_metrics/task_3").first()[0])
     assert metrics["total_session_count"] == 120

@@ -212,3 +212,18 @@ def test_scratch_path_is_below_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second and first.startswith(shared)
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path):
+    from visitlens.operators.products import area_product_count, product_clicks
+
+    path = str(tmp_path / "actions")
+    actions(spark, dict(click_product_id="7")).write.partitionBy("date").parquet(path)
+    cities = spark.createDataFrame([(1, "X", "A")], "city_id int, city_name string, area string")
+    stored = spark.read.parquet(path)
+    counts = area_product_count(product_clicks(stored, "2024-01-01", "2024-01-02"), cities)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    assert "ReadSchema: struct<click_product_id:string,city_id:int>" in scan
+    assert "date" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "IsNotNull(city_id)" in scan

@@ -12,6 +12,10 @@ from visitlens.operators.ranking import broadcast_bounded, top_n
 CLICK, ORDER, PAY = 0, 1, 2
 FLAG_NAMES = {CLICK: "click", ORDER: "order", PAY: "pay"}
 
+TOP = 10
+MAX_TOP_CATEGORIES = len(FLAG_NAMES) * TOP
+MAX_TOP_SESSIONS = MAX_TOP_CATEGORIES * len(FLAG_NAMES) * TOP
+
 
 def explode_category_actions(actions: DataFrame) -> DataFrame:
     """session_id, category_id, flag: one row per category an action touches.
@@ -37,7 +41,7 @@ def category_action_counts(exploded: DataFrame) -> DataFrame:
     return exploded.groupBy("category_id", "flag").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def top_per_flag(counts: DataFrame, n: int = 10) -> DataFrame:
+def top_per_flag(counts: DataFrame, n: int = TOP) -> DataFrame:
     return top_n(counts, ["flag"], [F.col("cnt").desc(), F.col("category_id")], n)
 
 
@@ -50,8 +54,8 @@ def category_pivot(counts: DataFrame) -> DataFrame:
     ])
 
 
-def top_categories(exploded: DataFrame, n: int = 10, full_counts: bool = False) -> DataFrame:
-    """The ``n`` categories with most events of each flag, at most ``3 * n`` rows.
+def top_categories(exploded: DataFrame, n: int = TOP, full_counts: bool = False) -> DataFrame:
+    """The ``n`` categories with most events of each flag, at most three times ``n`` rows.
 
     A count is 0 where the category is not among the first ``n`` of that flag, unless
     ``full_counts`` asks for its real count.
@@ -60,18 +64,18 @@ def top_categories(exploded: DataFrame, n: int = 10, full_counts: bool = False)
     top = top_per_flag(counts, n)
     if full_counts:
         chosen = top.select("category_id").distinct()
-        top = counts.join(broadcast_bounded(chosen, 3 * n), "category_id", "left_semi")
+        top = counts.join(broadcast_bounded(chosen, len(FLAG_NAMES) * n), "category_id", "left_semi")
     return category_pivot(top)
 
 
-def only_categories(exploded: DataFrame, categories: DataFrame, max_rows: int | None = 30) -> DataFrame:
-    """Rows of the given categories. ``max_rows`` is the proven number of categories (30 for the
-    top 10 of three flags)."""
+def only_categories(exploded: DataFrame, categories: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Rows of the given categories. ``max_rows`` is the proven number of categories, if known
+    (``MAX_TOP_CATEGORIES`` for the top 10 of three flags)."""
     wanted = broadcast_bounded(categories.select("category_id"), max_rows)
     return exploded.join(wanted, "category_id", "left_semi")
 
 
-def session_category_counts(exploded: DataFrame, categories: DataFrame, max_rows: int | None = 30) -> DataFrame:
+def session_category_counts(exploded: DataFrame, categories: DataFrame, max_rows: int | None = None) -> DataFrame:
     """category_id, flag, session_id, cnt for the given categories, filtered before the shuffle."""
     return (
         only_categories(exploded, categories, max_rows)
@@ -80,7 +84,7 @@ def session_category_counts(exploded: DataFrame, categories: DataFrame, max_rows
 
 
 def top_category_sessions(
-    exploded: DataFrame, categories: DataFrame, n: int = 10, max_rows: int | None = 30
+    exploded: DataFrame, categories: DataFrame, n: int = TOP, max_rows: int | None = None
 ) -> DataFrame:
     """category_id, flag, session_id, cnt: the ``n`` sessions with most events per category and
     flag, for every flag of a category that is top in any of them."""
@@ -89,7 +93,8 @@ def top_category_sessions(
     return top_n(counts, ["category_id", "flag"], order, n)
 
 
-def top_session_details(actions: DataFrame, top_sessions: DataFrame, max_rows: int | None = 900) -> DataFrame:
-    """All actions of the given sessions (at most 30 categories x 3 flags x 10 sessions)."""
+def top_session_details(actions: DataFrame, top_sessions: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """All actions of the given sessions. ``max_rows`` is their proven number, if known
+    (``MAX_TOP_SESSIONS`` for the top 10 of every top category and flag)."""
     wanted = top_sessions.select("session_id").distinct()
     return actions.join(broadcast_bounded(wanted, max_rows), "session_id", "left_semi")

@@ -13,9 +13,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.operators.ranking import broadcast_bounded, top_n
-from visitlens.sources.tables import with_time
 from visitlens.functions.times import day_text
+from visitlens.operators.ranking import BROADCAST_ROWS, broadcast_bounded, top_n
+from visitlens.sources.tables import with_time
 
 # Every hour gets at least 3 sessions, and at most 50 are topped up to.
 FLOOR, CAP = 3, 50
@@ -160,13 +160,18 @@ def sampled_actions(
     """``session_sample_detail`` of ``sample_sessions`` without joining the drawn share.
 
     Whether a row's session is drawn follows from the row itself, so that part is a filter of
-    the scan. Only the top-up, at most ``cap`` sessions per hour, is joined.
+    the scan. Only the top-up, at most ``cap`` sessions per hour, is joined. If ``hours`` bounds
+    it to a size that can be broadcast, one scan does both; else the parts are two scans, and
+    Spark picks the join of the second.
     """
     detail = with_hour(actions)
-    drawn = detail.where(_drawn(ratio, mode, seed))
+    drawn = _drawn(ratio, mode, seed)
     topup = sample_topup(hourly, ratio, mode, floor, cap, seed)
-    added = detail.join(broadcast_bounded(topup, None if hours is None else hours * cap), KEYS)
-    return drawn.unionByName(added)
+    if hours is not None and hours * cap <= BROADCAST_ROWS:
+        marked = F.broadcast(topup.withColumn("_added", F.lit(True)))
+        both = detail.join(marked, KEYS, "left").where(drawn | F.col("_added"))
+        return both.drop("_added")
+    return detail.where(drawn).unionByName(detail.join(topup, KEYS))
 
 
 def hour_top_sessions(detail: DataFrame, n: int = 5) -> DataFrame:

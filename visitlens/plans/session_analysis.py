@@ -13,11 +13,11 @@ from visitlens.operators import sampling as smp
 from visitlens.operators import sessions as ses
 from visitlens.operators.filters import filter_actions_by_task
 from visitlens.params import TaskParams
+from visitlens.session import delete_path, write_shared
 from visitlens.sinks.files import write_document_lines
 from visitlens.sources.tables import with_time
 
-TOP_CATEGORIES, TOP_CATEGORY_SESSIONS, TOP_HOUR_SESSIONS = 10, 10, 5
-_FLAGS = len(cat.FLAG_NAMES)
+TOP_HOUR_SESSIONS = 5
 
 
 @dataclass
@@ -28,44 +28,62 @@ class SessionAnalysis:
     category_rows: DataFrame     # task_id, category_id, click_count, order_count, pay_count
     category_sessions: DataFrame  # category_id and three JSON arrays
     category_records: DataFrame  # JSON per action of the top sessions
-    hours: DataFrame             # persisted base; call ``close`` when done
+    kept: list[DataFrame]        # persisted intermediate results
+    stored: str | None           # path of the filtered actions, if they were written
 
     def close(self) -> None:
-        self.hours.unpersist()
-
+        for df in self.kept:
+            df.unpersist()
+        if self.stored:
+            delete_path(self.metrics.sparkSession, self.stored)
+
+
+def analyse_sessions(
+    actions: DataFrame, users: DataFrame | None, p: TaskParams, task_id: int, keep: bool = True
+) -> SessionAnalysis:
+    """All results as DataFrames; call ``close`` after using them.
+
+    The results scan the actions separately, each with only the columns it needs. What they
+    share is kept (``keep``) where it is small: the (session, hour) aggregate, at most 30
+    categories and 900 sessions. Persisted parts that are lost with an executor are computed
+    again. If users are filtered, the join is done once and the remaining actions are written to
+    the shared folder, instead of being joined again for every result.
+    """
+    chosen, stored = with_time(filter_actions_by_task(actions, users, p)), None
+    if keep and p.needs_users:
+        chosen, stored = write_shared(chosen, "actions")
+    kept: list[DataFrame] = []
 
-def analyse_sessions(actions: DataFrame, users: DataFrame | None, p: TaskParams, task_id: int) -> SessionAnalysis:
-    """Everything as lazy DataFrames.
+    def shared(df: DataFrame) -> DataFrame:
+        if keep:
+            kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
 
-    Only the (session, hour) aggregate is kept between them; it is small against the actions,
-    and what an executor loses of it is computed again. The actions themselves are scanned anew
-    for the parts that need single records, each time with only the columns these need.
-    """
-    kept = with_time(filter_actions_by_task(actions, users, p))
-    hours = ses.session_hours(kept).persist(StorageLevel.MEMORY_AND_DISK)
+    hours = shared(ses.session_hours(chosen))
     hourly, sessions = ses.hours_to_hourly(hours), ses.hours_to_sessions(hours)
 
-    detail = smp.sampled_actions(kept, hourly, p.session_ratio, p.sample_type, hours=p.hours)
+    detail = smp.sampled_actions(chosen, hourly, p.session_ratio, p.sample_type, hours=p.hours)
     # The number of actions of a sampled session is known from the hour aggregate already.
     sample = smp.sample_sessions(hourly, p.session_ratio, p.sample_type, extra=("n_actions",))
     top_hour = smp.rank_hour_sessions(sample, TOP_HOUR_SESSIONS)
-    top_rows = None if p.hours is None else p.hours * TOP_HOUR_SESSIONS
+    max_top_hour = None if p.hours is None else p.hours * TOP_HOUR_SESSIONS
 
-    exploded = cat.explode_category_actions(kept)
-    categories = cat.top_categories(exploded, TOP_CATEGORIES)
-    max_categories = _FLAGS * TOP_CATEGORIES
-    top_sessions = cat.top_category_sessions(exploded, categories, TOP_CATEGORY_SESSIONS, max_categories)
-    max_sessions = max_categories * _FLAGS * TOP_CATEGORY_SESSIONS
+    exploded = cat.explode_category_actions(chosen)
+    categories = shared(cat.top_categories(exploded))
+    top_sessions = shared(
+        cat.top_category_sessions(exploded, categories, max_rows=cat.MAX_TOP_CATEGORIES))
+    records = cat.top_session_details(chosen, top_sessions, cat.MAX_TOP_SESSIONS)
 
     return SessionAnalysis(
         metrics=doc.session_aggr_json(sessions, hourly),
         sampled_records=doc.sample_record_json(detail),
         sampled_rows=doc.sample_session_rows(
-            smp.with_hour(kept), top_hour, task_id, max_rows=top_rows),
+            smp.with_hour(chosen), top_hour, task_id, max_rows=max_top_hour),
         category_rows=doc.top_category_rows(categories, task_id),
         category_sessions=doc.category_sessions_json(top_sessions),
-        category_records=doc.action_json(cat.top_session_details(kept, top_sessions, max_sessions)),
-        hours=hours,
+        category_records=doc.action_json(records),
+        kept=kept,
+        stored=stored,
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,3 +41,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="visitlens-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def write_shared(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to the shared folder and return it read back, with its path."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -143,8 +143,10 @@ def start_cleaner(
 
 
 def clean_clicks(spark: SparkSession, tables: AdTables) -> DataFrame:
-    """The published clicks as a stream."""
-    return spark.readStream.schema(CLICK_SCHEMA).parquet(tables.clean)
+    """The published clicks as a stream. Looking files up recursively keeps the batch folders from
+    becoming a column, which the first batch would add to a stream started before it."""
+    reader = spark.readStream.option("recursiveFileLookup", "true").schema(CLICK_SCHEMA)
+    return reader.parquet(tables.clean)
 
 
 def start_totals(
