@@ -225,6 +225,7 @@ def stream_checkpoint(spark, sf):
         views.click_lines(clicks.where(condition)).write.mode("append").text(f"{root}/lines")
         query = rt.start_totals(
             parse_ad_click(file_lines(spark, f"{root}/lines")), tables, f"{root}/checkpoint",
-            trigger={"availableNow": True})
+            trigger={"availableNow": True},
+            state_partitions=spark.sparkContext.defaultParallelism)
         query.awaitTermination()
     return rt.read_totals(spark, tables)

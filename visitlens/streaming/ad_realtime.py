@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from visitlens.operators import ads
 from visitlens.sinks.upsert import compact, read_latest, upsert
@@ -118,27 +118,43 @@ def update_totals(batch: DataFrame, batch_id: int, tables: AdTables, top: int =
     _compact_sometimes(spark, batch_id, tables.top_ads, TOP_KEYS, TOP_SCHEMA)
 
 
+def _start(
+    writer: DataStreamWriter, trigger: dict | None, spark: SparkSession, state_partitions: int | None = None
+) -> StreamingQuery:
+    """Start a query. Its number of state partitions stays as it is at the first start on a
+    checkpoint; without one given, it is the number of shuffle partitions of the session."""
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    if state_partitions:
+        spark.conf.set(setting, str(state_partitions))
+    try:
+        return writer.trigger(**(trigger or {"processingTime": TRIGGER})).start()
+    finally:
+        spark.conf.set(setting, before)
+
+
 def start_detector(
     clicks: DataFrame, tables: AdTables, checkpoint: str, whitelist: DataFrame | None = None,
     threshold: int = ads.ABUSE_LIMIT, watermark: str = WATERMARK, trigger: dict | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     abusive = ads.user_click_windows(clicks.withWatermark("ts", watermark), threshold=threshold)
-    return (
+    return _start(
         abusive.writeStream.queryName("ad_detector").outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, i: update_blacklist(df, i, tables, whitelist))
-        .trigger(**(trigger or {"processingTime": TRIGGER})).start()
+        .foreachBatch(lambda df, i: update_blacklist(df, i, tables, whitelist)),
+        trigger, clicks.sparkSession, state_partitions,
     )
 
 
 def start_cleaner(
     clicks: DataFrame, tables: AdTables, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    return (
+    return _start(
         clicks.writeStream.queryName("ad_cleaner").outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, i: publish_clean_clicks(df, i, tables))
-        .trigger(**(trigger or {"processingTime": TRIGGER})).start()
+        .foreachBatch(lambda df, i: publish_clean_clicks(df, i, tables)),
+        trigger, clicks.sparkSession,
     )
 
 
@@ -152,45 +168,49 @@ def clean_clicks(spark: SparkSession, tables: AdTables) -> DataFrame:
 def start_totals(
     clicks: DataFrame, tables: AdTables, checkpoint: str, top: int = 5,
     watermark: str = WATERMARK, trigger: dict | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     daily = ads.ad_daily_counts(clicks.withWatermark("ts", watermark))
-    return (
+    return _start(
         daily.writeStream.queryName("ad_totals").outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, i: update_totals(df, i, tables, top))
-        .trigger(**(trigger or {"processingTime": TRIGGER})).start()
+        .foreachBatch(lambda df, i: update_totals(df, i, tables, top)),
+        trigger, clicks.sparkSession, state_partitions,
     )
 
 
 def start_windows(
     clicks: DataFrame, tables: AdTables, checkpoint: str,
     watermark: str = WATERMARK, trigger: dict | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Every (window, ad) is written once, when the watermark has passed the window."""
     counts = ads.ad_click_windows(clicks.withWatermark("ts", watermark))
-    return (
+    return _start(
         counts.writeStream.queryName("ad_windows").outputMode("append").format("parquet")
-        .option("path", tables.windows).option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": TRIGGER})).start()
+        .option("path", tables.windows).option("checkpointLocation", checkpoint),
+        trigger, clicks.sparkSession, state_partitions,
     )
 
 
 def start_idle_runs(
     clicks: DataFrame, path: str, checkpoint: str,
     watermark: str = WATERMARK, trigger: dict | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Totals that restart after idle batches; a run is written when it can no longer grow."""
     runs = ads.ad_idle_runs(clicks, watermark=watermark)
-    return (
+    return _start(
         runs.writeStream.queryName("ad_idle_runs").outputMode("append").format("parquet")
-        .option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": TRIGGER})).start()
+        .option("path", path).option("checkpointLocation", checkpoint),
+        trigger, clicks.sparkSession, state_partitions,
     )
 
 
 def start_ad_realtime(
     spark: SparkSession, clicks: DataFrame, out_dir: str, checkpoint_dir: str,
     whitelist: DataFrame | None = None, threshold: int = ads.ABUSE_LIMIT, trigger: dict | None = None,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Start the four queries on parsed clicks (see ``parse_ad_click``)."""
     tables = AdTables(out_dir)
@@ -202,9 +222,10 @@ def start_ad_realtime(
         return f"{checkpoint_dir}/{name}"
 
     published = clean_clicks(spark, tables)
+    how = {"trigger": trigger, "state_partitions": state_partitions}
     return [
-        start_detector(clicks, tables, at("detector"), whitelist, threshold, trigger=trigger),
+        start_detector(clicks, tables, at("detector"), whitelist, threshold, **how),
         start_cleaner(clicks, tables, at("cleaner"), trigger=trigger),
-        start_totals(published, tables, at("totals"), trigger=trigger),
-        start_windows(published, tables, at("windows"), trigger=trigger),
+        start_totals(published, tables, at("totals"), **how),
+        start_windows(published, tables, at("windows"), **how),
     ]
