@@ -250,8 +250,10 @@ SELECT CAST(7 AS BIGINT) AS task_id, session_id, day, hour, '[' || string_agg({_
   ORDER BY action_time, date, user_id, session_id, page_id) || ']' AS record
 FROM detail JOIN ({_TOP5}) USING (session_id, day, hour) GROUP BY session_id, day, hour""")
 def sample_session_rows(spark, sf):
-    detail = _detail(spark, sf)
-    return doc.sample_session_rows(detail, smp.hour_top_sessions(detail), 7)
+    actions = views.actions(spark, sf)
+    hourly = ses.hours_to_hourly(ses.session_hours(actions))
+    sample = smp.sample_sessions(hourly, RATIO, extra=("n_actions",))
+    return doc.sample_session_rows(smp.with_hour(actions), smp.rank_hour_sessions(sample), 7)
 
 
 # The whole job over all days, its first result.

@@ -12,70 +12,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 13 action columns and ``ts``; a session is one user and day."""
-    k, day = F.col("k"), F.col("date")
-
-    def when(kind: str, value) -> F.Column:
-        return F.when(F.col("event_type") == kind, value).otherwise(F.lit(""))
-
-    other = (k + 7) % 100
-    events = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type",
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-        F.date_trunc("second", F.col("ts").cast("timestamp")).alias("ts"),
-    ).withColumn("date", F.col("ts").cast("date").cast("string"))
-    return events.select(
-        "date", "user_id", F.concat_ws("_", "user_id", day).alias("session_id"),
-        (F.col("event_id") % 302).alias("page_id"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("action_time"),
-        when("view", F.concat(F.lit("kw_"), k % 10)).alias("search_keyword"),
-        when("click", k.cast("string")).alias("click_category_id"),
-        when("click", (2 * k).cast("string")).alias("click_product_id"),
-        when("purchase", F.concat_ws("|", k, other)).alias("order_category_ids"),
-        when("purchase", F.concat_ws("|", 2 * k, 2 * other)).alias("order_product_ids"),
-        when("signup", k.cast("string")).alias("pay_category_ids"),
-        when("signup", (2 * k).cast("string")).alias("pay_product_ids"),
-        (F.col("user_id") % 25).cast("int").alias("city_id"),
-        "ts",
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "user_id", "event_type", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
+        "date_trunc('second', CAST(ts AS TIMESTAMP)) AS ts",
+    ).selectExpr("*", "CAST(CAST(ts AS DATE) AS STRING) AS date")
+    return events.selectExpr(
+        "date", "user_id", "concat_ws('_', user_id, date) AS session_id", "event_id % 302 AS page_id",
+        "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS action_time",
+        "CASE WHEN event_type = 'view' THEN concat('kw_', k % 10) ELSE '' END AS search_keyword",
+        "CASE WHEN event_type = 'click' THEN CAST(k AS STRING) ELSE '' END AS click_category_id",
+        "CASE WHEN event_type = 'click' THEN CAST(2 * k AS STRING) ELSE '' END AS click_product_id",
+        "CASE WHEN event_type = 'purchase' THEN concat_ws('|', k, (k + 7) % 100) ELSE '' END AS order_category_ids",
+        "CASE WHEN event_type = 'purchase' THEN concat_ws('|', 2 * k, 2 * ((k + 7) % 100)) ELSE '' END AS order_product_ids",
+        "CASE WHEN event_type = 'signup' THEN CAST(k AS STRING) ELSE '' END AS pay_category_ids",
+        "CASE WHEN event_type = 'signup' THEN CAST(2 * k AS STRING) ELSE '' END AS pay_product_ids",
+        "CAST(user_id % 25 AS INT) AS city_id", "ts",
     )
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    sex = F.when(key % 3 == 0, "male").when(key % 3 == 1, "female").otherwise("unknown")
     nation = table(spark, sf_dir, "nation")
-    return table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        key.alias("user_id"), F.concat(F.lit("user_"), key).alias("user_name"),
-        F.col("c_name").alias("name"), (15 + key % 45).cast("int").alias("age"),
-        F.col("c_mktsegment").alias("professional"), F.col("n_name").alias("city"), sex.alias("sex"),
+    joined = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return joined.selectExpr(
+        "c_custkey AS user_id", "concat('user_', c_custkey) AS user_name", "c_name AS name",
+        "CAST(15 + c_custkey % 45 AS INT) AS age", "c_mktsegment AS professional", "n_name AS city",
+        "CASE c_custkey % 3 WHEN 0 THEN 'male' WHEN 1 THEN 'female' ELSE 'unknown' END AS sex",
     )
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region")
-    return table(spark, sf_dir, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").alias("city_id"), F.col("n_name").alias("city_name"),
-        F.col("r_name").alias("area"),
-    )
+    joined = table(spark, sf_dir, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return joined.selectExpr("n_nationkey AS city_id", "n_name AS city_name", "r_name AS area")
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    info = F.concat(F.lit('{"product_type":"'), F.col("p_size") % 2, F.lit('"}'))
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
-        info.alias("extend_info"),
-    )
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id", "p_name AS product_name",
+        """concat('{"product_type":"', p_size % 2, '"}') AS extend_info""")
 
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ad clicks in milliseconds."""
-    user = F.col("user_id")
-    millis = F.unix_millis(F.col("ts").cast("timestamp"))
-    return table(spark, sf_dir, "events").select(
-        F.timestamp_millis(millis).alias("ts"), millis.alias("timestamp"),
-        F.concat(F.lit("province_"), user % 5).alias("province"),
-        F.concat(F.lit("city_"), user % 25).alias("city"),
-        user.cast("int").alias("user_id"),
-        F.get_json_object("props", "$.k").cast("int").alias("ad_id"),
+    events = table(spark, sf_dir, "events").selectExpr(
+        "unix_millis(CAST(ts AS TIMESTAMP)) AS timestamp", "user_id", "props")
+    return events.selectExpr(
+        "timestamp_millis(timestamp) AS ts", "timestamp", "concat('province_', user_id % 5) AS province",
+        "concat('city_', user_id % 25) AS city", "CAST(user_id AS INT) AS user_id",
+        "CAST(get_json_object(props, '$.k') AS INT) AS ad_id",
     )
 
 

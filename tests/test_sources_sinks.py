@@ -48,7 +48,7 @@ def test_scans_of_files(spark, tmp_path):
 
 def test_click_lines(spark):
     values = {
-        "1704067200005  p c 3   4 ": None, "1704067200005 p c 3": "width", "1 p c 3 4 5": "width",
+        "1704067200005 \t p c\t \n3   4 \r": None, "1 p c 3\t4": "width", "1704067200005 p c 3": "width", "1 p c 3 4 5": "width",
         "1704067200005 p c three 4": "number:user_id", "x p c 3 4": "number:timestamp",
         "1 p c 3 4.5": "number:ad_id", "": "width",
     }

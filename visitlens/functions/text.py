@@ -34,7 +34,8 @@ def is_not_empty(c: Column) -> Column:
 
 def trim_comma(c: Column) -> Column:
     """Drop one leading and one trailing comma."""
-    return F.regexp_replace(c, "^,|,$", "")
+    rest = F.when(c.startswith(","), F.substr(c, F.lit(2))).otherwise(c)
+    return F.when(rest.endswith(","), F.left(rest, F.length(rest) - 1)).otherwise(rest)
 
 
 def pad2(c: Column) -> Column:
@@ -60,15 +61,26 @@ def get_field(c: Column, field: str, delimiter: str = "|") -> Column:
     return F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
 
 
+def _with_value(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` refers to it: inside a
+    higher-order function an outer expression is computed anew for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def set_field(c: Column, field: str, value: Column | str, delimiter: str = "|") -> Column:
     """Replace the first ``field``; the result is always joined by ``|``."""
     new_value = F.lit(value) if isinstance(value, str) else value
-    parts = F.split(F.rtrim(c, F.lit(delimiter)), _quoted(delimiter))
-    names = F.transform(parts, lambda part: F.split_part(part, F.lit("="), F.lit(1)))
-    target = F.array_position(names, field) - 1
     entry = F.concat(F.lit(field + "="), new_value)
-    changed = F.transform(parts, lambda part, i: F.when(i == target, entry).otherwise(part))
-    return F.array_join(changed, "|")
+
+    def position(parts: Column) -> Column:
+        names = F.transform(parts, lambda part: F.split_part(part, F.lit("="), F.lit(1)))
+        return F.array_position(names, field) - 1
+
+    def replace(parts: Column) -> Column:
+        return _with_value(position(parts), lambda target: F.array_join(
+            F.transform(parts, lambda part, i: F.when(i == target, entry).otherwise(part)), "|"))
+
+    return _with_value(F.split(F.rtrim(c, F.lit(delimiter)), _quoted(delimiter)), replace)
 
 
 def concat_id_name(id_: Column, name: Column) -> Column:

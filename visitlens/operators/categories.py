@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.functions.text import has_text, split_ids
+from visitlens.functions.text import has_text
 from visitlens.operators.ranking import broadcast_bounded, top_n
 
 # Action flags.
@@ -29,12 +29,12 @@ def explode_category_actions(actions: DataFrame) -> DataFrame:
             .when(has_text(order), F.lit(ORDER))
             .when(has_text(pay), F.lit(PAY)))
     ids = (F.when(F.col("flag") == CLICK, F.array(click))
-           .when(F.col("flag") == ORDER, split_ids(order))
-           .otherwise(split_ids(pay)))
-    return (
-        actions.withColumn("flag", flag).where("flag IS NOT NULL")
-        .select("session_id", F.explode(ids).alias("category_id"), "flag")
-    )
+           .when(F.col("flag") == ORDER, F.split(order, r"\|"))
+           .when(F.col("flag") == PAY, F.split(pay, r"\|")))
+    # An action without a flag has no array and gives no row.
+    exploded = actions.withColumn("flag", flag).select(
+        "session_id", F.explode(ids).alias("category_id"), "flag")
+    return exploded.where(has_text(F.col("category_id")))
 
 
 def category_action_counts(exploded: DataFrame) -> DataFrame:

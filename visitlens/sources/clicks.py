@@ -40,9 +40,12 @@ def file_lines(spark: SparkSession, path: str, max_files: int | None = None) ->
     return reader.text(path)
 
 
+# A space and all blanks around it; blanks without a space do not separate.
+_SEPARATOR = r"[\x00-\x1f]* [\x00-\x20]*"
+
+
 def _parse(lines: DataFrame) -> DataFrame:
-    tokens = F.filter(F.transform(F.split("value", " "), strip), lambda part: part != "")
-    return parse_tokens(lines, tokens, CLICK_SCHEMA)
+    return parse_tokens(lines, F.split(strip(F.col("value")), _SEPARATOR), CLICK_SCHEMA)
 
 
 def parse_ad_click(lines: DataFrame) -> DataFrame:
