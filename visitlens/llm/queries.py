@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import pii, url_cascade, warc
+from visitlens.llm import fertility, mixing, pii, url_cascade, warc
 from visitlens.llm.common import table
 
 QUERIES: dict = {}
@@ -22,6 +22,16 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op5_fertility")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.judge(table(spark, sf_dir, "documents"))
+
+
+@query("op6_pivotal_mix")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(mixing.decide(table(spark, sf_dir, "documents")))
+
+
 URL_RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
              ("net/es/", "block"), ("net/fr/", "block"))
 
