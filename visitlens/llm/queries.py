@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import fertility, mixing, pii, url_cascade, warc
+from visitlens.llm import fertility, mixing, notices, pii, toxicity, url_cascade, warc
 from visitlens.llm.common import table
 
 QUERIES: dict = {}
@@ -22,6 +22,16 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_notices")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return notices.notice_report(notices.find_notices(table(spark, sf_dir, "documents"))).drop("spans")
+
+
 @query("op5_fertility")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judge(table(spark, sf_dir, "documents"))
