@@ -31,10 +31,12 @@ from visitlens.llm.notices import words_of
 
 BITS = 22
 GAPS = (1, 2, 3)  # second word this far behind the first: bigrams and two kinds of skip-grams
-MAX_ROWS = 20_000
+PAIR_VALUE = 0.3  # a pair counts less than a word, whose value is 1: there are three times as many
+POSITIVE_WEIGHT = 2.0  # toxic texts are the rarer
+MAX_ROWS = 16_000
 MAX_WEIGHTS = 1 << 20
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 1.5, 1.0
+EPOCHS = 8
+ALPHA, BETA, L1, L2 = 6.0, 1.0, 5.0, 0.1
 THRESHOLD = 0.7
 ROWS = 512
 
@@ -51,45 +53,57 @@ class Weights:
         flags[self.places] = True
         return flags
 
-    def score(self, features: np.ndarray, flags: np.ndarray) -> float:
-        hit = np.unique(features[flags[features]])
-        total = self.bias + float(self.values[np.searchsorted(self.places, hit)].sum())
+    def score(self, found: tuple[np.ndarray, np.ndarray], flags: np.ndarray) -> float:
+        total = self.bias
+        for places, value in zip(found, (1.0, PAIR_VALUE)):
+            hit = np.unique(places[flags[places]])
+            total += value * float(self.values[np.searchsorted(self.places, hit)].sum())
         return float(1 / (1 + np.exp(-np.clip(total, -35, 35))))
 
 
-def features(text: str) -> np.ndarray:
-    """Places of all features, with repetition."""
+def features(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all words and of all pairs of words, with repetition."""
     words = words_of(text)
     ids = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
-    parts = [mixed(ids)]
-    for gap in GAPS:
-        if len(ids) > gap:
-            parts.append(mixed(ids[:-gap] * np.uint64(0x9E3779B97F4A7C15) + ids[gap:] + np.uint64(gap)))
-    return (np.concatenate(parts) >> np.uint64(64 - BITS)).astype(np.int64)
+    pairs = [mixed(ids[:-gap] * np.uint64(0x9E3779B97F4A7C15) + ids[gap:] + np.uint64(gap))
+             for gap in GAPS if len(ids) > gap]
+    shift = np.uint64(64 - BITS)
+    return ((mixed(ids) >> shift).astype(np.int64),
+            (np.concatenate(pairs) >> shift).astype(np.int64) if pairs else np.zeros(0, np.int64))
+
+
+def _example(text: str) -> tuple[np.ndarray, int]:
+    """Distinct places, words first, and how many of them are words."""
+    words, pairs = (np.unique(places).astype(np.int32) for places in features(text))
+    return np.concatenate([words, pairs]), len(words)
 
 
 def learn(examples: list[tuple[str, int]], epochs: int = EPOCHS) -> Weights:
     """FTRL-proximal over the examples in turn; a place's rate falls with the gradients it has seen."""
     z, n = np.zeros(1 << BITS, dtype=np.float32), np.zeros(1 << BITS, dtype=np.float32)
     bias_z = bias_n = 0.0
-    known = [(np.unique(features(text)).astype(np.int32), label) for text, label in examples]
+    known = [(*_example(text), label) for text, label in examples]
 
     def weights(z, n):
         return np.where(np.abs(z) <= L1, 0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
     for _ in range(epochs):
-        for at, label in known:
+        for at, n_words, label in known:
+            value = np.full(len(at), PAIR_VALUE, dtype=np.float32)
+            value[:n_words] = 1
             w = weights(z[at], n[at])
             bias = -bias_z / ((BETA + np.sqrt(bias_n)) / ALPHA)  # the bias is not regularised
-            p = 1 / (1 + np.exp(-np.clip(bias + w.sum(), -35, 35)))
-            g = p - label
-            if abs(g) < 1e-4:
+            p = 1 / (1 + np.exp(-np.clip(bias + float(value @ w), -35, 35)))
+            error = (p - label) * (POSITIVE_WEIGHT if label else 1)
+            if abs(error) < 1e-4:
                 continue
+            # A place that a word and a pair share gets one of the two updates.
+            g = (error * value).astype(np.float32)
             rate = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
             z[at] += g - rate * w
             n[at] += g * g
-            bias_z += g - (np.sqrt(bias_n + g * g) - np.sqrt(bias_n)) / ALPHA * bias
-            bias_n += g * g
+            bias_z += error - (np.sqrt(bias_n + error * error) - np.sqrt(bias_n)) / ALPHA * bias
+            bias_n += error * error
     w = weights(z, n)
     places = np.flatnonzero(w)
     bias = -bias_z / ((BETA + np.sqrt(bias_n)) / ALPHA)
