@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import fertility, mixing, notices, pii, toxicity, url_cascade, warc
+from visitlens.llm import fertility, mixing, notices, packing, pii, toxicity, url_cascade, warc
 from visitlens.llm.common import table
 
 QUERIES: dict = {}
@@ -22,6 +22,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_packed_ids")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op2_toxicity")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
