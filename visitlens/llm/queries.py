@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import fertility, mixing, notices, packing, pii, toxicity, url_cascade, warc
+from visitlens.llm import fertility, mixing, neardup, notices, packing, pii, toxicity, url_cascade, warc
 from visitlens.llm.common import table
 
 QUERIES: dict = {}
@@ -76,6 +76,31 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_cascade.judge_pages(table(spark, sf_dir, "pages"), rules)
 
 
+@query("op8_minhash", r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 OR w IS NULL THEN [] ELSE list_distinct(list_transform(
+    range(1, greatest(len(w) - 3, 2)), lambda i: hash(array_to_string(w[i:i + 4], ' ')))) END AS s FROM split),
+shingle AS (SELECT doc_id, unnest(s) AS g FROM sets),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY ALL),
+link AS (
+  SELECT x, y FROM common JOIN sets p ON p.doc_id = x JOIN sets q ON q.doc_id = y
+  WHERE 100 * n >= 85 * (len(p.s) + len(q.s) - n)),
+edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach(doc_id, other) AS (
+  SELECT x, y FROM edge UNION SELECT r.doc_id, e.y FROM reach r JOIN edge e ON r.other = e.x),
+least_one AS (SELECT doc_id, min(other) AS m FROM reach GROUP BY doc_id)
+SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(sets.doc_id, coalesce(m, sets.doc_id)) AS component_id,
+  sets.doc_id = least(sets.doc_id, coalesce(m, sets.doc_id)) AS kept
+FROM sets LEFT JOIN least_one USING (doc_id)""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op9_pii")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digest(pii.find_personal_data(table(spark, sf_dir, "documents")))
