@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm import fertility, mixing, neardup, notices, packing, pii, toxicity, url_cascade, warc
+from visitlens.llm import (decontamination, fertility, mixing, neardup, notices, packing, pii, toxicity, url_cascade,
+                           warc)
 from visitlens.llm.common import table
 
 QUERIES: dict = {}
@@ -32,6 +33,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op3_latent_leaks")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op4_notices")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notices.notice_report(notices.find_notices(table(spark, sf_dir, "documents"))).drop("spans")
