@@ -1,0 +1,108 @@
+"""Leaks: planted verbatim and paraphrased items are found, clean texts are left alone."""
+
+import random
+
+import numpy as np
+
+from tests.llm.helpers import documents, prose
+from visitlens.llm import decontamination as dc
+
+
+def brute_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = row[:]
+        for j, y in enumerate(b, 1):
+            row[j] = last[j - 1] + 1 if x == y else max(last[j], row[j - 1])
+    return row[-1]
+
+
+def test_common_subsequence():
+    draw = random.Random(1)
+    for _ in range(300):
+        a, b = ([draw.randint(0, 5) for _ in range(draw.randint(0, 30))] for _ in range(2))
+        b = [x + 1 for x in b] or [1]
+        assert dc.common_subsequence(a, *dc._masks(np.array(b))) == brute_common(a, b)
+
+
+def items(spark, n=30):
+    draw = random.Random(2)
+    texts = {i: prose(10_000 + i, draw.randint(12, 55)) for i in range(n)}
+    return texts, spark.createDataFrame([(i, t, "x") for i, t in texts.items()], "item_id long, text string, doc_id string")
+
+
+def paraphrase(text, draw):
+    words = text.split()
+    for _ in range(len(words) // 8):
+        at = draw.randrange(len(words) * 3 // 4)
+        words[at:at + 1] = draw.choice([[], ["newword"], [words[at], "extra"]])
+    return " ".join(words)
+
+
+def test_planted_leaks(spark):
+    draw = random.Random(3)
+    texts, benchmark = items(spark)
+    rows, want = [], set()
+    for i in range(400):
+        words = prose(i, draw.randint(0, 400)).split()
+        if i % 8 == 0:
+            item = draw.randrange(len(texts))
+            passage = texts[item].upper().replace(" ", ", ", 3) if i % 16 else paraphrase(texts[item], draw)
+            words.insert(draw.randint(0, len(words)), passage)
+            want.add((i, item))
+        rows.append((i, " ".join(words), "en", "s"))
+    df = documents(spark, rows)
+    for block in (dc.BLOCK_CHARS, 2_000):
+        found = {(r["doc_id"], r["item_id"]) for r in dc.find_leaks(df, benchmark, block_chars=block).collect()}
+        assert found == want
+    clean = dc.clean_documents(df, benchmark)
+    assert clean.columns == df.columns
+    assert {r["doc_id"] for r in clean.collect()} == set(range(400)) - {i for i, _ in want}
+
+
+def test_the_answer_must_be_there(spark):
+    texts, _ = items(spark)
+    answer = prose(77, 4)
+    benchmark = spark.createDataFrame([(1, texts[0], answer)], "item_id long, text string, answer string")
+    rows = [(1, prose(1, 40) + " " + texts[0] + " " + prose(2, 40), "", ""), (2, texts[0] + " " + answer, "", "")]
+    rows += [(10 + i, prose(i, 100), "", "") for i in range(50)]
+    assert [r["doc_id"] for r in dc.find_leaks(documents(spark, rows), benchmark).collect()] == [2]
+
+
+def test_frequencies(spark):
+    texts = [np.array(t, dtype="<u2") for t in ([1] * 70 + [2], [], [2, 0, 1])]
+    n, passage, term, count = dc.passage_counts(texts, 3)
+    assert n == 3
+    assert list(zip(passage, term, count)) == [(0, 1, 64), (1, 1, 6), (1, 2, 1), (2, 1, 1), (2, 2, 1)]
+    df = spark.createDataFrame([(i, bytearray(t.tobytes())) for i, t in enumerate(texts)], "doc_id long, terms binary")
+    assert np.allclose(dc.inverse_frequencies(df, 3, "<u2"), np.array([0, *(dc.FLOOR + np.log([4 / 4, 4 / 3, 4 / 1]))]))
+
+
+def test_directions_are_those_of_a_full_decomposition(spark):
+    draw = np.random.default_rng(5)
+    topics = draw.dirichlet(np.full(40, 0.05), 4)
+    texts = [draw.choice(40, 64, p=topics[i % 4]).astype("<u2") + 1 for i in range(300)]
+    df = spark.createDataFrame([(i, bytearray(t.astype("<u2").tobytes())) for i, t in enumerate(texts)],
+                               "doc_id long, terms binary")
+    weights = dc.inverse_frequencies(df, 40, "<u2")
+    found = dc.latent_directions(df, weights, "<u2", directions=4, oversample=12)
+    rows = np.stack([np.bincount(t, minlength=41) * weights for t in texts])
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    _, _, right = np.linalg.svd(rows, full_matrices=False)
+    basis, _ = np.linalg.qr(np.divide(found, weights[:, None], out=np.zeros_like(found), where=weights[:, None] > 0))
+    assert np.linalg.svd(basis.T @ right[:4].T)[1].min() > 0.98
+
+
+def test_odd_tables(spark):
+    texts, benchmark = items(spark, 3)
+    odd = documents(spark, [(None, texts[0], None, None), (None, "a", None, None), (1, None, "", ""), (2, "", "", ""),
+                            (3, texts[1], "", ""), (3, texts[1], "", ""), (4, "z " * 50_000, "", "")])
+    found = sorted(((r["doc_id"], r["item_id"]) for r in dc.find_leaks(odd, benchmark).collect()), key=str)
+    assert found == [(3, 1), (3, 1), (None, 0)]
+    assert dc.find_leaks(documents(spark, []), benchmark).count() == 0
+    assert dc.find_leaks(odd, benchmark.filter("false")).count() == 0
+    assert {r["doc_id"] for r in dc.clean_documents(odd, benchmark).collect()} == {1, 2, 4}
+    alone = documents(spark, [(1, texts[0], "", "")])
+    assert [r["doc_id"] for r in dc.find_leaks(alone, benchmark).collect()] == [1]
+    none = spark.createDataFrame([(1, None), (2, "...")], "item_id long, text string")
+    assert dc.find_leaks(odd, none).count() == 0

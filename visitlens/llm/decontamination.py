@@ -37,6 +37,7 @@ from visitlens.llm.notices import words_of
 
 PASSAGE = 64
 DIRECTIONS, OVERSAMPLE = 64, 16
+FLOOR = 0.05  # weight of a term that all passages have
 MIN_COSINE = 0.4
 MIN_COVER, MIN_ANSWER = 0.6, 0.5
 LEAST_WINDOW = 16
@@ -124,7 +125,7 @@ def _sum_by(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def inverse_frequencies(texts: DataFrame, n_terms: int, width: str) -> np.ndarray:
-    """log((1 + passages) / (1 + passages with the term)) by term number; 0 for number 0."""
+    """FLOOR + log((1 + passages) / (1 + passages with the term)) by term number; 0 for number 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         total = np.zeros(n_terms + 1)
@@ -137,9 +138,9 @@ def inverse_frequencies(texts: DataFrame, n_terms: int, width: str) -> np.ndarra
     total = summed(texts.select("terms").mapInArrow(run, "part binary"))
     if total is None:
         return np.zeros(n_terms + 1)
-    result = np.log((1 + total[0]) / (1 + total))
+    result = FLOOR + np.log((1 + total[0]) / (1 + total))
     result[0] = 0
-    return np.maximum(result, 0)
+    return result
 
 
 def latent_directions(texts: DataFrame, weights: np.ndarray, width: str, directions: int = DIRECTIONS,
@@ -172,12 +173,12 @@ def latent_directions(texts: DataFrame, weights: np.ndarray, width: str, directi
     if total is None or not total.any():
         return np.zeros((n_terms + 1, 1), dtype=np.float32)
     product = total.reshape(n_terms + 1, wide)
-    # A'A is about F F' with F = Y C**-1 for the Cholesky factor C of G'Y; a little of the identity steadies it.
-    shift = np.sqrt(n_terms) * 1e-9 * np.linalg.norm(product)
-    product = product + shift * probe
+    # Nystrom: A'A is about F F' with F = Y W D**-1/2, where W and D are vectors and values of G'Y that
+    # are not lost in rounding.
     core = probe.T.astype(np.float64) @ product
-    lower = np.linalg.cholesky((core + core.T) / 2 + 1e-12 * np.trace(core) * np.eye(wide))
-    vectors, values, _ = np.linalg.svd(np.linalg.solve(lower, product.T).T, full_matrices=False)
+    roots, turn = np.linalg.eigh((core + core.T) / 2)
+    sound = roots > 1e-10 * roots[-1]
+    vectors, values, _ = np.linalg.svd(product @ turn[:, sound] / np.sqrt(roots[sound]), full_matrices=False)
     keep = min(directions, int((values > 1e-6 * values[0]).sum()))
     return (weights[:, None] * vectors[:, :keep] / values[:keep]).astype(np.float32)
 
