@@ -38,7 +38,34 @@ def _whitelist(spark):
 
 def _abusive(spark, sf):
     windows = ads.user_click_windows(views.clicks(spark, sf), threshold=LIMIT)
-    return ads.anti_join_whitelist(windows, _whitelist(spark), WHITELISTED)
+    return ads.anti_join_whitelist(windows, _whitelist(spark))
+
+
+def _click_stream(spark, sf, root):
+    """The clicks as messages in files, read as a stream and parsed."""
+    views.click_lines(views.clicks(spark, sf)).write.text(f"{root}/lines")
+    return parse_ad_click(file_lines(spark, f"{root}/lines"))
+
+
+def _once(spark):
+    return {"trigger": {"availableNow": True}, "state_partitions": spark.sparkContext.defaultParallelism}
+
+
+def _run(query):
+    query.awaitTermination()
+
+
+def _ad_job(spark, sf, label):
+    """The four queries of the job, each run to its end before the next starts."""
+    root = scratch_path(spark, label)
+    tables, how = rt.AdTables(f"{root}/tables"), _once(spark)
+    clicks = _click_stream(spark, sf, root)
+    _run(rt.start_detector(clicks, tables, f"{root}/c/detector", lambda: _whitelist(spark), LIMIT, **how))
+    _run(rt.start_cleaner(clicks, tables, f"{root}/c/cleaner", trigger=how["trigger"]))
+    published = rt.clean_clicks(spark, tables)
+    _run(rt.start_totals(published, tables, f"{root}/c/totals", **how))
+    _run(rt.start_windows(published, tables, f"{root}/c/windows", **how))
+    return tables
 
 
 def _formatted(windows):
@@ -90,9 +117,15 @@ def anti_join_whitelist(spark, sf):
     return _formatted(_abusive(spark, sf))
 
 
-@check("stream_blacklist_update", "blacklist", "SELECT user_id, count FROM blacklist")
+# The detector as a stream, then a listed user with an even id taken off by hand.
+@check("stream_blacklist_update", "blacklist", "SELECT user_id, count FROM blacklist WHERE user_id % 2 = 1")
 def stream_blacklist_update(spark, sf):
-    return ads.blacklist_entries(_abusive(spark, sf))
+    root = scratch_path(spark, "detector")
+    tables = rt.AdTables(root)
+    _run(rt.start_detector(_click_stream(spark, sf, root), tables, f"{root}/checkpoint", lambda: _whitelist(spark),
+                           LIMIT, **_once(spark)))
+    rt.remove_users(rt.read_blacklist(spark, tables).where("user_id % 2 = 0"), tables, "2100-01-01 00:00:00")
+    return rt.read_blacklist(spark, tables)
 
 
 def _clean(spark, sf):
@@ -121,7 +154,7 @@ def stream_blacklist_filter(spark, sf):
     rt.update_blacklist(
         ads.user_click_windows(clicks, threshold=LIMIT), 0, tables, _whitelist(spark))
     rt.publish_clean_clicks(clicks, 1, tables)
-    return spark.read.schema(rt.CLICK_SCHEMA).parquet(tables.clean).select(
+    return spark.read.schema(f"{rt.CLICK_SCHEMA}, writer string, batch int").parquet(tables.clean).select(
         "batch", F.unix_millis("ts").alias("ts"), *_CLICK_LIST.split(", "))
 
 
@@ -199,7 +232,35 @@ def stream_province_top5(spark, sf):
 
 @check("job_ad_realtime", "blacklist", _TOP5.format(daily=_CLEAN_DAILY))
 def job_ad_realtime(spark, sf):
-    return ads.province_top_ads(ads.ad_daily_counts(_clean(spark, sf)))
+    return rt.read_top_ads(spark, _ad_job(spark, sf, "ad-job"))
+
+
+# The four tables of the job, one after the other. Windows are written once the watermark, ten minutes
+# behind the last clean click, has passed them.
+@check("stream_result_tables", "blacklist", f"""
+WITH clean AS (SELECT * FROM clicks WHERE user_id NOT IN (SELECT user_id FROM blacklist)),
+totals AS (SELECT * FROM {_CLEAN_DAILY}),
+spread AS (
+  SELECT ad_id, unnest(range(date_trunc('minute', ts) - INTERVAL 9 MINUTE,
+    date_trunc('minute', ts) + INTERVAL 1 MINUTE, INTERVAL 1 MINUTE)) + INTERVAL 10 MINUTE AS w_end FROM clean)
+SELECT 'black_users' AS result, CAST(user_id AS VARCHAR) AS key, CAST(count AS BIGINT) AS n FROM blacklist
+UNION ALL SELECT 'totals', concat_ws('|', date, province, city, ad_id), click_count FROM totals
+UNION ALL SELECT 'top_ads', concat_ws('|', date, province, rank, ad_id), click_count
+  FROM ({_TOP5.format(daily='totals')})
+UNION ALL SELECT 'windows', concat_ws('|', strftime(w_end, '%Y%m%d%H%M%S'), ad_id), count(*)
+  FROM spread WHERE w_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM clean) GROUP BY w_end, ad_id""")
+def stream_result_tables(spark, sf):
+    tables = _ad_job(spark, sf, "ad-tables")
+    windows = spark.read.schema("date string, ad_id int, click_count bigint").parquet(tables.windows)
+    parts = (
+        ("black_users", rt.read_blacklist(spark, tables), ["user_id"], "count"),
+        ("totals", rt.read_totals(spark, tables), ads.DAILY_KEYS, "click_count"),
+        ("top_ads", rt.read_top_ads(spark, tables), [*rt.TOP_KEYS, "ad_id"], "click_count"),
+        ("windows", windows, ["date", "ad_id"], "click_count"),
+    )
+    rows = [df.select(F.lit(name).alias("result"), F.concat_ws("|", *keys).alias("key"), F.col(n).alias("n"))
+            for name, df, keys, n in parts]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
 
 
 # A file stream of click messages, parsed and written out by the exactly-once file sink.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from checks import views
 from checks.registry import check
-from checks.session_checks import _RECORD
+from checks.session_checks import _RECORD, job_result
 from visitlens.operators import categories as cat
 from visitlens.operators import documents as doc
 
@@ -15,11 +15,10 @@ def _exploded(spark, sf):
 
 def _top_sessions(spark, sf):
     exploded = _exploded(spark, sf)
-    return cat.top_category_sessions(
-        exploded, cat.top_categories(exploded), max_rows=cat.MAX_TOP_CATEGORIES)
+    return cat.top_category_sessions(exploded, cat.top_categories(exploded))
 
 
-_PIVOT = """
+PIVOT = """
 SELECT category_id, CAST(coalesce(max(cnt) FILTER (WHERE flag = 0), 0) AS BIGINT) AS click_count,
   CAST(coalesce(max(cnt) FILTER (WHERE flag = 1), 0) AS BIGINT) AS order_count,
   CAST(coalesce(max(cnt) FILTER (WHERE flag = 2), 0) AS BIGINT) AS pay_count
@@ -35,17 +34,17 @@ def category_action_counts(spark, sf):
     return cat.category_action_counts(_exploded(spark, sf))
 
 
-@check("category_pivot", "category_counts", _PIVOT.format(source="category_counts"))
+@check("category_pivot", "category_counts", PIVOT.format(source="category_counts"))
 def category_pivot(spark, sf):
     return cat.category_pivot(cat.category_action_counts(_exploded(spark, sf)))
 
 
-@check("top10_categories", "category_tops", _PIVOT.format(source="category_tops"))
+@check("top10_categories", "category_tops", PIVOT.format(source="category_tops"))
 def top10_categories(spark, sf):
     return cat.top_categories(_exploded(spark, sf))
 
 
-@check("top10_categories_full_counts", "category_tops", _PIVOT.format(
+@check("top10_categories_full_counts", "category_tops", PIVOT.format(
     source="category_counts WHERE category_id IN (SELECT category_id FROM category_tops)"))
 def top10_categories_full_counts(spark, sf):
     return cat.top_categories(_exploded(spark, sf), full_counts=True)
@@ -56,9 +55,7 @@ SELECT session_id, category_id, flag FROM exploded
 WHERE category_id IN (SELECT category_id FROM category_tops)""")
 def semi_join_broadcast(spark, sf):
     exploded = _exploded(spark, sf)
-    return cat.only_categories(
-        exploded, cat.top_categories(exploded), cat.MAX_TOP_CATEGORIES,
-    ).select("session_id", "category_id", "flag")
+    return cat.only_categories(exploded, cat.top_categories(exploded)).select("session_id", "category_id", "flag")
 
 
 @check("session_category_counts", "category_tops", """
@@ -67,8 +64,7 @@ WHERE category_id IN (SELECT category_id FROM category_tops)
 GROUP BY category_id, flag, session_id""")
 def session_category_counts(spark, sf):
     exploded = _exploded(spark, sf)
-    return cat.session_category_counts(
-        exploded, cat.top_categories(exploded), cat.MAX_TOP_CATEGORIES)
+    return cat.session_category_counts(exploded, cat.top_categories(exploded))
 
 
 check("top10_category_sessions", "category_top_sessions",
@@ -79,25 +75,34 @@ check("top10_category_sessions", "category_top_sessions",
 SELECT {_RECORD} AS document FROM actions
 WHERE session_id IN (SELECT session_id FROM category_top_sessions)""")
 def top_session_details(spark, sf):
-    details = cat.top_session_details(
-        views.actions(spark, sf), _top_sessions(spark, sf), cat.MAX_TOP_SESSIONS)
+    details = cat.top_session_details(views.actions(spark, sf), _top_sessions(spark, sf))
     return doc.action_json(details)
 
 
-_ARRAY = """coalesce('[' || string_agg('{{"sessionid":"' || session_id || '","count":' || cnt || '}}', ','
+ARRAY = """coalesce('[' || string_agg('{{"sessionid":"' || session_id || '","count":' || cnt || '}}', ','
   ORDER BY cnt, session_id) FILTER (WHERE flag = {flag}) || ']', '') AS {name}_sessions"""
 
 
 @check("category_sessions_json", "category_top_sessions",
        "SELECT category_id, " + ", ".join(
-           _ARRAY.format(flag=flag, name=name) for flag, name in cat.FLAG_NAMES.items())
+           ARRAY.format(flag=flag, name=name) for flag, name in cat.FLAG_NAMES.items())
        + " FROM category_top_sessions GROUP BY category_id")
 def category_sessions_json(spark, sf):
     return doc.category_sessions_json(_top_sessions(spark, sf))
 
 
-# The rows given to the database writer; the insert itself needs a database.
-@check("sink_jdbc_append", "category_tops",
-       _PIVOT.format(source="category_tops").replace("SELECT", "SELECT CAST(7 AS BIGINT) AS task_id,", 1))
+# The rows given to the database writer; the insert itself needs a database, which may not be started here.
+@check("top10_category_rows", "category_tops",
+       PIVOT.format(source="category_tops").replace("SELECT", "SELECT CAST(7 AS BIGINT) AS task_id,", 1))
 def top10_category_rows(spark, sf):
     return doc.top_category_rows(cat.top_categories(_exploded(spark, sf)), 7)
+
+
+job_result("category_rows", "category_tops",
+           PIVOT.format(source="category_tops").replace("SELECT", "SELECT CAST(7 AS BIGINT) AS task_id,", 1))
+job_result("category_sessions", "category_top_sessions",
+           "SELECT category_id, " + ", ".join(ARRAY.format(flag=f, name=n) for f, n in cat.FLAG_NAMES.items())
+           + " FROM category_top_sessions GROUP BY category_id")
+job_result("category_records", "category_top_sessions", f"""
+SELECT {_RECORD} AS document FROM actions
+WHERE session_id IN (SELECT session_id FROM category_top_sessions)""")

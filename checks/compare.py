@@ -60,6 +60,7 @@ def main() -> int:
     from visitlens.session import build_session
 
     from checks.queries import QUERIES, SQL
+    from checks.shared import ensure_shared_folder
 
     arguments = sys.argv[1:]
     sf_dir = arguments.pop(0) if arguments and os.path.isdir(arguments[0]) else "/root/testdata/sf0.01"
@@ -67,6 +68,7 @@ def main() -> int:
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
+    ensure_shared_folder(spark)
     connection, bad = duckdb_over(sf_dir), 0
     for name in arguments or QUERIES:
         start = time.time()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import functions as F
 
 from checks import views
@@ -79,11 +77,14 @@ def fn_date_hour(spark, sf):
 
 
 @check("fn_today_yesterday", "", """
-SELECT event_id, '2024-03-01' AS today, '2024-02-29' AS yesterday FROM events""")
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS today, strftime(ts - INTERVAL 1 DAY, '%Y-%m-%d') AS yesterday,
+  CAST(1 AS BIGINT) AS days FROM events""")
 def fn_today_yesterday(spark, sf):
-    current = date(2024, 3, 1)
+    day = F.to_date("ts")
+    # Without a date it is the session's: the two are a day apart.
+    days = F.datediff(times.today().cast("date"), times.yesterday().cast("date")).cast("bigint")
     return _events(spark, sf).select(
-        "event_id", times.today(current).alias("today"), times.yesterday(current).alias("yesterday"))
+        "event_id", times.today(day).alias("today"), times.yesterday(day).alias("yesterday"), days.alias("days"))
 
 
 @check("fn_minute_key", "", "SELECT event_id, strftime(ts, '%Y%m%d%H%M') AS minute_key FROM events")
@@ -94,12 +95,14 @@ def fn_minute_key(spark, sf):
 # 1.115 cents style halves are decided on the decimal rendering, so the SQL rounds a decimal.
 @check("fn_round_half_up", "", """
 SELECT l_orderkey, l_linenumber, l_extendedprice,
-  CAST(round(CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(18, 4)), 1) AS DOUBLE) AS rounded
+  CAST(round(CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(18, 4)), 1) AS DOUBLE) AS rounded,
+  CAST(round(CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(18, 4)) * 0.125, 2) AS DOUBLE) AS eighth
 FROM lineitem""")
 def fn_round_half_up(spark, sf):
     return views.table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_extendedprice",
-        numbers.round_half_up(F.col("l_extendedprice"), 1).alias("rounded"))
+        numbers.round_half_up(F.col("l_extendedprice"), 1).alias("rounded"),
+        numbers.round_half_up(F.col("l_extendedprice") / 8).alias("eighth"))
 
 
 @check("fn_plain_number", "", r"""

@@ -91,20 +91,37 @@ def join_top_product(spark, sf):
     return joined.select("area", "product_id", "click_count", "product_name", "extend_info")
 
 
-# The same report from the SQL names.
+# The SQL names, with blanks of all kinds and the word null among the ids, as one report per area and product.
 @check("sql_functions", "actions city_info", """
-SELECT click_product_id AS product_id, concat_ws(':', city_id, city_name) AS city,
-  count(*) AS n FROM actions JOIN city_info USING (city_id) WHERE click_product_id <> ''
-GROUP BY ALL""")
+WITH odd AS (
+  SELECT *, CASE WHEN page_id % 5 = 0 THEN chr(9) || click_product_id || chr(10) WHEN page_id % 5 = 1 THEN chr(9) || chr(10)
+    WHEN page_id % 5 = 2 THEN chr(9) || 'Null' || chr(13) ELSE click_product_id END AS id FROM actions),
+counted AS (
+  SELECT area, trim(id, chr(9) || chr(10)) AS product_id, city_id, city_name, count(*) AS n
+  FROM odd JOIN city_info USING (city_id)
+  WHERE trim(id, chr(9) || chr(10) || chr(13)) <> '' AND lower(trim(id, chr(9) || chr(10) || chr(13))) <> 'null'
+  GROUP BY ALL)
+SELECT area, product_id, CAST(sum(n) AS BIGINT) AS click_count,
+  string_agg(concat_ws(':', city_id, city_name, n), ',' ORDER BY city_id) AS city_infos,
+  string_agg(concat_ws(':', city_id, city_name), ',' ORDER BY city_id) AS cities, '7' AS field
+FROM counted GROUP BY area, product_id""")
 def sql_functions(spark, sf):
     from visitlens.functions.sql_names import register_sql_functions
 
     register_sql_functions(spark)
-    joined = views.actions(spark, sf).join(views.cities(spark, sf), "city_id")
-    kept = joined.where(F.expr("is_not_empty(click_product_id)"))
-    city = F.expr("concat_id_name(city_id, city_name)").alias("city")
-    return kept.groupBy(F.col("click_product_id").alias("product_id"), city).agg(
-        F.count(F.lit(1)).alias("n"))
+    page = F.col("page_id") % 5
+    odd = (F.when(page == 0, F.concat(F.lit("\t"), "click_product_id", F.lit("\n"))).when(page == 1, "\t\n")
+           .when(page == 2, "\tNull\r").otherwise(F.col("click_product_id")))
+    joined = views.actions(spark, sf).withColumn("id", odd).join(views.cities(spark, sf), "city_id")
+    joined.createOrReplaceTempView("sql_functions_clicks")
+    return spark.sql("""
+      SELECT area, product_id, sum(n) AS click_count,
+        listagg(id_name_count(city_id, city_name, n), ',') WITHIN GROUP (ORDER BY city_id) AS city_infos,
+        listagg(concat_id_name(city_id, city_name), ',') WITHIN GROUP (ORDER BY city_id) AS cities,
+        json_string('{"a":"7"}', 'a') AS field
+      FROM (SELECT area, btrim(id, concat(chr(9), chr(10))) AS product_id, city_id, city_name, count(*) AS n
+            FROM sql_functions_clicks WHERE is_not_empty(id) GROUP BY ALL)
+      GROUP BY area, product_id""")
 
 
 @check("fn_concat_id_name", "", """

@@ -126,8 +126,11 @@ _NEEDS = {
 }
 
 
-def sql_with(views: str, body: str) -> str:
-    """``body`` after WITH clauses for the named views and what they build on."""
+def sql_with(views: str, body: str, only: str = "") -> str:
+    """``body`` after WITH clauses for the named views and what they build on.
+
+    ``only`` is a condition on actions and their users (``u``); the views then see no other actions.
+    """
     ordered: list[str] = []
 
     def add(name: str) -> None:
@@ -140,10 +143,16 @@ def sql_with(views: str, body: str) -> str:
         add(name)
     if not ordered:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({_VIEWS[n]})" for n in ordered) + "\n" + body
+    texts = {n: _VIEWS[n] for n in ordered}
+    if only:
+        chosen = f"SELECT a.* FROM all_actions a JOIN user_info u USING (user_id) WHERE {only}"
+        texts = {"all_actions": texts.pop("actions"), "user_info": _VIEWS["user_info"], "actions": chosen, **texts}
+    views_text = "WITH " + ",\n".join(f"{n} AS ({text})" for n, text in texts.items())
+    own = body.strip()
+    return f"{views_text},\n{own[5:]}" if own.startswith("WITH ") else f"{views_text}\n{own}"
 
 
-def check(name: str, views: str = "", sql: str | None = None):
+def check(name: str, views: str = "", sql: str | None = None, only: str = ""):
     """Register a query; without ``sql`` only its rows are checked."""
 
     def register(function: Query) -> Query:
@@ -155,7 +164,7 @@ def check(name: str, views: str = "", sql: str | None = None):
             raise ValueError(f"{name} is registered twice")
         QUERIES[name] = run
         if sql is not None:
-            SQL[name] = sql_with(views, sql)
+            SQL[name] = sql_with(views, sql, only)
         return function
 
     return register

@@ -147,11 +147,13 @@ def sample_stratified(spark, sf):
     return smp.sample_stratified(_hourly(spark, sf), RATIO)
 
 
-# With replacement: a key below the i-th limit is drawn at least i times.
+# With replacement: a key is drawn as often as the Poisson distribution says, i.e. at least n + 1 times if
+# it lies below 1 minus the sum of exp(-r) r^k / k! for k up to n, as a share of the 32-bit keys.
 @check("sample_stratified_poisson", "keyed", """
 SELECT session_id, day, hour FROM keyed JOIN (
-  SELECT unnest([%s]) AS at_most) ON key < at_most""" % ", ".join(
-    f"'{limit}'" for limit in smp._copy_limits(RATIO, "poisson")))
+  SELECT n, 4294967296 * (1 - sum(exp(-0.05) * pow(0.05, n) / factorial(n)) OVER (ORDER BY n)) AS at_most
+  FROM (SELECT CAST(unnest(range(0, 12)) AS INTEGER) AS n))
+ON CAST('0x' || substr(key, 1, 8) AS BIGINT) < floor(at_most)""")
 def sample_stratified_poisson(spark, sf):
     return smp.sample_stratified(_hourly(spark, sf), RATIO, "poisson")
 
@@ -245,10 +247,12 @@ def sample_record_json(spark, sf):
     return doc.sample_record_json(_detail(spark, sf))
 
 
-@check("sample_session_rows", "detail", f"""
-SELECT CAST(7 AS BIGINT) AS task_id, session_id, day, hour, '[' || string_agg({_RECORD}, ','
-  ORDER BY action_time, date, user_id, session_id, page_id) || ']' AS record
-FROM detail JOIN ({_TOP5}) USING (session_id, day, hour) GROUP BY session_id, day, hour""")
+_SESSION_ROWS = f"""
+SELECT CAST(7 AS BIGINT) AS task_id, session_id, day, hour, {_RECORD} AS record
+FROM detail JOIN ({_TOP5}) USING (session_id, day, hour)"""
+
+
+@check("sample_session_rows", "detail", _SESSION_ROWS)
 def sample_session_rows(spark, sf):
     actions = views.actions(spark, sf)
     hourly = ses.hours_to_hourly(ses.session_hours(actions))
@@ -256,9 +260,39 @@ def sample_session_rows(spark, sf):
     return doc.sample_session_rows(smp.with_hour(actions), smp.rank_hour_sessions(sample), 7)
 
 
-# The whole job over all days, its first result.
-@check("job_session_analysis", "sessions hourly", _METRICS)
-def job_session_analysis(spark, sf):
-    params = TaskParams.from_document({"startDate": "2024-01-01", "endDate": "2024-12-31"})
-    actions, users = views.actions(spark, sf), views.users(spark, sf)
-    return analyse_sessions(actions, users, params, 7, keep=False).metrics
+# The whole job for some users and days, a query for each of its results.
+_TASK = ("sex = 'male' AND professional IN ('BUILDING', 'MACHINERY', 'FURNITURE') "
+         "AND date BETWEEN '2024-01-03' AND '2024-01-25'")
+_PARAMS = {"startDate": "2024-01-03", "endDate": "2024-01-25", "sex": "male",
+           "professionals": "BUILDING,MACHINERY,FURNITURE", "sessionRatio": RATIO}
+
+
+def job_result(name: str, views_used: str, sql: str) -> None:
+    def run(spark, sf):
+        params = TaskParams.from_document(_PARAMS)
+        job = analyse_sessions(views.actions(spark, sf), views.users(spark, sf), params, 7)
+        job.release()
+        return getattr(job, name)
+
+    key = "job_session_analysis" if name == "metrics" else f"job_session_{name}"
+    check(key, views_used, sql, only=_TASK)(run)
+
+
+_SAMPLED_JSON = f"""
+SELECT '{{"session_id":"' || session_id || '","day":"' || day || '","hour":' || hour
+  || ',"record":' || {_RECORD} || '}}' AS document FROM detail"""
+
+job_result("metrics", "sessions hourly", _METRICS)
+job_result("sampled_records", "detail", _SAMPLED_JSON)
+job_result("sampled_rows", "detail", _SESSION_ROWS)
+
+
+# A table with unreadable times: the rows are listed, and counted among categories all the same.
+@check("scan_rejected_actions", "actions", """
+SELECT session_id, page_id, action_time || ' at noon' AS action_time, 'time:action_time' AS reason
+FROM actions WHERE page_id % 7 = 0""")
+def scan_rejected_actions(spark, sf):
+    odd = F.when(F.col("page_id") % 7 == 0, F.concat("action_time", F.lit(" at noon"))).otherwise(F.col("action_time"))
+    actions = views.actions(spark, sf).drop("ts").withColumn("action_time", odd)
+    rejected = analyse_sessions(actions, None, TaskParams(), 7, keep=False).rejected
+    return rejected.select("session_id", "page_id", "action_time", "reason")

@@ -107,8 +107,8 @@ def test_job_reads_the_range_and_upserts(spark, tmp_path):
         spark, dict(date="2024-01-01", click_product_id="7"), dict(date="2024-01-02", click_product_id="7"),
         dict(date="2024-01-02", click_product_id="null"), dict(date="2024-01-03", click_product_id="8"))
     path = str(tmp_path / "report")
-    for version, end in enumerate(("2024-01-01", "2024-01-02")):
+    for end in ("2024-01-01", "2024-01-02"):
         params = TaskParams.from_document({"endDate": end})
-        write_report(analyse_area_products(records, cities(spark), products(spark), params), path, 5, version)
+        write_report(analyse_area_products(records, cities(spark), products(spark), params), path, 5)
     got = rows(read_latest(spark, path, REPORT_KEYS, REPORT_SCHEMA), "task_id", "product_id", "count")
     assert got == [(5, 7, 2)]

@@ -33,10 +33,3 @@ def test_empty_document_is_an_error(document):
                                          ("", "bernoulli"), ("other", "bernoulli")])
 def test_sample_type(given, mode):
     assert TaskParams.from_document({"sampleType": given, "x": "1"}).sample_type == mode
-
-
-def test_hours_of_range():
-    assert TaskParams(start_date="2024-01-01", end_date="2024-01-31").hours == 31 * 24
-    assert TaskParams(start_date="2024-01-02", end_date="2024-01-01").hours == 0
-    assert TaskParams(start_date="2024-01-01").hours is None
-    assert TaskParams(start_date="2024-1", end_date="x").hours is None

@@ -1,4 +1,5 @@
 import json
+import math
 from datetime import datetime, timedelta
 
 import pytest
@@ -8,6 +9,7 @@ from tests.helpers import actions, rows
 from visitlens.operators import documents as doc
 from visitlens.operators import sampling as smp
 from visitlens.operators import sessions as ses
+from visitlens.operators.ranking import top_n
 from visitlens.params import TaskParams
 from visitlens.plans.session_analysis import analyse_sessions, write_analysis
 
@@ -181,7 +183,7 @@ def test_sampled_actions_equal_the_joined_sample(spark):
     for mode in ("bernoulli", "poisson"):
         sample = smp.sample_sessions(population, 0.05, mode)
         joined = smp.session_sample_detail(records, sample)
-        fused = smp.sampled_actions(records, population, 0.05, mode, hours=24)
+        fused = smp.sampled_actions(records, population, 0.05, mode)
         assert rows(fused, "session_id", "action_time") == rows(joined, "session_id", "action_time")
 
 
@@ -192,15 +194,68 @@ def test_top_sessions_of_an_hour_with_ties(spark):
     assert [r[0] for r in rows(smp.hour_top_sessions(detail), "session_id")] == ["b", "c", "d", "e", "f"]
 
 
-def test_long_sessions_are_stored_record_by_record(spark):
-    detail = smp.with_hour(actions(spark, *session_of("long", *range(6)), *session_of("short", 3, 1, 2)))
-    stored = doc.sample_session_rows(detail, smp.hour_top_sessions(detail), 9, records=4).collect()
-    short = [json.loads(r["record"]) for r in stored if r["session_id"] == "short"]
-    assert [[e["action_time"] for e in a] for a in short] == [[at(1), at(2), at(3)]]
-    long = [json.loads(r["record"]) for r in stored if r["session_id"] == "long"]
-    assert sorted(e["action_time"] for a in long for e in a) == [at(i) for i in range(6)]
-    assert all(len(a) == 1 for a in long)
-    assert {r["task_id"] for r in stored} == {9}
+@pytest.mark.parametrize("n", [1, 1_000, 1_001])
+def test_sessions_of_any_size_are_stored_record_by_record(spark, n):
+    detail = smp.with_hour(actions(spark, *session_of("s", *[i % 3_600 for i in range(n)])))
+    stored = doc.sample_session_rows(detail, smp.hour_top_sessions(detail), 9).collect()
+    assert sorted(json.loads(r["record"])["action_time"] for r in stored) == sorted(at(i % 3_600) for i in range(n))
+    assert {(r["task_id"], r["session_id"]) for r in stored} == {(9, "s")}
+
+
+def test_items_by_a_column_have_no_hidden_limit(spark):
+    items = spark.range(3_000).selectExpr("id % 2 AS g", "id AS item", "CASE id % 2 WHEN 0 THEN 1200 ELSE 60 END AS n")
+    chosen = smp.sample_items(items, ["g"], "item", F.col("n"))
+    assert {r["g"]: r["count"] for r in chosen.groupBy("g").count().collect()} == {0: 1_200, 1: 60}
+    few = smp.sample_items(items, ["g"], "item", 60)
+    assert set(map(tuple, few.where("g = 1").select("item").collect())) == set(
+        map(tuple, chosen.where("g = 1").select("item").collect()))
+
+
+def test_a_share_of_one_draws_every_key(spark):
+    assert smp.key_limit(1.0) > "f" * 32
+    population = ses.session_hour_lengths(actions(spark, *[r for i in range(40) for r in session_of(f"s{i}", i)]))
+    assert smp.sample_stratified(population, 1.0).count() == population.count()
+
+
+def test_copies_follow_the_poisson_distribution():
+    for ratio in (0.01, 0.1, 3.0):
+        limits = smp._copy_limits(ratio, "poisson")
+        term, rest = math.exp(-ratio), 1.0
+        for n, limit in enumerate(limits):
+            rest -= term
+            assert abs(int(limit, 16) - rest * 2**32) <= 1
+            term *= ratio / (n + 1)
+        assert rest - term < 2**-31
+    for ratio in (0, -1, 30):
+        with pytest.raises(ValueError):
+            smp._copy_limits(ratio, "poisson")
+
+
+def test_no_side_is_broadcast_by_claim(spark):
+    """The date column does not bound the hours, so nothing that depends on them is forced."""
+    rows_ = [r for i in range(60) for r in session_of(f"s{i}", 3_600 * i)]
+    records = actions(spark, *[{**r, "date": "2024-01-01"} for r in rows_])
+    params = TaskParams.from_document({"startDate": "2024-01-01", "endDate": "2024-01-01"})
+    result = analyse_sessions(records, None, params, 1, keep=False)
+    for name in ("sampled_records", "sampled_rows", "category_sessions", "category_records"):
+        plan = getattr(result, name)._jdf.queryExecution().analyzed().toString()
+        assert "ResolvedHint" not in plan and "UnresolvedHint" not in plan, name
+
+
+def test_ranks_beyond_a_thousand_go_through_slices(spark):
+    df = spark.range(4_000).selectExpr("id % 2 AS g", "id")
+    direct, sliced = top_n(df, ["g"], [F.col("id")], 5), top_n(df, ["g"], [F.col("id")], 1_001)
+    assert sliced.count() == 2 * 1_001 and sliced.agg(F.max("id")).first()[0] == 2_001
+    assert "WindowGroupLimit" in direct._jdf.queryExecution().executedPlan().toString()
+    assert sliced._jdf.queryExecution().executedPlan().toString().count("Window [") >= 2
+
+
+def test_unreadable_times_are_listed_and_count_as_category_actions(spark):
+    records = actions(spark, dict(click_category_id="7"), dict(click_category_id="7", action_time="noon"))
+    result = analyse_sessions(records, None, TaskParams(), 1, keep=False)
+    assert result.category_rows.first()["click_count"] == 2
+    assert [(r["action_time"], r["reason"]) for r in result.rejected.collect()] == [("noon", "time:action_time")]
+    assert json.loads(result.metrics.first()[0])["total_session_count"] == 1
 
 
 def test_whole_job(spark, tmp_path):
@@ -222,7 +277,7 @@ def test_whole_job(spark, tmp_path):
     assert set(sampled.columns) == {"session_id", "day", "hour", "record"}
     assert sampled.groupBy("day", "hour").count().count() == 2
     stored = spark.read.parquet(f"{tmp_path}/sampled_rows/task_3")
-    assert stored.groupBy("hour").count().where("count > 5").count() == 0
+    assert stored.select("hour", "session_id").distinct().groupBy("hour").count().where("count > 5").count() == 0
     sessions = spark.read.parquet(f"{tmp_path}/category_sessions/task_3")
     assert sessions.count() == 10 and sessions.where("order_sessions = ''").count() == 10
     top = spark.read.json(f"{tmp_path}/top10_category_session/task_3")

@@ -6,7 +6,7 @@ from visitlens.operators import filters as flt
 from visitlens.params import TaskParams
 from visitlens.session import scratch_path
 from visitlens.sinks import database, files
-from visitlens.sinks.upsert import compact, read_latest, upsert
+from visitlens.sinks.upsert import compact, partition_values, read_latest, upsert, writers
 from visitlens.sources import clicks as src_clicks
 from visitlens.sources import tables, text
 from visitlens.sources.schemas import ACTION_COLUMNS
@@ -96,8 +96,9 @@ def test_jdbc_calls():
 
 def test_merge_statement():
     assert database.merge_statement("t", "s", ["k"], ["v", "w"]) == (
-        "MERGE INTO t t USING s s ON t.k = s.k WHEN MATCHED THEN UPDATE SET v = s.v, w = s.w"
-        " WHEN NOT MATCHED THEN INSERT (k, v, w) VALUES (s.k, s.v, s.w)")
+        'MERGE INTO "t" t USING "s" s ON t."k" = s."k" WHEN MATCHED THEN UPDATE SET "v" = s."v", "w" = s."w"'
+        ' WHEN NOT MATCHED THEN INSERT ("k", "v", "w") VALUES (s."k", s."v", s."w")')
+    assert database.merge_statement("a.t", "s", ['x"; DROP'], []).startswith('MERGE INTO "a"."t" t USING "s" s ON t."x""; DROP" =')
 
 
 def test_filters_by_task(spark):
@@ -200,12 +201,53 @@ def test_compaction_keeps_the_current_rows(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "table").iterdir()) == ["version=2", "version=3"]
 
 
-def test_partitioned_upsert_reads_touched_groups_only(spark, tmp_path):
+def test_partitioned_upsert_reads_touched_partitions_only(spark, tmp_path):
     path = str(tmp_path / "table")
-    upsert(batch(spark, (1, "a", 1), (2, "b", 1)), path, ["k", "v"], 0, partition_by=["v"])
-    only = spark.createDataFrame([("b",)], "v string")
-    latest = read_latest(spark, path, ["k", "v"], SCHEMA, only=only)
+    upsert(batch(spark, (1, "a", 1), (2, "b", 1)), path, ["k", "v"], 0, partition_by="v")
+    assert partition_values(spark, path, 0, "batch", "v") == ["a", "b"]
+    latest = read_latest(spark, path, ["k", "v"], SCHEMA, where=F.col("v").isin(["b"]), partition_by="v")
     assert rows(latest) == [(2, "b", 1)]
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "v" in filters and "(v#" in filters and "= b)" in filters
+
+
+def test_a_fold_leaves_untouched_partitions_alone(spark, tmp_path):
+    path, keys = str(tmp_path / "table"), ["k", "v"]
+    for version, part in enumerate("aabbcc"):
+        upsert(batch(spark, (1, part, version), (10 + version, part, 0)), path, keys, version, partition_by="v")
+        if version % 2:
+            compact(spark, path, keys, SCHEMA, partition_by="v")
+    folded = {p.parent.parent.parent.name: p.name for p in (tmp_path / "table").glob("version=*/writer=fold/full=1/v=*")}
+    assert folded == {"version=1": "v=a", "version=3": "v=b", "version=5": "v=c"}
+    assert rows(read_latest(spark, path, keys, SCHEMA, partition_by="v")) == [
+        (1, "a", 1), (1, "b", 3), (1, "c", 5), (10, "a", 0), (11, "a", 0), (12, "b", 0), (13, "b", 0), (14, "c", 0),
+        (15, "c", 0)]
+
+
+def test_writers_of_one_version_do_not_erase_each_other(spark, tmp_path):
+    path = str(tmp_path / "table")
+    upsert(batch(spark, (1, "a", 1)), path, ["k"], 0, writer="x")
+    upsert(batch(spark, (2, "b", 1)), path, ["k"], 0, writer="y")
+    assert rows(read_latest(spark, path, ["k"], SCHEMA)) == [(1, "a", 1), (2, "b", 1)]
+    assert writers(spark, path) == {"x", "y"}
+
+
+def test_removed_keys_are_gone_also_after_a_fold(spark, tmp_path):
+    path, schema = str(tmp_path / "table"), "k int, removed boolean"
+    upsert(spark.createDataFrame([(1, False), (2, False)], schema), path, ["k"], 0)
+    upsert(spark.createDataFrame([(1, True)], schema), path, ["k"], 1)
+    assert rows(read_latest(spark, path, ["k"], schema), "k") == [(2,)]
+    compact(spark, path, ["k"], schema)
+    assert rows(read_latest(spark, path, ["k"], schema), "k") == [(2,)]
+
+
+def test_without_a_shared_folder_there_is_an_error(spark, monkeypatch):
+    import visitlens.session
+
+    monkeypatch.setattr(visitlens.session, "shared_folder", lambda s: None)
+    with pytest.raises(RuntimeError):
+        visitlens.session.scratch_path(spark, "x")
 
 
 def test_scratch_path_is_below_the_shared_folder(spark):

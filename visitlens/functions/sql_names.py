@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# The blanks of ``visitlens.functions.text``, as an expression.
+_BLANKS = "concat(" + ", ".join(f"chr({code})" for code in range(33)) + ")"
+
 _DEFINITIONS = (
-    """CREATE OR REPLACE TEMPORARY FUNCTION is_not_empty(c STRING) RETURNS BOOLEAN
-       RETURN coalesce(trim(c), '') <> '' AND lower(trim(c)) <> 'null'""",
+    f"""CREATE OR REPLACE TEMPORARY FUNCTION is_not_empty(c STRING) RETURNS BOOLEAN
+       RETURN coalesce(btrim(c, {_BLANKS}), '') <> '' AND lower(btrim(c, {_BLANKS})) <> 'null'""",
     """CREATE OR REPLACE TEMPORARY FUNCTION concat_id_name(id BIGINT, name STRING) RETURNS STRING
        RETURN concat_ws(':', id, name)""",
     """CREATE OR REPLACE TEMPORARY FUNCTION json_string(c STRING, field STRING) RETURNS STRING
        RETURN get_json_object(c, concat('$.', field))""",
-    # One entry of the per-city breakdown, for listagg over rows already counted per city.
+    # One entry of the per-city breakdown. As an aggregate: count per city in a subquery, then
+    # listagg(id_name_count(id, name, n), ',') WITHIN GROUP (ORDER BY id).
     """CREATE OR REPLACE TEMPORARY FUNCTION id_name_count(id BIGINT, name STRING, n BIGINT) RETURNS STRING
        RETURN concat_ws(':', id, name, n)""",
 )

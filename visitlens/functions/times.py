@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -69,11 +69,16 @@ def minute_key(ts: Column) -> Column:
     return F.date_format(ts, MINUTE_KEY_FORMAT)
 
 
-def today(current: date | None = None) -> Column:
-    return F.lit(current.isoformat()) if current else F.date_format(F.current_date(), DATE_FORMAT)
+def today(current: date | Column | None = None) -> Column:
+    return F.date_format(_day(current), DATE_FORMAT)
 
 
-def yesterday(current: date | None = None) -> Column:
-    if current:
-        return F.lit((current - timedelta(days=1)).isoformat())
-    return F.date_format(F.date_sub(F.current_date(), 1), DATE_FORMAT)
+def yesterday(current: date | Column | None = None) -> Column:
+    return F.date_format(F.date_sub(_day(current), 1), DATE_FORMAT)
+
+
+def _day(current: date | Column | None) -> Column:
+    """The given day, or the session's current one."""
+    if current is None:
+        return F.current_date()
+    return current if isinstance(current, Column) else F.lit(current)

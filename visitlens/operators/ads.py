@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from visitlens.functions.times import BATCH_STAMP_FORMAT, DATE_KEY_FORMAT
 from visitlens.operators.filters import filter_count_threshold
-from visitlens.operators.ranking import broadcast_bounded, top_n
+from visitlens.operators.ranking import top_n
 
 # Window sizes, abuse limit, batch length and idle batches after which state goes.
 USER_WINDOW, USER_SLIDE = "10 minutes", "3 minutes"
@@ -39,24 +39,24 @@ def user_click_windows(
     )
 
 
-def anti_join_users(clicks: DataFrame, users: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Rows of users that are not listed. ``max_rows`` is the proven size of the list, if known;
-    otherwise Spark decides by size between broadcast and shuffle (where AQE splits hot users)."""
-    return clicks.join(broadcast_bounded(users.select("user_id"), max_rows), "user_id", "left_anti")
+def anti_join_users(clicks: DataFrame, users: DataFrame) -> DataFrame:
+    """Rows of users that are not listed. Spark decides by measured size between broadcast and
+    shuffle, where AQE splits hot users."""
+    return clicks.join(users.select("user_id"), "user_id", "left_anti")
 
 
 def anti_join_blacklist(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
     return anti_join_users(clicks, blacklist).select(*clicks.columns)
 
 
-def anti_join_whitelist(counts: DataFrame, whitelist: DataFrame, max_rows: int | None = None) -> DataFrame:
-    return anti_join_users(counts, whitelist, max_rows).select(*counts.columns)
+def anti_join_whitelist(counts: DataFrame, whitelist: DataFrame) -> DataFrame:
+    return anti_join_users(counts, whitelist).select(*counts.columns)
 
 
 def blacklist_entries(abusive: DataFrame) -> DataFrame:
-    """user_id, count: the count of the last window in which the user was above the limit."""
+    """user_id, count, window_end: the last window in which the user was above the limit."""
     last = top_n(abusive, ["user_id"], [F.col("window_end").desc()], 1)
-    return last.select("user_id", F.col("click_count").alias("count"))
+    return last.select("user_id", F.col("click_count").alias("count"), "window_end")
 
 
 def ad_daily_counts(clicks: DataFrame) -> DataFrame:

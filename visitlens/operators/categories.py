@@ -6,15 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.functions.text import has_text
-from visitlens.operators.ranking import broadcast_bounded, top_n
+from visitlens.operators.ranking import DIRECT_RANKS, top_n
 
 # Action flags.
 CLICK, ORDER, PAY = 0, 1, 2
 FLAG_NAMES = {CLICK: "click", ORDER: "order", PAY: "pay"}
 
 TOP = 10
-MAX_TOP_CATEGORIES = len(FLAG_NAMES) * TOP
-MAX_TOP_SESSIONS = MAX_TOP_CATEGORIES * len(FLAG_NAMES) * TOP
 
 
 def explode_category_actions(actions: DataFrame) -> DataFrame:
@@ -64,37 +62,32 @@ def top_categories(exploded: DataFrame, n: int = TOP, full_counts: bool = False)
     top = top_per_flag(counts, n)
     if full_counts:
         chosen = top.select("category_id").distinct()
-        top = counts.join(broadcast_bounded(chosen, len(FLAG_NAMES) * n), "category_id", "left_semi")
+        # At most three times n rows, from the ranking above.
+        top = counts.join(F.broadcast(chosen) if n <= DIRECT_RANKS else chosen, "category_id", "left_semi")
     return category_pivot(top)
 
 
-def only_categories(exploded: DataFrame, categories: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Rows of the given categories. ``max_rows`` is the proven number of categories, if known
-    (``MAX_TOP_CATEGORIES`` for the top 10 of three flags)."""
-    wanted = broadcast_bounded(categories.select("category_id"), max_rows)
-    return exploded.join(wanted, "category_id", "left_semi")
+def only_categories(exploded: DataFrame, categories: DataFrame) -> DataFrame:
+    """Rows of the given categories."""
+    return exploded.join(categories.select("category_id"), "category_id", "left_semi")
 
 
-def session_category_counts(exploded: DataFrame, categories: DataFrame, max_rows: int | None = None) -> DataFrame:
+def session_category_counts(exploded: DataFrame, categories: DataFrame) -> DataFrame:
     """category_id, flag, session_id, cnt for the given categories, filtered before the shuffle."""
     return (
-        only_categories(exploded, categories, max_rows)
+        only_categories(exploded, categories)
         .groupBy("category_id", "flag", "session_id").agg(F.count(F.lit(1)).alias("cnt"))
     )
 
 
-def top_category_sessions(
-    exploded: DataFrame, categories: DataFrame, n: int = TOP, max_rows: int | None = None
-) -> DataFrame:
+def top_category_sessions(exploded: DataFrame, categories: DataFrame, n: int = TOP) -> DataFrame:
     """category_id, flag, session_id, cnt: the ``n`` sessions with most events per category and
     flag, for every flag of a category that is top in any of them."""
-    counts = session_category_counts(exploded, categories, max_rows)
+    counts = session_category_counts(exploded, categories)
     order = [F.col("cnt").desc(), F.col("session_id")]
     return top_n(counts, ["category_id", "flag"], order, n)
 
 
-def top_session_details(actions: DataFrame, top_sessions: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """All actions of the given sessions. ``max_rows`` is their proven number, if known
-    (``MAX_TOP_SESSIONS`` for the top 10 of every top category and flag)."""
-    wanted = top_sessions.select("session_id").distinct()
-    return actions.join(broadcast_bounded(wanted, max_rows), "session_id", "left_semi")
+def top_session_details(actions: DataFrame, top_sessions: DataFrame) -> DataFrame:
+    """All actions of the given sessions."""
+    return actions.join(top_sessions.select("session_id").distinct(), "session_id", "left_semi")

@@ -7,14 +7,10 @@ from pyspark.sql import functions as F
 
 from visitlens.functions.numbers import plain_number
 from visitlens.operators.categories import FLAG_NAMES
-from visitlens.operators.ranking import broadcast_bounded
 from visitlens.operators.sampling import KEYS
 from visitlens.operators.sessions import INVALID_LEVEL, hour_metrics, level_metrics
 from visitlens.sources.schemas import ACTION_COLUMNS
 
-# A session-hour with more records than this is stored as several one-record documents.
-RECORDS_PER_DOCUMENT = 1_000
-
 
 def _record() -> Column:
     return F.struct(*ACTION_COLUMNS)
@@ -89,27 +85,13 @@ def category_sessions_json(top_sessions: DataFrame) -> DataFrame:
     )
 
 
-def sample_session_rows(
-    detail: DataFrame, top_sessions: DataFrame, task_id: int,
-    max_rows: int | None = None, records: int = RECORDS_PER_DOCUMENT,
-) -> DataFrame:
-    """task_id, session_id, day, hour, record for the sampled sessions with most actions.
+def sample_session_rows(detail: DataFrame, top_sessions: DataFrame, task_id: int) -> DataFrame:
+    """task_id, session_id, day, hour, record: a row per action of the sampled sessions with most actions.
 
-    ``record`` is a JSON array of the session's actions in that hour. ``top_sessions`` knows how
-    many there are: sessions beyond ``records`` give one row per action, each with an array of
-    one, so that no task ever gathers a huge session. Together the arrays are always complete.
+    ``record`` is the action as JSON. Nothing is gathered, so sessions of any size have the same form.
     """
-    top = broadcast_bounded(top_sessions.select(*KEYS, "n_actions"), max_rows)
-    chosen = detail.join(top, KEYS).select(*KEYS, "n_actions", _record().alias("r"))
-    whole = (
-        chosen.where(F.col("n_actions") <= records).groupBy(*KEYS)
-        .agg(F.to_json(F.array_sort(F.collect_list(
-            F.struct(F.col("r.action_time").alias("t"), "r")))["r"]).alias("record"))
-    )
-    single = chosen.where(F.col("n_actions") > records).select(
-        *KEYS, F.to_json(F.array("r")).alias("record"))
-    return whole.unionByName(single).select(
-        F.lit(task_id).cast("bigint").alias("task_id"), *KEYS, "record")
+    chosen = detail.join(top_sessions.select(*KEYS), KEYS)
+    return chosen.select(F.lit(task_id).cast("bigint").alias("task_id"), *KEYS, F.to_json(_record()).alias("record"))
 
 
 def top_category_rows(categories: DataFrame, task_id: int) -> DataFrame:

@@ -90,7 +90,11 @@ def area_top_products(counts: DataFrame, products: DataFrame, n: int = 10) -> Da
 
 
 def area_top_products_of_clicks(clicks: DataFrame, cities: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
-    """Both steps together; the city texts are built for the ranked products only."""
-    ranked = rank_area_products(_with_cities(_city_counts(clicks, cities)), n)
-    return area_product_report(_render_cities(ranked), products)
+    """Both steps together. Products are ranked by their sums, and cities are gathered for the ranked
+    ones only: at most ``n`` per area, which the city counts are joined with."""
+    counts = _city_counts(clicks, cities)
+    totals = counts.groupBy("area", "product_id").agg(F.sum("n").alias("click_count"))
+    ranked = rank_area_products(totals, n).select("area", "product_id")
+    chosen = counts.join(ranked, ["area", "product_id"], "left_semi")
+    return area_product_report(_render_cities(_with_cities(chosen)), products)
 

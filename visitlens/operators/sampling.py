@@ -10,16 +10,18 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.times import day_text
-from visitlens.operators.ranking import BROADCAST_ROWS, broadcast_bounded, top_n
+from visitlens.operators.ranking import SLICES, top_n
 from visitlens.sources.tables import with_time
 
 # Every hour gets at least 3 sessions, and at most 50 are topped up to.
 FLOOR, CAP = 3, 50
 DEFAULT_SEED = 42
+# Tails of the Poisson distribution are summed in doubles, which holds far beyond any share in use.
+MAX_POISSON_RATIO = 10.0
 
 KEYS = ["session_id", "day", "hour"]
 HOUR = ["day", "hour"]
@@ -30,20 +32,26 @@ def sample_key(seed: int = DEFAULT_SEED) -> Column:
 
 
 def key_limit(probability: float) -> str:
-    """A key is below this text with the given probability (32 bits of resolution)."""
-    return format(min(int(probability * 2**32), 2**32 - 1), "08x")
+    """A key is below this text with the given probability (32 bits of resolution).
+
+    From 1 on the limit is a text that is above every key.
+    """
+    return "g" if probability >= 1 else format(int(probability * 2**32), "08x")
 
 
 def _copy_limits(ratio: float, mode: str) -> list[str]:
     """Keys below the i-th limit are drawn at least i+1 times."""
     if mode != "poisson":
         return [key_limit(ratio)]
-    limits, at_most, term = [], 0.0, math.exp(-ratio)
-    for draws in range(1, 20):
-        at_most += term
-        limits.append(key_limit(1.0 - at_most))
+    if not 0 < ratio <= MAX_POISSON_RATIO:
+        raise ValueError(f"drawing with replacement needs a ratio above 0 and up to {MAX_POISSON_RATIO}")
+    limits, rest, term, draws = [], 1.0 - math.exp(-ratio), math.exp(-ratio), 0
+    while rest * 2**32 >= 1:  # until no key is left for so many copies
+        limits.append(key_limit(rest))
+        draws += 1
         term *= ratio / draws
-    return [limit for limit in limits if int(limit, 16) > 0]
+        rest -= term
+    return limits
 
 
 def _drawn(ratio: float, mode: str, seed: int) -> Column:
@@ -107,32 +115,32 @@ def except_keys(all_keys: DataFrame, taken: DataFrame, keys: list[str]) -> DataF
 def sample_count_bounded(sample: DataFrame, cap: int = CAP) -> DataFrame:
     """day, hour, n_sampled, session_ids. The ids are given for hours below ``cap`` rows only.
 
-    Hours are counted first, so ids are gathered for hours known to have fewer than ``cap``.
+    One pass: rows are dealt into slices of an hour, a slice counts its rows and gathers at most
+    ``cap`` ids, and the hour adds up the counts and joins the ids of its slices.
     """
-    counts = sample.groupBy(*HOUR).agg(F.count(F.lit(1)).alias("n_sampled"))
-    small = top_n(sample, HOUR, [F.col("session_id")], cap, "_rank")
-    ids = small.groupBy(*HOUR).agg(F.array_sort(F.collect_set("session_id")).alias("_ids"))
-    kept = F.when(F.col("n_sampled") < cap, F.col("_ids"))
-    return counts.join(ids, HOUR).select(*HOUR, "n_sampled", kept.alias("session_ids"))
+    sliced = sample.withColumn("_slice", F.pmod(F.xxhash64("session_id"), F.lit(SLICES)))
+    window = Window.partitionBy(*HOUR, "_slice").orderBy("session_id")
+    numbered = sliced.withColumn("_n", F.row_number().over(window))
+    first = F.when(F.col("_n") <= cap, F.col("session_id"))
+    slices = numbered.groupBy(*HOUR, "_slice").agg(
+        F.count(F.lit(1)).alias("n"), F.collect_set(first).alias("ids"))
+    hours = slices.groupBy(*HOUR).agg(F.sum("n").alias("n_sampled"), F.flatten(F.collect_list("ids")).alias("_ids"))
+    kept = F.when(F.col("n_sampled") < cap, F.array_sort(F.array_distinct("_ids")))
+    return hours.select(*HOUR, "n_sampled", kept.alias("session_ids"))
 
 
 def sample_items(
     items: DataFrame, group: list[str], item: str, count: int | Column,
-    exclude: DataFrame | None = None, seed: int = DEFAULT_SEED, at_most: int = CAP,
+    exclude: DataFrame | None = None, seed: int = DEFAULT_SEED,
 ) -> DataFrame:
     """``count`` items of every group at random without replacement, all if there are fewer.
 
-    ``count`` may be a column; ``at_most`` then bounds it. ``exclude`` lists (group, item) rows
-    that must not be chosen.
+    ``count`` may be a column. ``exclude`` lists (group, item) rows that must not be chosen.
     """
     pool = items if exclude is None else items.join(exclude, [*group, item], "left_anti")
     key = F.md5(F.concat_ws("|", *group, item, F.lit(seed)))
-    limit = count if isinstance(count, int) else at_most
     order = [F.col("_key"), F.col(item)]
-    chosen = top_n(pool.withColumn("_key", key), group, order, limit, "_rank")
-    if not isinstance(count, int):
-        chosen = chosen.where(F.col("_rank") <= count)
-    return chosen.drop("_key", "_rank")
+    return top_n(pool.withColumn("_key", key), group, order, count).drop("_key")
 
 
 def hour_columns(time: str) -> list[Column]:
@@ -143,35 +151,27 @@ def with_hour(actions: DataFrame) -> DataFrame:
     return with_time(actions).select("*", *hour_columns("ts"))
 
 
-def session_sample_detail(
-    actions: DataFrame, sample: DataFrame, max_rows: int | None = None
-) -> DataFrame:
+def session_sample_detail(actions: DataFrame, sample: DataFrame) -> DataFrame:
     """All actions of the sampled sessions inside the sampled hour, with ``day`` and ``hour``.
 
-    The hour is part of the join key. ``max_rows`` is the proven size of the sample, if known.
+    The hour is part of the join key.
     """
-    return with_hour(actions).join(broadcast_bounded(sample.select(*KEYS), max_rows), KEYS)
+    return with_hour(actions).join(sample.select(*KEYS), KEYS)
 
 
 def sampled_actions(
     actions: DataFrame, hourly: DataFrame, ratio: float, mode: str = "bernoulli",
-    floor: int = FLOOR, cap: int = CAP, seed: int = DEFAULT_SEED, hours: int | None = None,
+    floor: int = FLOOR, cap: int = CAP, seed: int = DEFAULT_SEED,
 ) -> DataFrame:
     """``session_sample_detail`` of ``sample_sessions`` without joining the drawn share.
 
     Whether a row's session is drawn follows from the row itself, so that part is a filter of
-    the scan. Only the top-up, at most ``cap`` sessions per hour, is joined. If ``hours`` bounds
-    it to a size that can be broadcast, one scan does both; else the parts are two scans, and
-    Spark picks the join of the second.
+    the scan. Only the top-up, at most ``cap`` sessions per hour, is joined; Spark picks the join by
+    its measured size.
     """
     detail = with_hour(actions)
-    drawn = _drawn(ratio, mode, seed)
     topup = sample_topup(hourly, ratio, mode, floor, cap, seed)
-    if hours is not None and hours * cap <= BROADCAST_ROWS:
-        marked = F.broadcast(topup.withColumn("_added", F.lit(True)))
-        both = detail.join(marked, KEYS, "left").where(drawn | F.col("_added"))
-        return both.drop("_added")
-    return detail.where(drawn).unionByName(detail.join(topup, KEYS))
+    return detail.where(_drawn(ratio, mode, seed)).unionByName(detail.join(topup, KEYS))
 
 
 def hour_top_sessions(detail: DataFrame, n: int = 5) -> DataFrame:

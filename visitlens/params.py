@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass
-from datetime import date
 
 DEFAULT_RATIO = 0.01
 MAX_RATIO = 0.1
@@ -79,14 +78,3 @@ class TaskParams:
             self.sex or self.professionals or self.cities
             or self.start_age is not None or self.end_age is not None
         )
-
-    @property
-    def hours(self) -> int | None:
-        """How many hours the date range spans, where both ends are given as dates."""
-        if not (self.start_date and self.end_date):
-            return None
-        try:
-            first, last = date.fromisoformat(self.start_date), date.fromisoformat(self.end_date)
-        except ValueError:
-            return None
-        return max(0, (last - first).days + 1) * 24

@@ -15,7 +15,7 @@ from visitlens.operators.filters import filter_actions_by_task
 from visitlens.params import TaskParams
 from visitlens.session import delete_path, write_shared
 from visitlens.sinks.files import write_document_lines
-from visitlens.sources.tables import with_time
+from visitlens.sources.tables import with_time, without_time
 
 TOP_HOUR_SESSIONS = 5
 
@@ -28,12 +28,18 @@ class SessionAnalysis:
     category_rows: DataFrame     # task_id, category_id, click_count, order_count, pay_count
     category_sessions: DataFrame  # category_id and three JSON arrays
     category_records: DataFrame  # JSON per action of the top sessions
+    rejected: DataFrame          # actions whose time cannot be read, which no result by time has
     kept: list[DataFrame]        # persisted intermediate results
     stored: str | None           # path of the filtered actions, if they were written
 
-    def close(self) -> None:
+    def release(self) -> None:
+        """Give up the persisted results; what was filtered and written stays until ``close``."""
         for df in self.kept:
             df.unpersist()
+        self.kept.clear()
+
+    def close(self) -> None:
+        self.release()
         if self.stored:
             delete_path(self.metrics.sparkSession, self.stored)
 
@@ -49,9 +55,10 @@ def analyse_sessions(
     again. If users are filtered, the join is done once and the remaining actions are written to
     the shared folder, instead of being joined again for every result.
     """
-    chosen, stored = with_time(filter_actions_by_task(actions, users, p)), None
+    all_chosen, stored = filter_actions_by_task(actions, users, p), None
     if keep and p.needs_users:
-        chosen, stored = write_shared(chosen, "actions")
+        all_chosen, stored = write_shared(all_chosen, "actions")
+    chosen = with_time(all_chosen)
     kept: list[DataFrame] = []
 
     def shared(df: DataFrame) -> DataFrame:
@@ -62,26 +69,25 @@ def analyse_sessions(
     hours = shared(ses.session_hours(chosen))
     hourly, sessions = ses.hours_to_hourly(hours), ses.hours_to_sessions(hours)
 
-    detail = smp.sampled_actions(chosen, hourly, p.session_ratio, p.sample_type, hours=p.hours)
+    detail = smp.sampled_actions(chosen, hourly, p.session_ratio, p.sample_type)
     # The number of actions of a sampled session is known from the hour aggregate already.
     sample = smp.sample_sessions(hourly, p.session_ratio, p.sample_type, extra=("n_actions",))
     top_hour = smp.rank_hour_sessions(sample, TOP_HOUR_SESSIONS)
-    max_top_hour = None if p.hours is None else p.hours * TOP_HOUR_SESSIONS
 
-    exploded = cat.explode_category_actions(chosen)
+    # Categories need no time, so they are counted over all chosen actions.
+    exploded = cat.explode_category_actions(all_chosen)
     categories = shared(cat.top_categories(exploded))
-    top_sessions = shared(
-        cat.top_category_sessions(exploded, categories, max_rows=cat.MAX_TOP_CATEGORIES))
-    records = cat.top_session_details(chosen, top_sessions, cat.MAX_TOP_SESSIONS)
+    top_sessions = shared(cat.top_category_sessions(exploded, categories))
+    records = cat.top_session_details(all_chosen, top_sessions)
 
     return SessionAnalysis(
         metrics=doc.session_aggr_json(sessions, hourly),
         sampled_records=doc.sample_record_json(detail),
-        sampled_rows=doc.sample_session_rows(
-            smp.with_hour(chosen), top_hour, task_id, max_rows=max_top_hour),
+        sampled_rows=doc.sample_session_rows(smp.with_hour(chosen), top_hour, task_id),
         category_rows=doc.top_category_rows(categories, task_id),
         category_sessions=doc.category_sessions_json(top_sessions),
         category_records=doc.action_json(records),
+        rejected=without_time(all_chosen),
         kept=kept,
         stored=stored,
     )
@@ -93,5 +99,5 @@ def write_analysis(result: SessionAnalysis, out_dir: str, task_id: int) -> None:
     write_document_lines(result.sampled_records, "document", f"{out_dir}/session_sample/task_{task_id}")
     write_document_lines(
         result.category_records, "document", f"{out_dir}/top10_category_session/task_{task_id}")
-    for name in ("sampled_rows", "category_rows", "category_sessions"):
+    for name in ("sampled_rows", "category_rows", "category_sessions", "rejected"):
         getattr(result, name).write.mode("overwrite").parquet(f"{out_dir}/{name}/task_{task_id}")

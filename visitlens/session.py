@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,18 +27,18 @@ def build_session(app_name: str, master: str | None = None, conf: dict | None =
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a folder of this machine: executors of a cluster
-    could not read each other's files there.
-    """
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder named by ``spark.checkpoint.dir``, or the context's checkpoint folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     base = base or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return base or spark.sparkContext.getCheckpointDir()
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the folder that all executors share."""
+    base = shared_folder(spark)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="visitlens-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -15,17 +15,26 @@ def append_to_table(df: DataFrame, url: str, table: str, properties: dict | None
     )
 
 
+def _quoted(name: str) -> str:
+    """A standard SQL identifier."""
+    return '"' + name.replace('"', '""') + '"'
+
+
+def _table(name: str) -> str:
+    return ".".join(map(_quoted, name.split(".")))
+
+
 def merge_statement(table: str, staging: str, keys: list[str], values: list[str]) -> str:
     """Standard MERGE from a staging table, for databases that support it.
 
     Write the batch to ``staging`` with ``append_to_table``, then run this once in the database.
     """
-    match = " AND ".join(f"t.{key} = s.{key}" for key in keys)
-    update = ", ".join(f"{value} = s.{value}" for value in values)
-    names = ", ".join(keys + values)
-    inserted = ", ".join(f"s.{name}" for name in keys + values)
+    match = " AND ".join(f"t.{_quoted(key)} = s.{_quoted(key)}" for key in keys)
+    update = ", ".join(f"{_quoted(value)} = s.{_quoted(value)}" for value in values)
+    names = ", ".join(map(_quoted, keys + values))
+    inserted = ", ".join(f"s.{_quoted(name)}" for name in keys + values)
     changed = f" WHEN MATCHED THEN UPDATE SET {update}" if values else ""
     return (
-        f"MERGE INTO {table} t USING {staging} s ON {match}{changed}"
+        f"MERGE INTO {_table(table)} t USING {_table(staging)} s ON {match}{changed}"
         f" WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({inserted})"
     )

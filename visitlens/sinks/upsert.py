@@ -1,35 +1,56 @@
 """Insert-or-update on parquet: every batch is written once, the last version of a key wins.
 
-A batch costs its own size only, because the table is never rewritten. Writing a version again
-replaces it, so a repeated streaming batch changes nothing. ``compact`` folds old versions into
-one from time to time, so that reading stays proportional to the number of keys.
+A batch costs its own size only. Writing a version again replaces it, so a repeated streaming batch
+changes nothing; writers never replace each other's versions. ``compact`` folds versions from time to
+time; of a partitioned table it folds the partitions touched since the last fold and leaves the others alone.
 
-Layout: ``<path>/version=<id>/full=<0|1>``; ``full=1`` holds all keys up to that version.
+Layout: ``<path>/version=<id>/writer=<name>/full=<0|1>``; ``full=1`` holds all keys (of its partitions) up
+to that version. A boolean column ``removed`` in the schema makes a row the end of its key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from visitlens.operators.ranking import top_n
 
-def _files(spark: SparkSession, path: str):
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+FOLD = "fold"
+
+
+def _glob(spark: SparkSession, pattern: str) -> list:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [status.getPath() for status in fs.globStatus(target) or []]
+
+
+def _value(path) -> str:
+    return path.getName().split("=", 1)[1]
 
 
 def _versions(spark: SparkSession, path: str, full: int | None = None) -> list[int]:
     """Finished versions; one entry per batch since the last compactions, so a short list."""
-    target, fs = _files(spark, f"{path}/version=*/full={'*' if full is None else full}/_SUCCESS")
-    found = fs.globStatus(target) or []
-    return sorted({int(s.getPath().getParent().getParent().getName().split("=")[1]) for s in found})
+    found = _glob(spark, f"{path}/version=*/writer=*/full={'*' if full is None else full}/_SUCCESS")
+    return sorted({int(_value(p.getParent().getParent().getParent())) for p in found})
+
+
+def next_version(spark: SparkSession, path: str) -> int:
+    return max(_versions(spark, path), default=-1) + 1
+
+
+def writers(spark: SparkSession, path: str) -> set[str]:
+    return {_value(p) for p in _glob(spark, f"{path}/version=*/writer=*")} - {FOLD}
+
+
+def partition_values(spark: SparkSession, path: str, version: int, writer: str, column: str) -> list[str]:
+    """Values of the partition column in a version, from its folders."""
+    return sorted(_value(p) for p in _glob(spark, f"{path}/version={version}/writer={writer}/full=0/{column}=*"))
 
 
 def upsert(
     batch: DataFrame, path: str, keys: list[str], version: int,
-    order_by: list | None = None, partition_by: list[str] | None = None,
+    order_by: list | None = None, partition_by: str | None = None, writer: str = "batch",
 ) -> None:
     """Write ``batch`` as ``version`` of the table.
 
@@ -37,37 +58,45 @@ def upsert(
     left out where the keys are unique already.
     """
     rows = top_n(batch, keys, order_by, 1) if order_by else batch
-    writer = rows.write.mode("overwrite")
+    out = rows.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{path}/version={version}/full=0")
+        out = out.partitionBy(partition_by)
+    out.parquet(f"{path}/version={version}/writer={writer}/full=0")
 
 
 def read_latest(
     spark: SparkSession, path: str, keys: list[str], schema: StructType | str,
-    only: DataFrame | None = None,
+    where: Column | None = None, partition_by: str | None = None, newest: list[Column] | None = None,
+    removed: bool = False,
 ) -> DataFrame:
-    """The current row of every key. ``only`` restricts the read to matching rows first."""
+    """The current row of every key. ``where`` on the partition column keeps other partitions unread.
+
+    ``newest`` orders the rows of a key before their versions do. Keys that end with a ``removed`` row
+    are left out, unless ``removed`` asks for them.
+    """
     names = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     versions = _versions(spark, path)
     if not versions:
         return spark.createDataFrame([], names)
-    base = max(_versions(spark, path, full=1), default=versions[0])
-    reader = spark.read.option("basePath", path).schema(
-        StructType(names.fields).add("version", "long").add("full", "integer")
-    )
+    # Partitions have folds of different age, and what they replaced is deleted; so all is read.
+    base = versions[0] if partition_by else max(_versions(spark, path, full=1), default=versions[0])
+    reader = spark.read.option("basePath", path).schema(StructType(names.fields).add("version", "long").add(
+        "writer", "string").add("full", "integer"))
     rows = reader.parquet(*[f"{path}/version={v}" for v in versions if v >= base])
-    newest = [F.col("version").desc(), F.col("full").desc()]
-    if only is not None:
-        rows = rows.join(only, only.columns, "left_semi")
-    return top_n(rows, keys, newest, 1).select(*names.fieldNames())
+    if where is not None:
+        rows = rows.where(where)
+    order = [*(newest or []), F.col("version").desc(), F.col("full").desc(), F.col("writer")]
+    rows = top_n(rows, keys, order, 1).select(*names.fieldNames())
+    if "removed" in names.fieldNames() and not removed:
+        rows = rows.where("NOT coalesce(removed, false)")
+    return rows
 
 
 def compact(
     spark: SparkSession, path: str, keys: list[str], schema: StructType | str,
-    partition_by: list[str] | None = None,
+    partition_by: str | None = None, newest: list[Column] | None = None,
 ) -> None:
-    """Fold all versions into the newest one and drop those older than the previous fold.
+    """Fold what was written since the previous fold into the newest version and drop what is older than that.
 
     Versions between the previous fold and this one stay, for readers that listed them before.
     """
@@ -75,11 +104,19 @@ def compact(
     previous = max(_versions(spark, path, full=1), default=None)
     if not versions or versions[-1] == previous:
         return
-    writer = read_latest(spark, path, keys, schema).write.mode("overwrite")
+    where, touched = None, []
+    if partition_by:
+        recent = [v for v in versions if previous is None or v > previous]
+        touched = sorted({_value(p) for v in recent for p in _glob(
+            spark, f"{path}/version={v}/writer=*/full=0/{partition_by}=*")})
+        where = F.col(partition_by).isin(touched)
+    folded = read_latest(spark, path, keys, schema, where, partition_by, newest, removed=True)
+    out = folded.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{path}/version={versions[-1]}/full=1")
+        out = out.partitionBy(partition_by)
+    out.parquet(f"{path}/version={versions[-1]}/writer={FOLD}/full=1")
     for version in versions:
         if previous is not None and version < previous:
-            target, fs = _files(spark, f"{path}/version={version}")
-            fs.delete(target, True)
+            inside = [f"/writer=*/full=*/{partition_by}={value}" for value in touched] if partition_by else [""]
+            for old in [p for part in inside for p in _glob(spark, f"{path}/version={version}{part}")]:
+                old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)

@@ -34,11 +34,18 @@ def scan_jdbc_table(
     return spark.read.jdbc(url, table, properties=properties or {}, **(slices or {}))
 
 
+def _timed(actions: DataFrame) -> DataFrame:
+    return actions if "ts" in actions.columns else actions.withColumn("ts", to_time(F.col("action_time")))
+
+
 def with_time(actions: DataFrame) -> DataFrame:
-    """Add ``ts`` from ``action_time`` where the source did not deliver it; drops bad times."""
-    if "ts" in actions.columns:
-        return actions
-    return actions.withColumn("ts", to_time(F.col("action_time"))).where("ts IS NOT NULL")
+    """Add ``ts`` from ``action_time`` where the source did not deliver it; ``without_time`` has the rest."""
+    return _timed(actions).where("ts IS NOT NULL")
+
+
+def without_time(actions: DataFrame) -> DataFrame:
+    """The actions that ``with_time`` leaves out, with the reason."""
+    return _timed(actions).where("ts IS NULL").drop("ts").withColumn("reason", F.lit("time:action_time"))
 
 
 def project_action_record(actions: DataFrame) -> DataFrame:

@@ -8,11 +8,15 @@ Four queries, each with its own checkpoint, which is kept over restarts:
                              └─ windows ── sliding counts (append)
 
 The detector reads the unfiltered clicks, so a listed user keeps being counted. A batch that is
-repeated after a failure writes the same version again, or finds its folder published.
+repeated after a failure writes the same version again, or finds its folder published. Tables and clean
+clicks carry the id of the query that writes them: a query with another checkpoint starts counting
+batches anew, and is refused there instead of losing its rows to higher numbers.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,10 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from visitlens.operators import ads
-from visitlens.sinks.upsert import compact, read_latest, upsert
+from visitlens.sinks.upsert import compact, next_version, partition_values, read_latest, upsert, writers
 
 # Result tables and their keys.
-BLACKLIST_KEYS, BLACKLIST_SCHEMA = ["user_id"], "user_id int, count bigint"
+BLACKLIST_KEYS = ["user_id"]
+BLACKLIST_SCHEMA = "user_id int, count bigint, window_end timestamp, removed boolean"
 TOTALS_SCHEMA = "date string, province string, city string, ad_id int, click_count bigint"
 TOP_KEYS = ["date", "province", "rank"]
 TOP_SCHEMA = "date string, province string, rank int, ad_id int, click_count bigint"
@@ -61,63 +66,126 @@ class AdTables:
         return f"{self.root}/ad_click_count_of_window"
 
 
-def _compact_sometimes(spark, batch_id, path, keys, schema, partition_by=None) -> None:
+def _compact_sometimes(spark, batch_id, path, keys, schema, **how) -> None:
     if batch_id and batch_id % COMPACT_EVERY == 0:
-        compact(spark, path, keys, schema, partition_by)
+        compact(spark, path, keys, schema, **how)
+
+
+def _latest_window():
+    """A late batch that changes an earlier window only does not replace a later one."""
+    return [F.col("window_end").desc_nulls_last()]
 
 
 def read_blacklist(spark: SparkSession, tables: AdTables) -> DataFrame:
-    return read_latest(spark, tables.blacklist, BLACKLIST_KEYS, BLACKLIST_SCHEMA)
+    """user_id and count of the users listed now."""
+    rows = read_latest(spark, tables.blacklist, BLACKLIST_KEYS, BLACKLIST_SCHEMA, newest=_latest_window())
+    return rows.select("user_id", "count")
+
+
+def remove_users(users: DataFrame, tables: AdTables, until: str) -> None:
+    """Take users (user_id) off the blacklist. Windows that end after ``until`` can list them again."""
+    rows = users.select(F.col("user_id").cast("int").alias("user_id"), F.lit(None).cast("bigint").alias("count"),
+                        F.lit(until).cast("timestamp").alias("window_end"), F.lit(True).alias("removed"))
+    spark = users.sparkSession
+    upsert(rows.distinct(), tables.blacklist, BLACKLIST_KEYS, max(0, next_version(spark, tables.blacklist) - 1),
+           writer="manual")
 
 
 def read_totals(spark: SparkSession, tables: AdTables) -> DataFrame:
-    return read_latest(spark, tables.totals, ads.DAILY_KEYS, TOTALS_SCHEMA)
+    return read_latest(spark, tables.totals, ads.DAILY_KEYS, TOTALS_SCHEMA, partition_by="date")
+
+
+def owner_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a query keeps with its checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def _refuse_foreign(spark: SparkSession, path: str, owner: str, known: set[str]) -> None:
+    others = known - {owner, "manual"}
+    if others:
+        raise RuntimeError(f"{path} is written by {sorted(others)}; start with that checkpoint or a new folder")
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that came later than the watermark, over the progress reports the query still holds."""
+    return sum(state.numRowsDroppedByWatermark for progress in query.recentProgress
+               for state in progress.stateOperators)
 
 
 def read_top_ads(spark: SparkSession, tables: AdTables) -> DataFrame:
     return read_latest(spark, tables.top_ads, TOP_KEYS, TOP_SCHEMA)
 
 
+Whitelist = DataFrame | Callable[[], DataFrame] | None
+
+
 def update_blacklist(
-    batch: DataFrame, batch_id: int, tables: AdTables, whitelist: DataFrame | None
+    batch: DataFrame, batch_id: int, tables: AdTables, whitelist: Whitelist, owner: str = "batch"
 ) -> None:
-    """Add the users above the limit, unless they are on the whitelist."""
-    listed = batch if whitelist is None else ads.anti_join_whitelist(batch, whitelist)
-    upsert(ads.blacklist_entries(listed), tables.blacklist, BLACKLIST_KEYS, batch_id)
-    _compact_sometimes(batch.sparkSession, batch_id, tables.blacklist, BLACKLIST_KEYS, BLACKLIST_SCHEMA)
+    """Add the users above the limit, unless they are on the whitelist, which a function reads anew."""
+    spark = batch.sparkSession
+    _refuse_foreign(spark, tables.blacklist, owner, writers(spark, tables.blacklist))
+    allowed = whitelist() if callable(whitelist) else whitelist
+    listed = batch if allowed is None else ads.anti_join_whitelist(batch, allowed)
+    entries = ads.blacklist_entries(listed).withColumn("removed", F.lit(False))
+    upsert(entries, tables.blacklist, BLACKLIST_KEYS, batch_id, writer=owner)
+    _compact_sometimes(spark, batch_id, tables.blacklist, BLACKLIST_KEYS, BLACKLIST_SCHEMA, newest=_latest_window())
 
 
-def publish_clean_clicks(batch: DataFrame, batch_id: int, tables: AdTables) -> None:
+def publish_clean_clicks(batch: DataFrame, batch_id: int, tables: AdTables, owner: str = "batch") -> None:
     """Clicks of users that are not listed now, in a folder that appears complete or not at all."""
     spark = batch.sparkSession
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    final = hadoop(f"{tables.clean}/batch={batch_id}")
+    final = hadoop(f"{tables.clean}/writer={owner}/batch={batch_id}")
     fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    known = {s.getPath().getName().split("=", 1)[1] for s in fs.globStatus(hadoop(f"{tables.clean}/writer=*")) or []}
+    _refuse_foreign(spark, tables.clean, owner, known)
     if fs.exists(final):
         return
     # Names starting with an underscore are hidden from readers.
-    staging = f"{tables.clean}/_staging-{batch_id}"
+    staging = f"{tables.clean}/_staging-{owner}-{batch_id}"
     ads.anti_join_blacklist(batch, read_blacklist(spark, tables)).write.mode("overwrite").parquet(staging)
+    fs.mkdirs(final.getParent())
     if not fs.rename(hadoop(staging), final):
         raise RuntimeError(f"could not publish batch {batch_id}")
 
 
-def update_totals(batch: DataFrame, batch_id: int, tables: AdTables, top: int = 5) -> None:
+def expire_clean_clicks(spark: SparkSession, tables: AdTables, keep: int) -> None:
+    """Delete all but the last ``keep`` published batches, once every reader is past them. Two streams read
+    the folder, so neither may clean up after itself; without this its listing grows for ever."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target = hadoop(f"{tables.clean}/writer=*/batch=*")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    batches = sorted((s.getPath() for s in fs.globStatus(target) or []),
+                     key=lambda p: int(p.getName().split("=")[1]))
+    for old in batches[:len(batches) - keep]:
+        fs.delete(old, True)
+
+
+def update_totals(batch: DataFrame, batch_id: int, tables: AdTables, top: int = 5, owner: str = "batch") -> None:
     """Store the changed totals and rank again the (date, province) groups they belong to.
 
     A ranking is not possible on a stream, and update mode delivers changed keys only, so the
-    ranking reads the stored totals of the touched groups. The totals are partitioned by date.
+    ranking reads the stored totals of the touched groups. The totals are partitioned by date: the folders
+    of the version just written name the dates, and only those are read.
     """
     spark = batch.sparkSession
-    upsert(batch, tables.totals, ads.DAILY_KEYS, batch_id, partition_by=["date"])
-    touched = spark.read.schema(TOTALS_SCHEMA).parquet(f"{tables.totals}/version={batch_id}/full=0")
-    touched = touched.select("date", "province").distinct()
-    totals = read_latest(spark, tables.totals, ads.DAILY_KEYS, TOTALS_SCHEMA, only=touched)
-    upsert(ads.province_top_ads(totals, top), tables.top_ads, TOP_KEYS, batch_id)
-    _compact_sometimes(spark, batch_id, tables.totals, ads.DAILY_KEYS, TOTALS_SCHEMA, ["date"])
+    _refuse_foreign(spark, tables.totals, owner, writers(spark, tables.totals))
+    upsert(batch, tables.totals, ads.DAILY_KEYS, batch_id, partition_by="date", writer=owner)
+    written = f"{tables.totals}/version={batch_id}/writer={owner}/full=0"
+    touched = spark.read.schema(TOTALS_SCHEMA).parquet(written).select("date", "province").distinct()
+    totals = totals_of_dates(spark, tables, partition_values(spark, tables.totals, batch_id, owner, "date"))
+    changed = totals.join(touched, ["date", "province"], "left_semi")
+    upsert(ads.province_top_ads(changed, top), tables.top_ads, TOP_KEYS, batch_id, writer=owner)
+    _compact_sometimes(spark, batch_id, tables.totals, ads.DAILY_KEYS, TOTALS_SCHEMA, partition_by="date")
     _compact_sometimes(spark, batch_id, tables.top_ads, TOP_KEYS, TOP_SCHEMA)
 
 
+def totals_of_dates(spark: SparkSession, tables: AdTables, dates: list[str]) -> DataFrame:
+    return read_latest(spark, tables.totals, ads.DAILY_KEYS, TOTALS_SCHEMA,
+                       where=F.col("date").isin(dates), partition_by="date")
+
+
 def _start(
     writer: DataStreamWriter, trigger: dict | None, spark: SparkSession, state_partitions: int | None = None
 ) -> StreamingQuery:
@@ -134,7 +202,7 @@ def _start(
 
 
 def start_detector(
-    clicks: DataFrame, tables: AdTables, checkpoint: str, whitelist: DataFrame | None = None,
+    clicks: DataFrame, tables: AdTables, checkpoint: str, whitelist: Whitelist = None,
     threshold: int = ads.ABUSE_LIMIT, watermark: str = WATERMARK, trigger: dict | None = None,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
@@ -142,7 +210,8 @@ def start_detector(
     return _start(
         abusive.writeStream.queryName("ad_detector").outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, i: update_blacklist(df, i, tables, whitelist)),
+        .foreachBatch(lambda df, i: update_blacklist(
+            df, i, tables, whitelist, owner_of(df.sparkSession, checkpoint))),
         trigger, clicks.sparkSession, state_partitions,
     )
 
@@ -153,7 +222,7 @@ def start_cleaner(
     return _start(
         clicks.writeStream.queryName("ad_cleaner").outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, i: publish_clean_clicks(df, i, tables)),
+        .foreachBatch(lambda df, i: publish_clean_clicks(df, i, tables, owner_of(df.sparkSession, checkpoint))),
         trigger, clicks.sparkSession,
     )
 
@@ -174,7 +243,7 @@ def start_totals(
     return _start(
         daily.writeStream.queryName("ad_totals").outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, i: update_totals(df, i, tables, top)),
+        .foreachBatch(lambda df, i: update_totals(df, i, tables, top, owner_of(df.sparkSession, checkpoint))),
         trigger, clicks.sparkSession, state_partitions,
     )
 
@@ -209,7 +278,7 @@ def start_idle_runs(
 
 def start_ad_realtime(
     spark: SparkSession, clicks: DataFrame, out_dir: str, checkpoint_dir: str,
-    whitelist: DataFrame | None = None, threshold: int = ads.ABUSE_LIMIT, trigger: dict | None = None,
+    whitelist: Whitelist = None, threshold: int = ads.ABUSE_LIMIT, trigger: dict | None = None,
     state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Start the four queries on parsed clicks (see ``parse_ad_click``)."""
