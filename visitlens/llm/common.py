@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,18 +26,6 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return write_shared(df, label)[0]
 
 
-def slices(batches: Iterator[pd.DataFrame], rows: int = 512) -> Iterator[pd.DataFrame]:
-    """The batches in parts of at most ``rows`` rows, so that working arrays stay small."""
-    for batch in batches:
-        for start in range(0, len(batch), rows):
-            yield batch.iloc[start:start + rows]
-
-
-def texts(column: pd.Series) -> list[str]:
-    """Texts of a batch; null counts as empty."""
-    return [t if isinstance(t, str) else "" for t in column]
-
-
 def mixed(values: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit values (the finaliser of splitmix64)."""
     x = values.astype(np.uint64, copy=True)

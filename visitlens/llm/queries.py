@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from visitlens.llm import (decontamination, fertility, mixing, neardup, notices, packing, pii, toxicity, url_cascade,
                            warc)
