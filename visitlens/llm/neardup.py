@@ -8,9 +8,9 @@
    signatures (the low bytes of the minima) and set sizes allow the similarity are held against their
    full sets, and the links among them give first components.
 4. Only buckets in which several components meet are looked through pair by pair. They are split by
-   set size, since the sizes of a linked pair differ by little, and then into slices of at most
-   ``SLICE`` members; a task compares signatures of two slices and gives on only pairs of different
-   components that the signature allows. Their full sets decide again.
+   set size, since the sizes of a linked pair differ by little, and then into slices of about ``SLICE``
+   members; a task compares the signatures of two slices. Members with a possible partner in another
+   component meet again with their full sets, which decide, and only links leave the task.
 5. Components of all links, by alternating large-star and small-star.
 
 So every pair that shares a bucket is either linked through others or decided on its full sets; nothing
@@ -138,25 +138,33 @@ def only_ids(rows: DataFrame, ids: DataFrame, on: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if few else ids, on, "left_semi")
 
 
-def _verified(pairs: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union of their full sets."""
-    pairs = saved(pairs, "near-pairs")
-    ids = saved(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-ids")
+def _sets(ids: DataFrame, documents: DataFrame) -> DataFrame:
+    """id and shingles (sorted, packed) of the documents with these ids (column doc_id)."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t or "").tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["id", "shingles"])
 
-    sets = saved(only_ids(documents, ids, "doc_id").mapInArrow(build, "id long, shingles binary"), "near-sets")
+    few = saved(ids.distinct(), "near-ids")
+    return saved(only_ids(documents, few, "doc_id").mapInArrow(build, "id long, shingles binary"), "near-sets")
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union; an empty set is linked with nothing."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _verified(pairs: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are linked by their full sets."""
+    pairs = saved(pairs, "near-pairs")
+    sets = _sets(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), documents)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for left, right in zip(batch.column("x"), batch.column("y")):
-                x, y = (np.frombuffer(v.as_py(), dtype=np.uint64) for v in (left, right))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+            linked = [_linked(*(np.frombuffer(v.as_py(), dtype=np.uint64) for v in both), percent)
+                      for both in zip(batch.column("x"), batch.column("y"))]
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     joined = (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
@@ -164,10 +172,55 @@ def _verified(pairs: DataFrame, documents: DataFrame, percent: int) -> DataFrame
     return saved(joined.select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "near-links")
 
 
-def _across_components(members: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and whose signatures allow the similarity."""
+def _open_pairs(table: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Row numbers x and those of its partners: pairs of different components in two slices of a bucket whose
+    sizes and signatures allow the similarity, and which share no bucket of an earlier band."""
+    signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint8)
+    signature = signature.reshape(table.num_rows, -1)
+    n, component, mine = (table.column(c).to_numpy() for c in ("n", "component", "mine"))
+    i, j, band = (table.column(c)[0].as_py() for c in ("i", "j", "band"))
+    place = np.arange(len(mine))
+    for x in np.flatnonzero(mine == i):
+        others = (mine == j) if i != j else (mine == -1) | ((mine == i) & (place > x))
+        others = np.flatnonzero(others & (component != component[x]) & (
+            100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])))
+        others = others[_alike(signature[others], signature[x], percent)]
+        if len(others):
+            same = (signature[others] == signature[x]).reshape(len(others), BANDS, ROWS_PER_BAND).all(axis=2)
+            others = others[same.argmax(axis=1) == band]
+        if len(others):
+            yield x, others
+
+
+def _links_of(table: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Links by full sets among the open pairs, as many as tie what they tie: fewer than there are rows."""
+    rep = table.column("rep").to_pylist()
+    sets = [np.frombuffer(v, dtype=np.uint64) for v in table.column("shingles").to_pylist()]
+    group, links = {r: r for r in rep}, []
+
+    def root(r):
+        while group[r] != r:
+            group[r] = r = group[group[r]]
+        return r
+
+    for x, others in _open_pairs(table, percent):
+        for y in others:
+            if root(rep[x]) != root(rep[y]) and _linked(sets[x], sets[y], percent):
+                group[root(rep[x])] = root(rep[y])
+                links.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
+    return links
+
+
+def _across_components(members: DataFrame, classes: DataFrame, labels: DataFrame, documents: DataFrame,
+                       percent: int) -> DataFrame:
+    """Links (a, b) between different components that share a bucket.
+
+    Two rounds over the same groups: signatures tell which members have a partner at all, and the full
+    sets of those are sent to where the pairs are. What leaves a group is members and links, in
+    proportion to the members, never pairs.
+    """
     known = saved(members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", "n", F.coalesce("component", "rep").alias("component")), "near-members")
+        "key", "band", "rep", "n", F.coalesce("component", "rep").alias("component")), "near-members")
     several = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
         "low <> high").select("key")
     # Sizes of a linked pair are in the same or in neighbouring steps of this scale.
@@ -175,37 +228,33 @@ def _across_components(members: DataFrame, classes: DataFrame, labels: DataFrame
     home = saved(known.join(several, "key").withColumn("step", step), "near-mixed")
     slices = home.groupBy("key", "step").agg(F.ceil(F.count("*") / SLICE).cast("int").alias("slices"))
     mine = F.pmod(F.xxhash64("rep"), F.col("slices")).cast("int")
+    columns = ["key", "band", "step", "i", "j", "mine", "rep", "n", "component"]
     # At home a member of slice i meets every slice; the pair of slices is named by (smaller, larger).
     at_home = (home.join(slices, ["key", "step"]).withColumn("mine", mine)
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-               .select("key", "step", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-                       "mine", "rep", "n", "component"))
+               .withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")}).select(columns))
     # Members of the next lower step visit every slice; -1 marks them.
     visiting = (home.withColumn("step", F.col("step") + 1).join(slices, ["key", "step"])
                 .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-                .select("key", "step", "i", F.col("i").alias("j"), F.lit(-1).alias("mine"), "rep", "n", "component"))
+                .withColumns({"j": F.col("i"), "mine": F.lit(-1)}).select(columns))
     meeting = at_home.unionByName(visiting).join(classes.select("rep", "signature"), "rep")
+    groups = ["key", "step", "i", "j"]
+
+    def partners(table: pa.Table) -> pa.Table:
+        found = sorted({int(r) for x, others in _open_pairs(table, percent) for r in (x, *others)})
+        return table.take(pa.array(found, pa.int64()))
+
+    schema = ("key long, band int, step int, i int, j int, mine int, rep long, n long, component long, "
+              "signature binary")
+    left = saved(meeting.select(*columns, "signature").groupBy(*groups).applyInArrow(partners, schema), "near-partners")
+    sets = _sets(left.select(F.col("rep").alias("doc_id")), documents)
+
+    def link(table: pa.Table) -> pa.Table:
+        links = _links_of(table, percent)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    def compare(table: pa.Table) -> pa.Table:
-        signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint8)
-        signature = signature.reshape(table.num_rows, -1)
-        rep, n, component, mine = (table.column(c).to_numpy() for c in ("rep", "n", "component", "mine"))
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        a, b = [], []
-        for x in np.flatnonzero(mine == i):
-            if i != j:
-                others = np.flatnonzero(mine == j)
-            else:
-                others = np.flatnonzero((mine == -1) | ((mine == i) & (np.arange(len(mine)) > x)))
-            fits = (component[others] != component[x]) & (
-                100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x]))
-            others = others[fits]
-            others = others[_alike(signature[others], signature[x], percent)]
-            a += [rep[x]] * len(others)
-            b += rep[others].tolist()
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
-
-    return meeting.groupBy("key", "step", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    full = left.join(sets.withColumnRenamed("id", "rep"), "rep")
+    return saved(full.groupBy(*groups).applyInArrow(link, "a long, b long").distinct(), "near-links")
 
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id",
@@ -218,7 +267,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, doc_id: str =
         F.min(F.struct("doc_id", "n", "bands", "signature")).alias("s")).select(
         "cls", F.col("s.doc_id").alias("rep"), "s.n", "s.bands", "s.signature"), "near-classes")
 
-    spread = classes.select(F.explode("bands").alias("key"), "rep", "n")
+    spread = classes.select(F.posexplode("bands").alias("band", "key"), "rep", "n")
     buckets = spread.groupBy("key").agg(F.min("rep").alias("center"), F.count("*").alias("size")).filter("size > 1")
     members = saved(spread.join(buckets.drop("size"), "key"), "near-buckets")
     stars = members.filter("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
@@ -231,7 +280,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, doc_id: str =
     links = links.unionByName(ties)
     labels = components(links)
 
-    more = _verified(_across_components(members, classes, labels, percent), rows, percent)
+    more = _across_components(members, classes, labels, rows, percent)
     # First components and the links found between them.
     labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     of_class = classes.select("cls", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
