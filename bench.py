@@ -28,7 +28,7 @@ HEADLINE = (
     "scan_action_log", "parse_ad_click", "stream_user_clicks_window", "stream_blacklist_update",
     "ad_daily_counts", "province_top5_ads", "stream_ad_clicks_window", "stream_idle_expiry",
     "job_session_sampled_rows", "job_session_category_records", "job_ad_realtime", "stream_province_top5",
-    "stream_checkpoint", "stream_result_tables", "sink_upsert",
+    "stream_checkpoint", "sink_upsert",
 )
 RUNS = 3
 
