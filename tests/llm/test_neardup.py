@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.helpers import documents, prose
@@ -78,6 +80,22 @@ def test_components_against_all_pairs(spark, monkeypatch, percent, slice_):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
 
 
+def test_a_bucket_is_shared_by_full_minima():
+    draw = np.random.default_rng(4)
+    found = draw.integers(0, 1 << 32, (2, nd.BANDS * nd.ROWS_PER_BAND), dtype=np.uint32)
+    found[1, 12:] = found[0, 12:]
+    found[1, :6] = found[0, :6]
+    found[1, 5] ^= 0x100  # the low bytes of the first band agree, its minima do not
+    keys = nd.band_keys(found)
+    assert (keys[0] == keys[1]).argmax() == 2
+    table = pa.table({"i": [0, 0], "j": [0, 0], "band": [2, 2], "mine": [0, 0], "rep": [1, 2], "n": [50, 50],
+                      "component": [1, 2], "signature": [r.astype(np.uint8).tobytes() for r in found],
+                      "bands": pa.array(list(keys), pa.list_(pa.int64()))})
+    assert [(x, list(others)) for x, others in nd._open_pairs(table, 85)] == [(0, [1])]
+    later = table.set_column(table.schema.get_field_index("band"), "band", pa.array([3, 3]))
+    assert not list(nd._open_pairs(later, 85))
+
+
 def test_an_id_with_two_texts_ties_them(spark):
     rows = [(1, prose(1, 50), "", ""), (2, prose(1, 50), "", ""), (2, prose(2, 50), "", ""), (3, prose(2, 50), "", "")]
     assert {r["component_id"] for r in nd.near_duplicates(documents(spark, rows)).collect()} == {1}

@@ -174,7 +174,9 @@ def _verified(pairs: DataFrame, documents: DataFrame, percent: int) -> DataFrame
 
 def _open_pairs(table: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """Row numbers x and those of its partners: pairs of different components in two slices of a bucket whose
-    sizes and signatures allow the similarity, and which share no bucket of an earlier band."""
+    sizes and signatures allow the similarity, and which share no bucket of an earlier band. Keys of bands tell
+    which buckets they share: bytes of a signature also agree by chance."""
+    keys = table.column("bands").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
     signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint8)
     signature = signature.reshape(table.num_rows, -1)
     n, component, mine = (table.column(c).to_numpy() for c in ("n", "component", "mine"))
@@ -186,8 +188,7 @@ def _open_pairs(table: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray
             100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])))
         others = others[_alike(signature[others], signature[x], percent)]
         if len(others):
-            same = (signature[others] == signature[x]).reshape(len(others), BANDS, ROWS_PER_BAND).all(axis=2)
-            others = others[same.argmax(axis=1) == band]
+            others = others[(keys[others] == keys[x]).argmax(axis=1) == band]
         if len(others):
             yield x, others
 
@@ -237,7 +238,7 @@ def _across_components(members: DataFrame, classes: DataFrame, labels: DataFrame
     visiting = (home.withColumn("step", F.col("step") + 1).join(slices, ["key", "step"])
                 .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
                 .withColumns({"j": F.col("i"), "mine": F.lit(-1)}).select(columns))
-    meeting = at_home.unionByName(visiting).join(classes.select("rep", "signature"), "rep")
+    meeting = at_home.unionByName(visiting).join(classes.select("rep", "signature", "bands"), "rep")
     groups = ["key", "step", "i", "j"]
 
     def partners(table: pa.Table) -> pa.Table:
@@ -245,8 +246,8 @@ def _across_components(members: DataFrame, classes: DataFrame, labels: DataFrame
         return table.take(pa.array(found, pa.int64()))
 
     schema = ("key long, band int, step int, i int, j int, mine int, rep long, n long, component long, "
-              "signature binary")
-    left = saved(meeting.select(*columns, "signature").groupBy(*groups).applyInArrow(partners, schema), "near-partners")
+              "signature binary, bands array<long>")
+    left = saved(meeting.select(*columns, "signature", "bands").groupBy(*groups).applyInArrow(partners, schema), "near-partners")
     sets = _sets(left.select(F.col("rep").alias("doc_id")), documents)
 
     def link(table: pa.Table) -> pa.Table:
