@@ -60,6 +60,20 @@ def test_planted_leaks(spark):
     assert {r["doc_id"] for r in clean.collect()} == set(range(400)) - {i for i, _ in want}
 
 
+def test_verbatim_items_beside_repeated_lines(spark):
+    texts, benchmark = items(spark)
+    rows, want = [], []
+    for i, item in texts.items():
+        line = " ".join(texts[(i + k) % 30].split()[k] for k in range(1, 9)) + " "  # words of eight items
+        rows.append((i, f"{prose(i, 60)} {line * 4}{item} {line * 4}{prose(900 + i, 60)}", "", ""))
+        want.append((i, i))
+    rows += [(1_000 + i, prose(i, 300), "", "") for i in range(100)]
+    one = spark.createDataFrame([(99, "soloword")], "item_id long, text string")
+    rows += [(99, "wo " * 400 + "soloword " + "wo " * 400, "", "")]
+    found = dc.find_leaks(documents(spark, rows), benchmark.select("item_id", "text").union(one)).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [*want, (99, 99)]
+
+
 def test_the_answer_must_be_there(spark):
     texts, _ = items(spark)
     answer = prose(77, 4)

@@ -7,7 +7,9 @@
    fixed Gaussian matrix G; the sum gives the leading right singular vectors (Nystrom's method on A'A).
 4. Texts are searched in overlapping windows about as long as the items. Windows and items are compared
    by the cosine of their latent vectors, each direction scaled by its singular value, so that what most
-   texts share (the language, say) weighs no more than the rest.
+   texts share (the language, say) weighs no more than the rest. Runs of ``SEED`` words of an item are
+   looked up in the texts beside it: a repeated phrase can hide an item from the cosine, but a verbatim run
+   that covers enough of an item holds such a seed and always reaches the next step.
 5. Around each candidate the longest common subsequence with the item must cover ``MIN_COVER`` of its
    words, and that with its answer ``MIN_ANSWER`` of the answer's: an ``answer`` column, or the last quarter
    of an item. Subsequences bear changed, added and dropped words.
@@ -41,6 +43,9 @@ FLOOR = 0.05  # weight of a term that all passages have
 MIN_COSINE = 0.4
 MIN_COVER, MIN_ANSWER = 0.6, 0.5
 LEAST_WINDOW = 16
+SEED = 5
+MARK_BITS = 22
+_SCALE = np.uint64(0x9E3779B97F4A7C15)
 BLOCK_CHARS = 2_000_000
 ROWS = 256
 FOUND = ("item_id long, first_word int, n_words int, cosine double, common int, cover double, answer_cover double")
@@ -219,6 +224,64 @@ def candidates(text: np.ndarray, coordinates: np.ndarray, scales: dict[int, tupl
     return found
 
 
+@dataclass
+class Seeds:
+    """Seeds of one length: sorted hashes, marks of their upper bits, and (item number, first place, last place)."""
+
+    hashes: np.ndarray
+    marks: np.ndarray
+    places: list[list[tuple[int, int, int]]]
+
+
+def _runs(words: np.ndarray, length: int) -> np.ndarray:
+    """A hash for each run of so many words."""
+    n = max(0, len(words) - length + 1)
+    sums = np.zeros(n, dtype=np.uint64)
+    for k in range(length):
+        sums = (sums + words[k:k + n].astype(np.uint64)) * _SCALE
+    return sums
+
+
+def seeds_of(items: list[np.ndarray], min_cover: float) -> dict[int, Seeds]:
+    """Seeds by length: shorter ones for items of which a run that covers enough is shorter than ``SEED``."""
+    found: dict[int, dict[int, list[tuple[int, int, int]]]] = {}
+    for number, words in enumerate(items):
+        length = max(1, min(SEED, math.ceil(min_cover * len(words) - 1e-9)))
+        own: dict[int, list[int]] = {}
+        for place, value in enumerate(_runs(words, length).tolist()):
+            own.setdefault(value, []).append(place)
+        of_length = found.setdefault(length, {})
+        for value, places in own.items():
+            of_length.setdefault(value, []).append((number, places[0], places[-1]))
+    result = {}
+    for length, of_length in found.items():
+        hashes = np.array(sorted(of_length), dtype=np.uint64)
+        marks = np.zeros(1 << MARK_BITS, dtype=bool)
+        marks[hashes >> np.uint64(64 - MARK_BITS)] = True
+        result[length] = Seeds(hashes, marks, [of_length[h] for h in hashes.tolist()])
+    return result
+
+
+def seeded(text: np.ndarray, seeds: dict[int, Seeds], items: list[np.ndarray]) -> dict[int, list[list]]:
+    """Per item number the stretches [first, end, None] of the text around its seeds."""
+    found: dict[int, list[list]] = {}
+    for length, known in seeds.items():
+        runs = _runs(text, length)
+        at = np.flatnonzero(known.marks[runs >> np.uint64(64 - MARK_BITS)])
+        which = np.minimum(np.searchsorted(known.hashes, runs[at]), len(known.hashes) - 1)
+        same = known.hashes[which] == runs[at]
+        for place, seed in zip(at[same].tolist(), which[same].tolist()):
+            for item, low, high in known.places[seed]:
+                n = len(items[item])
+                begin, end = max(0, place - high - n // 2), min(len(text), place - low + n + n // 2)
+                mine = found.setdefault(item, [])
+                if mine and max(end, mine[-1][1]) - min(begin, mine[-1][0]) <= max(5 * n // 2, end - begin):
+                    mine[-1][:2] = min(begin, mine[-1][0]), max(end, mine[-1][1])
+                else:
+                    mine.append([begin, end, None])
+    return found
+
+
 def common_subsequence(text: list[int], masks: dict[int, int], full: int) -> int:
     """Length of the longest common subsequence; ``masks`` has the places of each term in the item as bits."""
     row = full
@@ -243,18 +306,22 @@ def search(texts: DataFrame, items: Items, coordinates: np.ndarray, width: str,
         scales.setdefault(window_of(len(words)), []).append(number)
     vectors = _unit(np.stack([coordinates[w].sum(axis=0) for w in items.words]))
     ready = {w: (np.array(n), vectors[n]) for w, n in scales.items()}
-    held = texts.sparkSession.sparkContext.broadcast((items, coordinates, ready))
+    seeds = seeds_of(items.words, min_cover)
+    held = texts.sparkSession.sparkContext.broadcast((items, coordinates, ready, vectors, seeds))
     names = ["doc_id", *(c.split()[0] for c in FOUND.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, coordinates, ready = held.value
+        items, coordinates, ready, vectors, seeds = held.value
         masks = [_masks(w) for w in items.words]
         answers = [_masks(w) for w in items.answers]
         sets = [frozenset(w.tolist()) for w in items.words]
         for ids, part in _texts(batches, width):
             rows = []
             for doc_id, text in zip(ids, part):
-                for number, stretches in candidates(text, coordinates, ready, min_cosine).items():
+                near = candidates(text, coordinates, ready, min_cosine)
+                for number, stretches in seeded(text, seeds, items.words).items():
+                    near.setdefault(number, []).extend(stretches)
+                for number, stretches in near.items():
                     n, best = len(items.words[number]), None
                     for begin, end, cosine in stretches:
                         words = text[begin:end].tolist()
@@ -266,6 +333,9 @@ def search(texts: DataFrame, items: Items, coordinates: np.ndarray, width: str,
                             continue
                         part_ = common_subsequence(words, *answers[number]) / len(items.answers[number])
                         if part_ >= min_answer:
+                            if cosine is None:
+                                own = coordinates[text[begin:end]].sum(axis=0, keepdims=True)
+                                cosine = float((_unit(own) @ vectors[number])[0])
                             best = (items.ids[number], begin, end - begin, cosine, common, common / n, part_)
                     if best:
                         rows.append((doc_id, *best))
