@@ -74,6 +74,25 @@ def test_verbatim_items_beside_repeated_lines(spark):
     assert sorted((r["doc_id"], r["item_id"]) for r in found) == [*want, (99, 99)]
 
 
+def test_changes_at_every_place_of_an_item(spark):
+    texts, benchmark = items(spark)
+    rows, want = [], []
+    for i, item in texts.items():
+        words = item.split()
+        quarter = len(words) // 4
+        for k in range(5):  # a quarter is changed at each place; the last text ends before the item does
+            begin = min(k * quarter, len(words) - quarter)
+            other = [*words[:begin], *prose(3_000 + i, quarter).split(), *words[begin + quarter:]]
+            text = f"{prose(i, 60)} {' '.join(other)} {prose(900 + i, 60)}" if k < 4 else \
+                f"{prose(i, 60)} {' '.join(words[:len(words) - quarter])}"
+            rows.append((10 * i + k, text, "", ""))
+            want.append((10 * i + k, i))
+    rows += [(1_000 + i, prose(i, 300), "", "") for i in range(100)]
+    found = dc.find_leaks(documents(spark, rows), benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == want
+    assert {r["answer_cover"] for r in found} == {None}
+
+
 def test_the_answer_must_be_there(spark):
     texts, _ = items(spark)
     answer = prose(77, 4)

@@ -11,8 +11,9 @@
    looked up in the texts beside it: a repeated phrase can hide an item from the cosine, but a verbatim run
    that covers enough of an item holds such a seed and always reaches the next step.
 5. Around each candidate the longest common subsequence with the item must cover ``MIN_COVER`` of its
-   words, and that with its answer ``MIN_ANSWER`` of the answer's: an ``answer`` column, or the last quarter
-   of an item. Subsequences bear changed, added and dropped words.
+   words and, where a column ``answer`` gives one, that with the answer ``MIN_ANSWER`` of its words. Items
+   without an answer are judged by their words alone (``answer_cover`` is null), whichever of them are
+   there. Subsequences bear changed, added and dropped words.
 
 Frequencies and the SVD are over all texts; sums of fixed size meet in the driver, never texts or windows.
 Items are taken in blocks of ``BLOCK_CHARS`` characters, so what tasks hold is bounded.
@@ -53,7 +54,7 @@ FOUND = ("item_id long, first_word int, n_words int, cosine double, common int,
 
 @dataclass
 class Items:
-    """A block of items: their words as term numbers from 1, and where the answer's words start."""
+    """A block of items: their words as term numbers from 1, and those of their answers, empty if not given."""
 
     ids: list[int]
     words: list[np.ndarray]
@@ -77,8 +78,7 @@ def item_block(rows: list) -> Items:
         own = words_of(answer) if answer else []
         ids.append(item_id)
         words.append(numbers)
-        answers.append(np.array([terms.setdefault(w, len(terms) + 1) for w in own], dtype=np.int64) if own
-                       else numbers[-max(1, len(numbers) // 4):])
+        answers.append(np.array([terms.setdefault(w, len(terms) + 1) for w in own], dtype=np.int64))
     return Items(ids, words, answers, terms)
 
 
@@ -331,18 +331,19 @@ def search(texts: DataFrame, items: Items, coordinates: np.ndarray, width: str,
                         common = common_subsequence(words, *masks[number])
                         if common < min_cover * n or best and common <= best[4]:
                             continue
-                        part_ = common_subsequence(words, *answers[number]) / len(items.answers[number])
-                        if part_ >= min_answer:
+                        own = len(items.answers[number])
+                        part_ = common_subsequence(words, *answers[number]) / own if own else None
+                        if part_ is None or part_ >= min_answer:
                             if cosine is None:
-                                own = coordinates[text[begin:end]].sum(axis=0, keepdims=True)
-                                cosine = float((_unit(own) @ vectors[number])[0])
+                                mine = coordinates[text[begin:end]].sum(axis=0, keepdims=True)
+                                cosine = float((_unit(mine) @ vectors[number])[0])
                             best = (items.ids[number], begin, end - begin, cosine, common, common / n, part_)
                     if best:
                         rows.append((doc_id, *best))
             if rows:
                 yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=names).astype(
                     {"doc_id": "Int64", "item_id": "Int64", "first_word": "int32", "n_words": "int32",
-                     "common": "int32"}), preserve_index=False)
+                     "common": "int32", "answer_cover": "float64"}), preserve_index=False)
 
     return texts.mapInArrow(run, f"doc_id long, {FOUND}")
 
