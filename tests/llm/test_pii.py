@@ -66,6 +66,24 @@ def test_checksums_and_context(spark):
     assert rows[0]["top_score"] == pytest.approx(1.0) and rows[1]["top_score"] is None
 
 
+@pytest.mark.parametrize("text, spans", [
+    ("DE89370400440532013000 Thanks", ["0:22"]),
+    ("DE89 3704 0044 0532 0130 00 Please pay", ["0:27"]),
+    ("IBAN: DE89370400440532013000 BIC COBADEFF", ["6:28"]),
+    ("GB82 WEST 1234 5698 7654 32 AND 12 MORE CAPITALS", ["0:27"]),
+    ("DE89370400440532013000 GB82WEST12345698765432", ["0:22", "23:45"]),
+    ("AB12 DE89370400440532013000 2 times", ["5:27"]),
+    ("DE89370400440532013000Thanks xGB82WEST12345698765432", []),
+    ("DE89370400440532013001 Thanks", []),
+    ("MT84MALT011000012345MTLCAST001S, NO9386011117947.", ["0:31", "33:48"]),
+    ("é𝒳 LC55HEMM000100010012001200023015 X", ["3:35"]),
+    ("D E 8 9 DE89 3 7 0 4 0 0 4 4 0 5 3 2 0 1 3 0 0 0 X", ["8:48"]),
+])
+def test_account_numbers_end_where_the_checksum_says(spark, text, spans):
+    got = [s.removeprefix("iban:") for s in found(spark, [text])[0]["spans"].split(",") if s.startswith("iban")]
+    assert got == spans
+
+
 def test_odd_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, email string")
     assert pii.span_digest(pii.find_personal_data(empty)).count() == 0

@@ -4,7 +4,9 @@ All work is SQL expressions. Positions come from splitting a text by the pattern
 matches and the matches themselves, in turn, give every start. A pattern may start only where the
 previous character cannot belong to the match (or right after the previous match), and loops never
 give back, so matching is linear in the text and needs no stack, however long a run of digits is; the
-matches are those of the plain pattern.
+matches of the base kinds are those of the plain pattern. An account number ends where its checksum says:
+at each start the longest run is taken, and its prefixes that end at a word end are tested, that of the
+country's length first, then from the longest to the shortest.
 
 Base kinds: email, ip (parts at most 255), card (16 to 19 digits, Luhn), phone (8 to 15 digits). Added
 kinds: iban (15 to 34 characters, mod 97) and ssn (three, two and four digits; kept only if the score
@@ -62,6 +64,52 @@ def mod97(value: Column) -> Column:
     return _let(F.replace(value, F.lit(" "), F.lit("")), check)
 
 
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+IBAN_RUN = r"^[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+"
+IBAN_CHARS = 4 + 2 * 30  # of the longest run, with a blank before each character after the fourth
+NO_SPANS = "array<struct<start:int,end:int,match:string>>"
+
+
+def _ibans(text: Column, starts: Column) -> Column:
+    """The valid account numbers at the starts, none of which overlap: those of their country's length first."""
+    country = F.create_map(*[F.lit(x) for n, names in IBAN_LENGTHS.items() for name in names.split() for x in (name, n)])
+
+    def plain(match: Column) -> Column:
+        return F.length(F.replace(match, F.lit(" "), F.lit("")))
+
+    def fixed(match: Column) -> Column:
+        return F.coalesce(plain(match) == F.try_element_at(country, F.substring(match, 1, 2)), F.lit(False))
+
+    def longest(start: Column) -> Column:
+        def valid_prefix(near: Column) -> Column:
+            run = F.regexp_extract(near, IBAN_RUN, 0)
+            ends = F.filter(F.sequence(F.length(run), F.lit(15), F.lit(-1)), lambda n: ~F.substring(
+                near, n, F.lit(2)).rlike("^(?: |.[A-Za-z0-9])"))
+            valid = F.filter(F.transform(ends, lambda n: F.substring(near, F.lit(1), n)),
+                             lambda m: plain(m).between(15, 34) & mod97(m))
+            return F.when(F.length(run) >= 15, _let(valid, lambda v: F.get(F.concat(F.filter(v, fixed), v), F.lit(0))))
+
+        match = _let(F.substring(text, start["start"] + 1, F.lit(IBAN_CHARS + 1)), valid_prefix)
+        return _let(match, lambda m: F.struct(start["start"].alias("start"), (
+            start["start"] + F.length(m)).alias("end"), m.alias("match")))
+
+    def in_turn(spans: Column) -> Column:
+        return F.aggregate(spans, F.array().cast(NO_SPANS), lambda kept, s: F.when(
+            F.coalesce(F.try_element_at(kept, F.lit(-1))["end"], F.lit(0)) <= s["start"],
+            F.concat(kept, F.array(s))).otherwise(kept))
+
+    def apart(valid: Column) -> Column:
+        return _let(in_turn(F.filter(valid, lambda s: fixed(s["match"]))), lambda first: F.array_sort(F.concat(
+            first, in_turn(F.filter(valid, lambda s: ~fixed(s["match"]) & ~F.exists(
+                first, lambda f: (f["start"] < s["end"]) & (s["start"] < f["end"])))))))
+
+    return _let(F.filter(F.transform(starts, longest), lambda s: s["match"].isNotNull()), apart)
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
@@ -71,6 +119,7 @@ class Kind:
     base: float
     words: str  # context, lower case
     added: bool = False
+    refined: Callable[[Column, Column], Column] = lambda text, spans: spans  # text, spans to valid spans
 
 
 KINDS = (
@@ -84,13 +133,13 @@ KINDS = (
          lambda m: F.length(digits(m)).between(16, 19) & luhn(m), 0.7, "card|visa|credit|karte|tarjeta|carte"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: F.contains(t, F.lit("+")),
          lambda m: F.length(digits(m)).between(8, 15), 0.6, "phone|call|tel|mobile|fax|appel"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
-         lambda t: t.rlike("[A-Z]{2}[0-9]{2}"), mod97, 0.7, "iban|account|bank|konto|cuenta|compte", True),
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z](?=[A-Z][0-9]{2}(?:\x20?[A-Z0-9]){11})",
+         lambda t: t.rlike("[A-Z]{2}[0-9]{2}"), lambda m: F.lit(True), 0.7, "iban|account|bank|konto|cuenta|compte",
+         True, _ibans),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
          lambda t: t.rlike("[0-9]{3}-[0-9]{2}-"), lambda m: ~m.rlike("^(?:000|666|9)|-00-|-0000$"),
          0.4, "ssn|social|security|tax", True),
 )
-NO_SPANS = "array<struct<start:int,end:int,match:string>>"
 
 
 def _proposed(text: Column, pattern: str) -> Column:
@@ -133,7 +182,7 @@ def find_personal_data(documents: DataFrame, doc_id: str = "doc_id", text: str =
     none = F.array().cast("array<struct<start:int,end:int,score:double>>")
     t = F.col("text")
     return rows.select("doc_id", "text", *[
-        F.when(kind.hint(t), _scored(t, kind, _proposed(t, kind.pattern))).otherwise(none).alias(kind.name)
+        F.when(kind.hint(t), _scored(t, kind, kind.refined(t, _proposed(t, kind.pattern)))).otherwise(none).alias(kind.name)
         for kind in KINDS])
 
 
