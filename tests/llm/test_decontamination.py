@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 
+import corpus_pipeline
 from tests.llm.helpers import documents, prose
 from visitlens.llm import decontamination as dc
 
@@ -126,6 +127,18 @@ def test_directions_are_those_of_a_full_decomposition(spark):
     assert np.linalg.svd(basis.T @ right[:4].T)[1].min() > 0.98
 
 
+def test_clean_rows_stay_beside_leaks_of_the_same_id(spark, monkeypatch):
+    texts, benchmark = items(spark, 3)
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: benchmark)
+    rows = [(None, texts[0], None, None), (None, "a", None, None), (None, None, None, None), (None, "a", None, None),
+            (7, texts[1], "", ""), (7, prose(1, 50), "", ""), (8, f"{prose(2, 50)} {texts[2]}", "", ""), (9, "", "", "")]
+    df = documents(spark, rows)
+    left = corpus_pipeline.decontaminate(spark, df, "")
+    assert left.columns == df.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(
+        ((d, t) for d, t, *_ in (rows[1], rows[2], rows[3], rows[5], rows[7])), key=str)
+
+
 def test_odd_tables(spark):
     texts, benchmark = items(spark, 3)
     odd = documents(spark, [(None, texts[0], None, None), (None, "a", None, None), (1, None, "", ""), (2, "", "", ""),

@@ -19,7 +19,7 @@ Frequencies and the SVD are over all texts; sums of fixed size meet in the drive
 Items are taken in blocks of ``BLOCK_CHARS`` characters, so what tasks hold is bounded.
 
 Defined results: null and empty texts and items match nothing; rows with equal ids, null among them, are
-judged together by ``clean_documents``; repeated rows are found each; empty tables give no rows; other
+judged together by ``clean_documents`` and each by its own text by ``clean_rows``; repeated rows are found each; empty tables give no rows; other
 columns are ignored.
 """
 
@@ -83,7 +83,7 @@ def item_block(rows: list) -> Items:
 
 
 def as_terms(documents: DataFrame, terms: dict[bytes, int]) -> DataFrame:
-    """doc_id and the words of each text as numbers (little-endian, packed)."""
+    """doc_id, digest and the words of each text as numbers (little-endian, packed)."""
     width = "<u2" if len(terms) < 1 << 16 else "<u4"
     held = documents.sparkSession.sparkContext.broadcast(terms)
 
@@ -96,18 +96,20 @@ def as_terms(documents: DataFrame, terms: dict[bytes, int]) -> DataFrame:
                 for text in part.column("text").to_pylist():
                     words = words_of(text or "")
                     packed.append(np.fromiter(map(numbers.__getitem__, words), dtype=width, count=len(words)).tobytes())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(packed, pa.binary())],
-                                                 ["doc_id", "terms"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("digest"), pa.array(packed, pa.binary())],
+                    ["doc_id", "digest", "terms"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, terms binary")
+    return documents.select("doc_id", "digest", "text").mapInArrow(run, "doc_id long, digest string, terms binary")
 
 
 def _texts(batches: Iterator[pa.RecordBatch], width: str) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """Ids and numbers of a few texts at a time."""
+    """Ids with digests and numbers of a few texts at a time."""
     for batch in batches:
         for start in range(0, batch.num_rows, ROWS):
             part = batch.slice(start, ROWS)
-            yield (part.column("doc_id").to_pylist() if "doc_id" in part.schema.names else [],
+            yield (list(zip(part.column("doc_id").to_pylist(), part.column("digest").to_pylist()))
+                   if "doc_id" in part.schema.names else [],
                    [np.frombuffer(v, dtype=width) for v in part.column("terms").to_pylist()])
 
 
@@ -300,7 +302,7 @@ def _masks(words: np.ndarray) -> tuple[dict[int, int], int]:
 
 def search(texts: DataFrame, items: Items, coordinates: np.ndarray, width: str,
            min_cosine: float = MIN_COSINE, min_cover: float = MIN_COVER, min_answer: float = MIN_ANSWER) -> DataFrame:
-    """doc_id and FOUND: the best stretch for each text and item that passes all tests."""
+    """doc_id, digest and FOUND: the best stretch for each text and item that passes all tests."""
     scales: dict[int, list[int]] = {}
     for number, words in enumerate(items.words):
         scales.setdefault(window_of(len(words)), []).append(number)
@@ -308,7 +310,7 @@ def search(texts: DataFrame, items: Items, coordinates: np.ndarray, width: str,
     ready = {w: (np.array(n), vectors[n]) for w, n in scales.items()}
     seeds = seeds_of(items.words, min_cover)
     held = texts.sparkSession.sparkContext.broadcast((items, coordinates, ready, vectors, seeds))
-    names = ["doc_id", *(c.split()[0] for c in FOUND.split(", "))]
+    names = ["doc_id", "digest", *(c.split()[0] for c in FOUND.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, coordinates, ready, vectors, seeds = held.value
@@ -317,7 +319,7 @@ def search(texts: DataFrame, items: Items, coordinates: np.ndarray, width: str,
         sets = [frozenset(w.tolist()) for w in items.words]
         for ids, part in _texts(batches, width):
             rows = []
-            for doc_id, text in zip(ids, part):
+            for key, text in zip(ids, part):
                 near = candidates(text, coordinates, ready, min_cosine)
                 for number, stretches in seeded(text, seeds, items.words).items():
                     near.setdefault(number, []).extend(stretches)
@@ -339,27 +341,34 @@ def search(texts: DataFrame, items: Items, coordinates: np.ndarray, width: str,
                                 cosine = float((_unit(mine) @ vectors[number])[0])
                             best = (items.ids[number], begin, end - begin, cosine, common, common / n, part_)
                     if best:
-                        rows.append((doc_id, *best))
+                        rows.append((*key, *best))
             if rows:
                 yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=names).astype(
                     {"doc_id": "Int64", "item_id": "Int64", "first_word": "int32", "n_words": "int32",
                      "common": "int32", "answer_cover": "float64"}), preserve_index=False)
 
-    return texts.mapInArrow(run, f"doc_id long, {FOUND}")
+    return texts.mapInArrow(run, f"doc_id long, digest string, {FOUND}")
 
 
 def find_leaks(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                item_id: str = "item_id", item_text: str = "text", answer: str = "answer",
                block_chars: int = BLOCK_CHARS, **limits) -> DataFrame:
     """doc_id, item_id, where and how well they agree: a row per document row and item found in it."""
-    spark = documents.sparkSession
-    rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
+                            F.lit(None).cast("string").alias("digest"))
+    return _leaks(rows, benchmark, item_id, item_text, answer, block_chars, **limits).drop("digest")
+
+
+def _leaks(rows: DataFrame, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text",
+           answer: str = "answer", block_chars: int = BLOCK_CHARS, **limits) -> DataFrame:
+    """doc_id, digest and FOUND for rows of doc_id, text and digest."""
+    spark = rows.sparkSession
     own = F.col(answer).cast("string") if answer in benchmark.columns else F.lit(None).cast("string")
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text"),
                              own.alias("answer")).filter("text IS NOT NULL").distinct()
     chars = items.agg(F.sum(F.length("text") + F.coalesce(F.length("answer"), F.lit(0)))).first()[0] or 0
     blocks = max(1, math.ceil(chars / block_chars))
-    result = spark.createDataFrame([], f"doc_id long, {FOUND}")
+    result = spark.createDataFrame([], f"doc_id long, digest string, {FOUND}")
     for block in range(blocks):
         mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         held = item_block(sorted(mine.collect(), key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"])))
@@ -382,3 +391,17 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame, doc_id: str = "d
     if found.count() <= BROADCAST_IDS:
         found = F.broadcast(found)
     return documents.join(found, F.col(doc_id).cast("long").eqNullSafe(F.col("_leak")), "left_anti")
+
+
+def clean_rows(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
+               **options) -> DataFrame:
+    """The rows in whose own text no item was found, with all columns; other rows of the same id do not count."""
+    from visitlens.llm.neardup import BROADCAST_IDS
+
+    own, digest = F.col(doc_id).cast("long"), F.md5(F.col(text).cast("binary"))
+    rows = documents.select(own.alias("doc_id"), F.col(text).alias("text"), digest.alias("digest"))
+    found = saved(_leaks(rows, benchmark, **options).select(
+        F.col("doc_id").alias("_leak"), F.col("digest").alias("_digest")).distinct(), "leaks")
+    if found.count() <= BROADCAST_IDS:
+        found = F.broadcast(found)
+    return documents.join(found, own.eqNullSafe(F.col("_leak")) & (digest == F.col("_digest")), "left_anti")
