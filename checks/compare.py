@@ -40,12 +40,17 @@ def differences(spark, sf_dir: str, name: str, connection=None) -> str | None:
     """None if rows, column names and types of values agree, else what differs."""
     from checks.queries import QUERIES, SQL
 
-    df = QUERIES[name](spark, sf_dir)
+    return held_against(spark, sf_dir, QUERIES[name], SQL.get(name), connection)
+
+
+def held_against(spark, sf_dir: str, query, sql: str | None, connection=None) -> str | None:
+    """The same for a query and its SQL."""
+    df = query(spark, sf_dir)
     mine = _rows(df.columns, df.collect())
-    if name not in SQL:
+    if sql is None:
         return None
     connection = connection or duckdb_over(sf_dir)
-    result = connection.execute(SQL[name])
+    result = connection.execute(sql)
     other = _rows([d[0] for d in result.description], result.fetchall())
     if mine[0] != other[0]:
         return f"columns {mine[0]} and {other[0]}"
