@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from visitlens.llm import (decontamination, fertility, mixing, neardup, notices, packing, pii, toxicity, url_cascade,
-                           warc)
+from visitlens.llm import (decontamination, fertility, fim, mixing, neardup, notices, packing, pii, repeats, toxicity,
+                           url_cascade, warc, whitening)
 from visitlens.llm.common import table
 
 QUERIES: dict = {}
@@ -122,3 +123,56 @@ FROM p LEFT JOIN h ON p.d = h.d AND n >= 1000""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.archive_round_trip(table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op11_fill_in_middle", """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
+h AS (
+  SELECT *, CAST('0x' || k[1:8] AS BIGINT) % (n + 1) AS a, CAST('0x' || k[9:16] AS BIGINT) % (n + 1) AS b,
+    CAST('0x' || k[17:24] AS BIGINT) % 100 AS h3, CAST('0x' || k[25:32] AS BIGINT) % 100 AS h4 FROM t),
+f AS (
+  SELECT *, least(a, b) AS lo, greatest(a, b) AS hi,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+      WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (
+  SELECT *, '<P>' || substr(t, 1, lo) AS prefix, '<M>' || substr(t, lo + 1, hi - lo) AS middle,
+    '<S>' || substr(t, hi + 1) AS suffix FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN lo END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN hi - lo END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN prefix || suffix || middle
+    ELSE suffix || prefix || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components_of(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
+@query("op13_repeats", r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w
+  FROM documents),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM w),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM w WHERE len(w) >= 20)),
+again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS r FROM win)
+  WHERE r > 1),
+marked AS (
+  SELECT word.doc_id, word.i, x, max(CASE WHEN again.i IS NULL THEN 0 ELSE 1 END) OVER (
+    PARTITION BY word.doc_id ORDER BY word.i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+  FROM word LEFT JOIN again ON word.doc_id = again.doc_id AND word.i = again.i),
+cut AS (
+  SELECT doc_id, sum(gone) AS n, string_agg(x, ' ' ORDER BY i) FILTER (gone = 0) AS kept FROM marked GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN cut ON w.doc_id = cut.doc_id""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
