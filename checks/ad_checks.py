@@ -12,6 +12,7 @@ from visitlens.operators.filters import filter_count_threshold
 from visitlens.session import scratch_path
 from visitlens.sources.clicks import file_lines, parse_ad_click, rejected_ad_clicks
 from visitlens.streaming import ad_realtime as rt
+from visitlens.streaming.keyed_state import IDLE_SCHEMA
 
 # The data has at most a few clicks per user and window, so the limit is 1 here.
 LIMIT = 1
@@ -63,7 +64,8 @@ def _ad_job(spark, sf, label):
     _run(rt.start_detector(clicks, tables, f"{root}/c/detector", lambda: _whitelist(spark), LIMIT, **how))
     _run(rt.start_cleaner(clicks, tables, f"{root}/c/cleaner", trigger=how["trigger"]))
     published = rt.clean_clicks(spark, tables)
-    _run(rt.start_totals(published, tables, f"{root}/c/totals", **how))
+    _run(rt.start_totals(published, tables, f"{root}/c/totals", top=None, **how))
+    _run(rt.start_top_ads(published, tables, f"{root}/c/top_ads", **how))
     _run(rt.start_windows(published, tables, f"{root}/c/windows", **how))
     return tables
 
@@ -211,6 +213,68 @@ def stream_idle_expiry(spark, sf):
     return _formatted(ads.ad_idle_runs(views.clicks(spark, sf)))
 
 
+# Totals per batch of 30 seconds, as a stream replays them: each batch that changed a total, and the twelfth idle
+# batch, which ends it. The stream has closed what lies ten minutes and more before the last click.
+@check("stream_idle_totals", "clicks", """
+WITH closed AS (SELECT max(ts) - INTERVAL 10 MINUTE AS w FROM clicks),
+counted AS (
+  SELECT strftime(ts, '%Y%m%d') AS date, province, city, ad_id, time_bucket(INTERVAL 30 SECOND, ts) AS b, count(*) AS n
+  FROM clicks GROUP BY ALL),
+run AS (
+  SELECT *, sum(starts) OVER (PARTITION BY date, province, city, ad_id ORDER BY b ROWS UNBOUNDED PRECEDING) AS run
+  FROM (SELECT *, CASE WHEN b - lag(b) OVER (PARTITION BY date, province, city, ad_id ORDER BY b)
+      <= INTERVAL 360 SECOND THEN 0 ELSE 1 END AS starts
+    FROM counted, closed WHERE b + INTERVAL 30 SECOND <= w)),
+total AS (
+  SELECT date, province, city, ad_id, b, run, CAST(sum(n) OVER (
+    PARTITION BY date, province, city, ad_id, run ORDER BY b ROWS UNBOUNDED PRECEDING) AS BIGINT) AS click_count FROM run)
+SELECT strftime(b, '%Y-%m-%d %H:%M:%S') AS batch, date, province, city, ad_id, click_count, false AS ended FROM total
+UNION ALL
+SELECT strftime(max(b) + INTERVAL 360 SECOND, '%Y-%m-%d %H:%M:%S'), date, province, city, ad_id, max(click_count), true
+FROM total, closed GROUP BY date, province, city, ad_id, run, w HAVING max(b) + INTERVAL 390 SECOND <= w""")
+def stream_idle_totals(spark, sf):
+    root = scratch_path(spark, "idle-totals")
+    _run(rt.start_idle_totals(_click_stream(spark, sf, root), f"{root}/totals", f"{root}/checkpoint", **_once(spark)))
+    rows = spark.read.schema(IDLE_SCHEMA).parquet(f"{root}/totals")
+    return rows.withColumn("batch", F.date_format("batch", TIME_FORMAT))
+
+
+# The top ads kept in state by two operators, over a restart half way.
+@check("stream_top_ads_state", "daily", _TOP5.format(daily="daily"))
+def stream_top_ads_state(spark, sf):
+    root = scratch_path(spark, "top-state")
+    tables, clicks = rt.AdTables(root), views.clicks(spark, sf)
+    for condition in ("ts < TIMESTAMP '2024-01-16 12:00:00'", "ts >= TIMESTAMP '2024-01-16 12:00:00'"):
+        views.click_lines(clicks.where(condition)).write.mode("append").text(f"{root}/lines")
+        _run(rt.start_top_ads(parse_ad_click(file_lines(spark, f"{root}/lines")), tables, f"{root}/checkpoint",
+                              **_once(spark)))
+    return rt.read_top_ads(spark, tables)
+
+
+# Windows over minutes as two stateful operators, for the windows the watermark has passed.
+@check("stream_chained_windows", "clicks", f"""
+SELECT * FROM ({_AD_WINDOWS}) WHERE strptime(date, '%Y%m%d%H%M%S') <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM clicks)""")
+def stream_chained_windows(spark, sf):
+    root = scratch_path(spark, "chained")
+    tables = rt.AdTables(root)
+    _run(rt.start_windows(_click_stream(spark, sf, root), tables, f"{root}/checkpoint", **_once(spark)))
+    return spark.read.schema("date string, ad_id int, click_count bigint").parquet(tables.windows)
+
+
+# The same for the windows of users, which slide by three minutes.
+@check("stream_chained_user_windows", "user_windows", """
+SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
+  strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, user_id, click_count
+FROM user_windows WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM clicks)""")
+def stream_chained_user_windows(spark, sf):
+    root = scratch_path(spark, "chained-users")
+    clicks = _click_stream(spark, sf, root).withWatermark("ts", rt.WATERMARK)
+    windows = ads.user_click_windows(clicks, threshold=0, panes=True)
+    _run(windows.writeStream.format("parquet").option("path", f"{root}/windows").option(
+        "checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    return _formatted(spark.read.schema(windows.schema).parquet(f"{root}/windows"))
+
+
 # Totals written by two batches, the second covering all days again: the last version counts.
 @check("stream_ad_daily_counts", "daily", _DAILY)
 def stream_ad_daily_counts(spark, sf):

@@ -29,10 +29,12 @@ def _count():
 
 
 def user_click_windows(
-    clicks: DataFrame, win: str = USER_WINDOW, slide: str = USER_SLIDE, threshold: int = ABUSE_LIMIT
+    clicks: DataFrame, win: str = USER_WINDOW, slide: str = USER_SLIDE, threshold: int = ABUSE_LIMIT,
+    panes: bool = False,
 ) -> DataFrame:
-    """window_start, window_end, user_id, click_count above the threshold."""
-    counts = clicks.groupBy(F.window("ts", win, slide), "user_id").agg(_count())
+    """window_start, window_end, user_id, click_count above the threshold; ``panes`` as in ``ad_click_windows``,
+    where a stream lists users only after the window has closed."""
+    counts = _counted_windows(clicks, ["user_id"], win, slide, panes)
     return filter_count_threshold(counts, threshold).select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
         "user_id", "click_count",
@@ -91,24 +93,27 @@ def ad_click_windows(
 ) -> DataFrame:
     """date (stamp of the window end), ad_id, click_count.
 
-    With ``panes``, static clicks are counted per minute first and the counts are spread over
-    the windows instead of every click. That pays where an ad has many clicks a minute; with
-    few, the second aggregation costs more than it saves. Windows must be whole minutes.
+    With ``panes``, clicks are counted per minute first and the counts are spread over the windows instead
+    of every click. On static clicks that pays where an ad has many clicks a minute; with few, the second
+    aggregation costs more than it saves. On a stream a click then updates one state instead of one per
+    window, and a minute and ad one per window; such a chain needs append mode. Windows must be whole minutes.
     """
-    if panes and not clicks.isStreaming:
-        if not (_whole_minutes(win) and _whole_minutes(slide)):
-            raise ValueError("panes need windows of whole minutes")
-        seconds = F.unix_seconds("ts")
-        minute = F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(_PANE_SECONDS)))
-        counted = clicks.groupBy("ad_id", minute.alias("ts")).agg(_count())
-        total = F.sum("click_count").alias("click_count")
-    else:
-        counted, total = clicks, _count()
-    counts = counted.groupBy(F.window("ts", win, slide), "ad_id").agg(total)
+    counts = _counted_windows(clicks, ["ad_id"], win, slide, panes)
     stamp = F.date_format("window.end", BATCH_STAMP_FORMAT).alias("date")
     return counts.select(stamp, "ad_id", "click_count")
 
 
+def _counted_windows(clicks: DataFrame, keys: list[str], win: str, slide: str, panes: bool) -> DataFrame:
+    """window, keys and click_count, counted at once or by minutes."""
+    if not panes:
+        return clicks.groupBy(F.window("ts", win, slide), *keys).agg(_count())
+    if not (_whole_minutes(win) and _whole_minutes(slide)):
+        raise ValueError("panes need windows of whole minutes")
+    minutes = clicks.groupBy(F.window("ts", f"{_PANE_SECONDS} seconds").alias("minute"), *keys).agg(_count())
+    timed = minutes.select(F.window_time("minute").alias("ts"), *keys, "click_count")
+    return timed.groupBy(F.window("ts", win, slide), *keys).agg(F.sum("click_count").alias("click_count"))
+
+
 def _whole_minutes(interval: str) -> bool:
     return interval.split()[-1].rstrip("s") in ("minute", "hour", "day")
 

@@ -3,6 +3,8 @@
 A batch costs its own size only. Writing a version again replaces it, so a repeated streaming batch
 changes nothing; writers never replace each other's versions. ``compact`` folds versions from time to
 time; of a partitioned table it folds the partitions touched since the last fold and leaves the others alone.
+Versions with nothing left are deleted, so a table has about two folds' worth of versions and one per partition
+that no longer changes, however many batches there were.
 
 Layout: ``<path>/version=<id>/writer=<name>/full=<0|1>``; ``full=1`` holds all keys (of its partitions) up
 to that version. A boolean column ``removed`` in the schema makes a row the end of its key.
@@ -25,14 +27,23 @@ def _glob(spark: SparkSession, pattern: str) -> list:
     return [status.getPath() for status in fs.globStatus(target) or []]
 
 
+def _delete(spark: SparkSession, pattern: str) -> None:
+    for old in _glob(spark, pattern):
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+
+
 def _value(path) -> str:
     return path.getName().split("=", 1)[1]
 
 
+def _version_of(partition) -> int:
+    return int(_value(partition.getParent().getParent().getParent()))
+
+
 def _versions(spark: SparkSession, path: str, full: int | None = None) -> list[int]:
-    """Finished versions; one entry per batch since the last compactions, so a short list."""
+    """Finished versions: those since the last but one fold, and older ones that hold a partition's last fold."""
     found = _glob(spark, f"{path}/version=*/writer=*/full={'*' if full is None else full}/_SUCCESS")
-    return sorted({int(_value(p.getParent().getParent().getParent())) for p in found})
+    return sorted({_version_of(p) for p in found})
 
 
 def next_version(spark: SparkSession, path: str) -> int:
@@ -67,9 +78,10 @@ def upsert(
 def read_latest(
     spark: SparkSession, path: str, keys: list[str], schema: StructType | str,
     where: Column | None = None, partition_by: str | None = None, newest: list[Column] | None = None,
-    removed: bool = False,
+    removed: bool = False, partitions: list[str] | None = None,
 ) -> DataFrame:
-    """The current row of every key. ``where`` on the partition column keeps other partitions unread.
+    """The current row of every key. ``where`` on the partition column keeps other partitions unread; with
+    ``partitions``, its values, other versions are not even listed.
 
     ``newest`` orders the rows of a key before their versions do. Keys that end with a ``removed`` row
     are left out, unless ``removed`` asks for them.
@@ -80,9 +92,15 @@ def read_latest(
         return spark.createDataFrame([], names)
     # Partitions have folds of different age, and what they replaced is deleted; so all is read.
     base = versions[0] if partition_by else max(_versions(spark, path, full=1), default=versions[0])
+    paths = [f"{path}/version={v}" for v in versions if v >= base]
+    if partitions is not None:
+        found = [p for value in partitions for p in _glob(spark, f"{path}/version=*/writer=*/full=*/{partition_by}={value}")]
+        paths = [p.toString() for p in found if _version_of(p) in set(versions)]
+        if not paths:
+            return spark.createDataFrame([], names)
     reader = spark.read.option("basePath", path).schema(StructType(names.fields).add("version", "long").add(
         "writer", "string").add("full", "integer"))
-    rows = reader.parquet(*[f"{path}/version={v}" for v in versions if v >= base])
+    rows = reader.parquet(*paths)
     if where is not None:
         rows = rows.where(where)
     order = [*(newest or []), F.col("version").desc(), F.col("full").desc(), F.col("writer")]
@@ -115,8 +133,20 @@ def compact(
     if partition_by:
         out = out.partitionBy(partition_by)
     out.parquet(f"{path}/version={versions[-1]}/writer={FOLD}/full=1")
+    if previous is None:
+        return
+    if not partition_by:
+        for version in versions:
+            if version < previous:
+                _delete(spark, f"{path}/version={version}")
+        return
+    # Of a partition goes what is older than its last fold but this one, whether or not this fold touched it.
+    folds = [(_value(p), _version_of(p)) for p in _glob(spark, f"{path}/version=*/writer=*/full=1/{partition_by}=*")]
+    last = {value: max(v for other, v in folds if other == value and v <= previous)
+            for value, version in folds if version <= previous}
+    for old in _glob(spark, f"{path}/version=*/writer=*/full=*/{partition_by}=*"):
+        if _version_of(old) < last.get(_value(old), 0):
+            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
     for version in versions:
-        if previous is not None and version < previous:
-            inside = [f"/writer=*/full=*/{partition_by}={value}" for value in touched] if partition_by else [""]
-            for old in [p for part in inside for p in _glob(spark, f"{path}/version={version}{part}")]:
-                old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+        if version < previous and not _glob(spark, f"{path}/version={version}/writer=*/full=*/{partition_by}=*"):
+            _delete(spark, f"{path}/version={version}")

@@ -1,10 +1,11 @@
 """Real-time ad clicks: blacklist, clean clicks, running totals with top ads, sliding counts.
 
-Four queries, each with its own checkpoint, which is kept over restarts:
+Five queries, each with its own checkpoint, which is kept over restarts:
 
     clicks ─┬─ detector ── blacklist table (upsert)
             └─ cleaner ─── clean clicks (one folder per batch, blacklist read anew each batch)
-                             ├─ totals ─── running totals (upsert), top ads per province (upsert)
+                             ├─ totals ─── running totals (upsert)
+                             ├─ top ads ── top ads per province (upsert of changed ranks, see keyed_state)
                              └─ windows ── sliding counts (append)
 
 The detector reads the unfiltered clicks, so a listed user keeps being counted. A batch that is
@@ -25,6 +26,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from visitlens.operators import ads
 from visitlens.sinks.upsert import compact, next_version, partition_values, read_latest, upsert, writers
+from visitlens.streaming import keyed_state
 
 # Result tables and their keys.
 BLACKLIST_KEYS = ["user_id"]
@@ -162,28 +164,39 @@ def expire_clean_clicks(spark: SparkSession, tables: AdTables, keep: int) -> Non
         fs.delete(old, True)
 
 
-def update_totals(batch: DataFrame, batch_id: int, tables: AdTables, top: int = 5, owner: str = "batch") -> None:
-    """Store the changed totals and rank again the (date, province) groups they belong to.
+def update_totals(
+    batch: DataFrame, batch_id: int, tables: AdTables, top: int | None = 5, owner: str = "batch"
+) -> None:
+    """Store the changed totals and, unless ``top`` is None, rank again the (date, province) groups they belong to.
 
-    A ranking is not possible on a stream, and update mode delivers changed keys only, so the
-    ranking reads the stored totals of the touched groups. The totals are partitioned by date: the folders
-    of the version just written name the dates, and only those are read.
+    Update mode delivers changed keys only, so this ranking reads the stored totals of the touched groups. The
+    totals are partitioned by date: the folders of the version just written name the dates, and only those
+    are read. On a stream, ``start_top_ads`` keeps the ranks in state and reads nothing.
     """
     spark = batch.sparkSession
     _refuse_foreign(spark, tables.totals, owner, writers(spark, tables.totals))
     upsert(batch, tables.totals, ads.DAILY_KEYS, batch_id, partition_by="date", writer=owner)
+    _compact_sometimes(spark, batch_id, tables.totals, ads.DAILY_KEYS, TOTALS_SCHEMA, partition_by="date")
+    if top is None:
+        return
     written = f"{tables.totals}/version={batch_id}/writer={owner}/full=0"
     touched = spark.read.schema(TOTALS_SCHEMA).parquet(written).select("date", "province").distinct()
     totals = totals_of_dates(spark, tables, partition_values(spark, tables.totals, batch_id, owner, "date"))
     changed = totals.join(touched, ["date", "province"], "left_semi")
-    upsert(ads.province_top_ads(changed, top), tables.top_ads, TOP_KEYS, batch_id, writer=owner)
-    _compact_sometimes(spark, batch_id, tables.totals, ads.DAILY_KEYS, TOTALS_SCHEMA, partition_by="date")
+    update_top_ads(ads.province_top_ads(changed, top), batch_id, tables, owner)
+
+
+def update_top_ads(batch: DataFrame, batch_id: int, tables: AdTables, owner: str = "batch") -> None:
+    """Store changed ranks."""
+    spark = batch.sparkSession
+    _refuse_foreign(spark, tables.top_ads, owner, writers(spark, tables.top_ads))
+    upsert(batch, tables.top_ads, TOP_KEYS, batch_id, writer=owner)
     _compact_sometimes(spark, batch_id, tables.top_ads, TOP_KEYS, TOP_SCHEMA)
 
 
 def totals_of_dates(spark: SparkSession, tables: AdTables, dates: list[str]) -> DataFrame:
     return read_latest(spark, tables.totals, ads.DAILY_KEYS, TOTALS_SCHEMA,
-                       where=F.col("date").isin(dates), partition_by="date")
+                       where=F.col("date").isin(dates), partition_by="date", partitions=dates)
 
 
 def _start(
@@ -235,7 +248,7 @@ def clean_clicks(spark: SparkSession, tables: AdTables) -> DataFrame:
 
 
 def start_totals(
-    clicks: DataFrame, tables: AdTables, checkpoint: str, top: int = 5,
+    clicks: DataFrame, tables: AdTables, checkpoint: str, top: int | None = 5,
     watermark: str = WATERMARK, trigger: dict | None = None,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
@@ -248,13 +261,43 @@ def start_totals(
     )
 
 
+def start_top_ads(
+    clicks: DataFrame, tables: AdTables, checkpoint: str, top: int = 5,
+    watermark: str = WATERMARK, trigger: dict | None = None,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """The top ads per province from keyed state: a batch writes the ranks it changed and reads no table."""
+    changes = keyed_state.province_top_changes(clicks.withWatermark("ts", watermark), top)
+    return _start(
+        changes.writeStream.queryName("ad_top").outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda df, i: update_top_ads(df, i, tables, owner_of(df.sparkSession, checkpoint))),
+        trigger, clicks.sparkSession, state_partitions,
+    )
+
+
+def start_idle_totals(
+    clicks: DataFrame, path: str, checkpoint: str,
+    watermark: str = WATERMARK, trigger: dict | None = None,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Totals after every batch that changed them, and their end after idle batches."""
+    totals = keyed_state.ad_idle_totals(clicks.withWatermark("ts", watermark))
+    return _start(
+        totals.writeStream.queryName("ad_idle_totals").outputMode("append").format("parquet")
+        .option("path", path).option("checkpointLocation", checkpoint),
+        trigger, clicks.sparkSession, state_partitions,
+    )
+
+
 def start_windows(
     clicks: DataFrame, tables: AdTables, checkpoint: str,
     watermark: str = WATERMARK, trigger: dict | None = None,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Every (window, ad) is written once, when the watermark has passed the window."""
-    counts = ads.ad_click_windows(clicks.withWatermark("ts", watermark))
+    """Every (window, ad) is written once, when the watermark has passed the window. Minutes are counted
+    first: a click updates one state, and a minute of an ad ten."""
+    counts = ads.ad_click_windows(clicks.withWatermark("ts", watermark), panes=True)
     return _start(
         counts.writeStream.queryName("ad_windows").outputMode("append").format("parquet")
         .option("path", tables.windows).option("checkpointLocation", checkpoint),
@@ -281,7 +324,7 @@ def start_ad_realtime(
     whitelist: Whitelist = None, threshold: int = ads.ABUSE_LIMIT, trigger: dict | None = None,
     state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
-    """Start the four queries on parsed clicks (see ``parse_ad_click``)."""
+    """Start the five queries on parsed clicks (see ``parse_ad_click``)."""
     tables = AdTables(out_dir)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     clean = hadoop(tables.clean)
@@ -295,6 +338,7 @@ def start_ad_realtime(
     return [
         start_detector(clicks, tables, at("detector"), whitelist, threshold, **how),
         start_cleaner(clicks, tables, at("cleaner"), trigger=trigger),
-        start_totals(published, tables, at("totals"), **how),
+        start_totals(published, tables, at("totals"), top=None, **how),
+        start_top_ads(published, tables, at("top_ads"), **how),
         start_windows(published, tables, at("windows"), **how),
     ]
