@@ -10,5 +10,6 @@ from checks import (  # noqa: F401
     session_checks,
     sink_checks,
     source_checks,
+    table_checks,
 )
 from checks.registry import QUERIES, SQL  # noqa: F401

@@ -44,14 +44,15 @@ def file_lines(spark: SparkSession, path: str, max_files: int | None = None) ->
 _SEPARATOR = r"[\x00-\x1f]* [\x00-\x20]*"
 
 
-def _parse(lines: DataFrame) -> DataFrame:
+def parse_click_lines(lines: DataFrame) -> DataFrame:
+    """All lines with their click columns, and the ``reason`` of those that do not parse."""
     return parse_tokens(lines, F.split(strip(F.col("value")), _SEPARATOR), CLICK_SCHEMA)
 
 
 def parse_ad_click(lines: DataFrame) -> DataFrame:
     """Clicks with the event time ``ts``; lines that do not parse are left out."""
     return (
-        _parse(lines)
+        parse_click_lines(lines)
         .where("reason IS NULL")
         .select(F.timestamp_millis("timestamp").alias("ts"),
                 *[name for name, _ in columns_of(CLICK_SCHEMA)])
@@ -59,4 +60,4 @@ def parse_ad_click(lines: DataFrame) -> DataFrame:
 
 
 def rejected_ad_clicks(lines: DataFrame) -> DataFrame:
-    return _parse(lines).where("reason IS NOT NULL").select("value", "reason")
+    return parse_click_lines(lines).where("reason IS NOT NULL").select("value", "reason")

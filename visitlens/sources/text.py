@@ -36,6 +36,11 @@ def parse_tokens(
     return typed.withColumn("reason", F.coalesce(*problems)).drop("_width")
 
 
+def _split_lines(lines: DataFrame, schema: str, sep: str, time_column: str | None = None) -> DataFrame:
+    tokens = F.split(F.rtrim("value", F.lit(sep)), r"\Q" + sep + r"\E")
+    return parse_tokens(lines, tokens, schema, time_column)
+
+
 def parse_delimited(
     lines: DataFrame, schema: str, sep: str, time_column: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -44,13 +49,17 @@ def parse_delimited(
     Separators at the end of a line do not count towards its width, so a line whose last field
     is empty is too short. ``time_column`` must hold a time; it is also returned as ``ts``.
     """
-    tokens = F.split(F.rtrim("value", F.lit(sep)), r"\Q" + sep + r"\E")
-    parsed = parse_tokens(lines, tokens, schema, time_column)
+    parsed = _split_lines(lines, schema, sep, time_column)
     good = parsed.where("reason IS NULL").drop("value", "reason")
     rejected = parsed.where("reason IS NOT NULL").select("value", "reason")
     return good, rejected
 
 
+def parse_action_lines(lines: DataFrame) -> DataFrame:
+    """All lines with their action columns, ``ts``, and the ``reason`` of those that do not parse."""
+    return _split_lines(lines, ACTION_SCHEMA, ",", time_column="action_time")
+
+
 def parse_actions(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parse_delimited(lines, ACTION_SCHEMA, ",", time_column="action_time")
 

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from visitlens.functions.times import DATE_KEY_FORMAT
 from visitlens.operators import ads
 from visitlens.sinks.upsert import compact, next_version, partition_values, read_latest, upsert, writers
 from visitlens.streaming import keyed_state
@@ -102,6 +103,27 @@ def owner_of(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
+def state_totals(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The totals as the state of the totals query holds them: those of days the watermark has not passed."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(F.date_format("key.window.start", DATE_KEY_FORMAT).alias("date"), "key.province", "key.city",
+                        "key.ad_id", F.col("value.count").alias("click_count"))
+
+
+def last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """The last batch that the query with this checkpoint has finished."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    return max(int(f.getPath().getName()) for f in files if f.getPath().getName().isdigit())
+
+
+def rebuild_totals(spark: SparkSession, tables: AdTables, checkpoint: str) -> None:
+    """Write the totals of the state as the version of the last finished batch. Restores the live days of a damaged
+    or deleted table; the query must not be running, and goes on from there."""
+    upsert(state_totals(spark, checkpoint), tables.totals, ads.DAILY_KEYS, last_batch(spark, checkpoint),
+           partition_by="date", writer=owner_of(spark, checkpoint))
+
+
 def _refuse_foreign(spark: SparkSession, path: str, owner: str, known: set[str]) -> None:
     others = known - {owner, "manual"}
     if others:
