@@ -28,6 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -49,6 +50,7 @@ MARK_BITS = 22
 _SCALE = np.uint64(0x9E3779B97F4A7C15)
 BLOCK_CHARS = 2_000_000
 ROWS = 256
+PIECE_WORDS = 1 << 15  # words compared at once
 FOUND = ("item_id long, first_word int, n_words int, cosine double, common int, cover double, answer_cover double")
 
 
@@ -62,11 +64,6 @@ class Items:
     terms: dict[bytes, int]
 
 
-class TermNumbers(dict):
-    def __missing__(self, word: bytes) -> int:
-        return 0
-
-
 def item_block(rows: list) -> Items:
     terms: dict[bytes, int] = {}
     ids, words, answers = [], [], []
@@ -88,14 +85,14 @@ def as_terms(documents: DataFrame, terms: dict[bytes, int]) -> DataFrame:
     held = documents.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = TermNumbers(held.value)
+        number = held.value.get
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
                 packed = []
                 for text in part.column("text").to_pylist():
                     words = words_of(text or "")
-                    packed.append(np.fromiter(map(numbers.__getitem__, words), dtype=width, count=len(words)).tobytes())
+                    packed.append(np.fromiter(map(number, words, repeat(0)), dtype=width, count=len(words)).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("digest"), pa.array(packed, pa.binary())],
                     ["doc_id", "digest", "terms"])
@@ -200,29 +197,73 @@ def window_of(n_words: int) -> int:
     return max(LEAST_WINDOW, 1 << max(0, n_words - 1).bit_length())
 
 
-def candidates(text: np.ndarray, coordinates: np.ndarray, scales: dict[int, tuple[np.ndarray, np.ndarray]],
-               least: float) -> dict[int, list[list]]:
-    """Per item number the stretches [first, end, cosine] of the text in which it may lie."""
-    found: dict[int, list[list]] = {}
-    if not len(text) or not scales:
+def _pieces(texts: list[np.ndarray], words: int, longest: int) -> Iterator[list[tuple[int, int]]]:
+    """(text, first word) of pieces with about so many words together. A text's pieces start at multiples of ``words``;
+    each is read on by the longest window."""
+    group, held = [], 0
+    for number, text in enumerate(texts):
+        for first in range(0, len(text), words):
+            group.append((number, first))
+            held += min(words + longest, len(text) - first)
+            if held >= words:
+                yield group
+                group, held = [], 0
+    if group:
+        yield group
+
+
+def candidates(texts: list[np.ndarray], coordinates: np.ndarray, scales: dict[int, tuple[np.ndarray, np.ndarray]],
+               least: float) -> list[dict[int, list[list]]]:
+    """For each text per item number the stretches [first, end, cosine] in which it may lie.
+
+    Pieces of many texts are compared at once: one sum per segment of words, one product per window length.
+    """
+    found: list[dict[int, list[list]]] = [{} for _ in texts]
+    if not scales:
         return found
-    unit = min(scales) // 4
-    segments = np.add.reduceat(coordinates[text], np.arange(0, len(text), unit), axis=0)
-    sums = np.concatenate([np.zeros((1, segments.shape[1])), np.cumsum(segments, axis=0, dtype=np.float64)])
-    n = len(segments)
-    for window, (numbers, items) in scales.items():
-        hop, span = window // 4 // unit, window // unit
-        first = np.arange(0, max(1, n - span + hop), hop)
-        last = np.minimum(first + span, n)
-        cosines = _unit((sums[last] - sums[first]).astype(np.float32)) @ items.T
-        for at, item in zip(*np.nonzero(cosines >= least)):
-            begin = max(0, int(first[at]) * unit - window // 2)
-            end = min(len(text), int(last[at]) * unit + window // 2)
-            mine = found.setdefault(int(numbers[item]), [])
-            if mine and begin <= mine[-1][1] and end - mine[-1][0] <= 4 * window:
-                mine[-1][1], mine[-1][2] = max(mine[-1][1], end), max(mine[-1][2], float(cosines[at, item]))
-            else:
-                mine.append([begin, end, float(cosines[at, item])])
+    unit, longest = min(scales) // 4, max(scales)
+    words = max(PIECE_WORDS, longest)
+    hits = {window: [] for window in scales}
+    for group in _pieces(texts, words, longest):
+        parts = [texts[number][first:first + words + longest] for number, first in group]
+        segments = np.array([-(-len(p) // unit) for p in parts])
+        ends = np.cumsum(segments)
+        begins = ends - segments
+        # Words of a segment side by side, filled up with 0, whose coordinates are 0.
+        padded = np.zeros(ends[-1] * unit, dtype=np.int64)
+        lengths = np.array([len(p) for p in parts])
+        shift = begins * unit - (np.cumsum(lengths) - lengths)
+        padded[np.arange(lengths.sum()) + np.repeat(shift, lengths)] = np.concatenate(parts)
+        padded = padded.reshape(-1, unit)
+        total = coordinates[padded[:, 0]]
+        for k in range(1, unit):
+            total += coordinates[padded[:, k]]
+        sums = np.zeros((ends[-1] + 1, coordinates.shape[1]))
+        np.cumsum(total, axis=0, out=sums[1:])
+        whole = np.array([-(-len(texts[number]) // unit) for number, _ in group])  # segments of the whole text
+        before = np.array([first // unit for _, first in group])
+        for window, (numbers, items) in scales.items():
+            hop, span = window // 4 // unit, window // unit
+            # A text's windows start at multiples of the hop; a piece has those that start in its own words.
+            stop = np.minimum(np.maximum(1, whole - span + hop) - before, words // unit)
+            count = np.maximum(0, -(-stop // hop))
+            piece = np.repeat(np.arange(len(group)), count)
+            first = (np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count)) * hop
+            last = np.minimum(first + span, segments[piece])
+            cosines = _unit((sums[begins[piece] + last] - sums[begins[piece] + first]).astype(np.float32)) @ items.T
+            at, item = np.nonzero(cosines >= least)
+            offset = np.array([f for _, f in group])[piece[at]]
+            hits[window].append((np.array([t for t, _ in group])[piece[at]], offset + first[at] * unit,
+                                 offset + last[at] * unit, numbers[item], cosines[at, item]))
+    for window, parts in hits.items():
+        for part in parts:
+            for number, first, last, item, cosine in zip(*(column.tolist() for column in part)):
+                begin, end = max(0, first - window // 2), min(len(texts[number]), last + window // 2)
+                mine = found[number].setdefault(item, [])
+                if mine and begin <= mine[-1][1] and end - mine[-1][0] <= 4 * window:
+                    mine[-1][1], mine[-1][2] = max(mine[-1][1], end), max(mine[-1][2], cosine)
+                else:
+                    mine.append([begin, end, cosine])
     return found
 
 
@@ -319,8 +360,7 @@ def search(texts: DataFrame, items: Items, coordinates: np.ndarray, width: str,
         sets = [frozenset(w.tolist()) for w in items.words]
         for ids, part in _texts(batches, width):
             rows = []
-            for key, text in zip(ids, part):
-                near = candidates(text, coordinates, ready, min_cosine)
+            for key, text, near in zip(ids, part, candidates(part, coordinates, ready, min_cosine)):
                 for number, stretches in seeded(text, seeds, items.words).items():
                     near.setdefault(number, []).extend(stretches)
                 for number, stretches in near.items():
