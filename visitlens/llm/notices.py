@@ -15,6 +15,7 @@ rows; other columns are ignored. Texts are handled one at a time, whole.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -90,29 +91,42 @@ class Finder:
         return automaton
 
     def windows(self, text: str) -> dict[int, list[list[int]]]:
-        """Per notice, the stretches in which it could lie, merged where they overlap."""
-        found: dict[int, list[list[int]]] = {}
+        """Per notice, the stretches in which it could lie. Pieces that point to about the same place share a stretch,
+        which is never much longer than the notice, whatever stands beside it."""
+        starts: dict[int, set[int]] = {}
         for end, (length, where) in self.automaton.iter(text):
-            start = end - length + 1
             for number, at in where:
-                notice = self.notices[number]
-                low = max(0, start - at - notice.errors)
-                high = start - at + len(notice.phrase) + notice.errors
-                mine = found.setdefault(number, [])
-                if mine and low <= mine[-1][1]:
-                    mine[-1][0] = min(mine[-1][0], low)
-                    mine[-1][1] = max(mine[-1][1], high)
+                starts.setdefault(number, set()).add(end - length + 1 - at)
+        found: dict[int, list[list[int]]] = {}
+        for number, places in starts.items():
+            notice, mine = self.notices[number], found.setdefault(number, [])
+            for place in sorted(places):
+                low, high = max(0, place - notice.errors), min(len(text), place + len(notice.phrase) + notice.errors)
+                if mine and place - mine[-1][2] <= 2 * notice.errors:
+                    mine[-1][1] = high
                 else:
-                    mine.append([low, high])
+                    mine.append([low, high, place])
         return found
 
     def spans(self, text: str) -> list[tuple[int, int, int, Notice]]:
-        """(start, end, errors, notice) of each notice in a text of words joined by single blanks."""
+        """(start, end, errors, notice) of each notice in a text of words joined by single blanks. Of places of one
+        notice that overlap, the one with fewest errors stays, then the first."""
         result = []
         for number, stretches in self.windows(text).items():
-            for low, high in stretches:
-                for match in self.patterns[number].finditer(text, low, min(high, len(text))):
-                    result.append((match.start(), match.end(), sum(match.fuzzy_counts), self.notices[number]))
+            notice, matches = self.notices[number], set()
+            for low, high, _ in stretches:
+                at = text.find(notice.phrase, low, high)
+                if at >= 0:
+                    matches.add((0, at, at + len(notice.phrase)))
+                else:
+                    matches.update((sum(m.fuzzy_counts), m.start(), m.end())
+                                   for m in self.patterns[number].finditer(text, low, high))
+            taken: list[tuple[int, int]] = []  # disjoint, in order
+            for errors, start, end in sorted(matches):
+                at = bisect_left(taken, (start, end))
+                if (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or end <= taken[at][0]):
+                    taken.insert(at, (start, end))
+                    result.append((start, end, errors, notice))
         return sorted(result, key=lambda s: (s[0], s[1], s[3].label))
 
 
@@ -137,9 +151,13 @@ def scan(text: str, finder: Finder, phrases: dict[str, str]) -> tuple:
     places = {label: exact_places(joined, phrase) for label, phrase in phrases.items()}
     starts = [p for some in places.values() for p in some]
     plain = joined[1:-1].decode("utf-8", "surrogatepass")
-    spans = [{"label": notice.label, "first_word": plain.count(" ", 0, start + (plain[start] == " ")),
-              "n_words": len(plain[start:end].split()), "errors": errors, "allowed": notice.errors,
-              "found": plain[start:end]} for start, end, errors, notice in finder.spans(plain)]
+    spans, word, counted = [], 0, 0
+    for start, end, errors, notice in finder.spans(plain):
+        begin = start + (plain[start] == " ")
+        word += plain.count(" ", counted, begin)  # the start before is never later, but for a leading blank
+        counted = begin
+        spans.append({"label": notice.label, "first_word": word, "n_words": len(plain[start:end].split()), "errors": errors,
+                      "allowed": notice.errors, "found": plain[start:end]})
     return (len(words), len(starts), min(starts, default=None), max(starts, default=None),
             sorted(label for label, some in places.items() if some), spans)
 

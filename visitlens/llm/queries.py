@@ -40,7 +40,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_notices")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return notices.notice_report(notices.find_notices(table(spark, sf_dir, "documents"))).drop("spans")
+    return notices.notice_report(notices.find_notices(table(spark, sf_dir, "documents")))
 
 
 @query("op5_fertility")
