@@ -78,3 +78,42 @@ def test_labels_scores_and_odd_tables(spark):
         (None, "", ""), (1, "reserved", ""), (1, "reserved", "reserved")]
     assert rows[1]["score"] == pytest.approx(1 - 2 / 3) and rows[1]["spans"][0]["first_word"] == 0
     assert n.notice_report(n.find_notices(documents(spark, []))).count() == 0
+
+
+def ends_within(text, phrase, errors):
+    """(end, distance) of every place where the phrase ends within the errors, by dynamic programming over the whole text."""
+    column, found = list(range(len(phrase) + 1)), []
+    for end, c in enumerate(text, 1):
+        last, column = column, [0]
+        for j, p in enumerate(phrase, 1):
+            column.append(min(column[-1] + 1, last[j] + 1, last[j - 1] + (c != p)))
+        if column[-1] <= errors:
+            found.append((end, column[-1]))
+    return found
+
+
+def test_notices_side_by_side_against_all_windows():
+    """Every place within the errors is found, or overlaps a place that is; a better neighbour hides none."""
+    draw, finder = random.Random(7), n.Finder({"reserved": "all rights reserved", "cc0": "creative commons zero"})
+    assert [s[:3] for s in finder.spans("all rihts reserved by all rights reserved")] == [(0, 18, 1), (22, 41, 0)]
+    for _ in range(40):
+        parts = [spoiled(draw.choice(finder.notices).phrase, draw.randrange(4), draw) if draw.random() < 0.7
+                 else draw.choice(["all", "reserved", "rights", "zero", "by"]) for _ in range(12)]
+        text = " ".join(" ".join(parts).split())
+        spans = finder.spans(text)
+        for notice in finder.notices:
+            mine = [s for s in spans if s[3] is notice]
+            assert all(a[1] <= b[0] for a, b in zip(mine, mine[1:]))
+            for end, errors in ends_within(text, notice.phrase, notice.errors):
+                assert any(s[0] < end and s[1] > end - len(notice.phrase) - errors for s in mine), (text, notice.label, end)
+
+
+def test_many_near_notices_take_linear_time():
+    import time
+
+    finder = n.Finder(n.NOTICES)
+    text = "all rihts reserved " * 20_000
+    start = time.time()
+    found = n.scan(text, finder, n.BASE_PHRASES)
+    assert len(found[5]) == 20_000 and time.time() - start < 30
+    assert [s["first_word"] for s in found[5][:3]] == [0, 3, 6]

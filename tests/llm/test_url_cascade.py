@@ -70,3 +70,38 @@ def test_empty_tables(spark):
     assert uc.judge_pages(df, rules).count() == 0
     one = spark.createDataFrame([(1, "http://a.net/es/")], "page_id long, url string")
     assert [r["verdict"] for r in uc.judge_pages(one, rules.filter("false")).collect()] == ["allow"]
+
+
+def test_short_list_in_a_large_universe(spark):
+    """The error rate of the first level follows the ratio of the lists, and no shard is over the bound."""
+    keys = [f"host{i}" for i in range(60_000)]
+    universe = spark.createDataFrame([(k,) for k in keys], "key string")
+    frame = spark.createDataFrame([(k,) for k in keys[:70]], "key string")
+    cascade = uc.build_cascade(frame, universe, max_bytes=200)
+    assert all(cascade.shard(i).n_bytes <= 200 for i in range(len(cascade.shards)))
+    n = len(cascade.shards)
+    rows = universe.select("key", uc.key_hash(universe.key).alias("h"), uc.key_shard(universe.key, n).alias("s")).toPandas()
+    found = {k for s, part in rows.groupby("s") for k in part["key"][cascade.contains(s, part["h"].to_numpy())]}
+    assert found == set(keys[:70])
+
+
+def test_equal_hashes_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(uc, "key_hash", lambda key: uc.F.length(key).cast("long"))
+    keys = [f"{i:03d}" for i in range(40)] + [f"{i:05d}" for i in range(60)]
+    universe = spark.createDataFrame([(k,) for k in keys], "key string")
+    frame = spark.createDataFrame([(k,) for k in keys[5:15]], "key string")
+    cascade = uc.build_cascade(frame, universe)
+    hashes = np.array([len(k) for k in keys], dtype=np.int64)
+    assert [k for k, f in zip(keys, cascade.contains(0, hashes, keys)) if f] == keys[5:15]
+    listed, _ = uc._contains_column(spark, cascade, 0)
+    found = universe.select(uc.F.get(listed(uc.F.array("key")), uc.F.lit(0)).alias("k")).filter("k IS NOT NULL")
+    assert sorted(r.k for r in found.collect()) == keys[5:15]
+
+
+def test_pages_in_shards(spark):
+    """Several shards, asked and released one by one, give the same verdicts."""
+    hosts = [f"h{i}.{t}" for i in range(300) for t in ("com", "net")]
+    df = spark.createDataFrame([(i, f"http://{h}/{'es' if i % 3 else 'en'}/") for i, h in enumerate(hosts)], "page_id long, url string")
+    rules = spark.createDataFrame(RULES, "rule string, verdict string")
+    whole, small = (sorted(map(tuple, uc.judge_pages(df, rules, max_bytes=b).collect())) for b in (1 << 20, 100))
+    assert whole == small and {r[4] for r in whole} == {"allow", "block"}

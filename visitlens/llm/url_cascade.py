@@ -6,16 +6,18 @@ left. A key of the universe is listed if the first level that does not hold it i
 it and the last one is even. Since the universe is every key of the corpus, the answer is exact for
 each page.
 
-Levels are built by Spark: each key's bit positions become (word, bits) rows that ``bit_or`` merges
-before and after the shuffle. What is broadcast is the filters, about 6 bits a listed key and 1.5 a
-false positive. Their size is computed before anything is collected; above ``max_bytes`` the keys are
-dealt into shards by hash, each with a cascade within the bound, and pages are judged shard by shard.
+Level 0 is as exact as the ratio of listed to other keys asks for, so that about as many keys reach level 1
+as are listed; from there on a level takes a sixteenth of the keys for listed. Levels are built by Spark: each key's
+bit positions become (word, bits) rows that ``bit_or`` merges before and after the shuffle. Keys are dealt into shards
+by hash, so that all levels of a shard have ``max_bytes`` at most. Shards are built, written, broadcast, asked and released one
+after the other: driver and tasks hold one at a time. Keys that two levels running do not tell apart have equal hashes;
+they are kept by name.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -24,9 +26,10 @@ from pyspark.sql import functions as F
 
 from visitlens.llm.common import lower_ascii, mixed, saved
 
-HASHES = 4  # per key and level: a level mistakes about one key in 16
+HASHES = 4  # per key from level 1 on: a level mistakes about one key in 16
 BITS_PER_KEY = 6
 MAX_BYTES = 64 << 20
+MAX_NAMES = 100_000  # keys with equal hashes
 
 
 @dataclass
@@ -34,37 +37,86 @@ class Level:
     bits: np.ndarray  # uint64
     n_bits: int
     number: int
+    n_hashes: int = HASHES
 
     def holds(self, hashes: np.ndarray) -> np.ndarray:
         result = np.ones(len(hashes), dtype=bool)
-        for position in positions(hashes, self.number, self.n_bits):
+        for position in positions(hashes, self.number, self.n_bits, self.n_hashes):
             word = self.bits[(position >> np.uint64(6)).astype(np.int64)]
             result &= (word >> (position & np.uint64(63)) & np.uint64(1)).astype(bool)
         return result
 
 
 @dataclass
-class Cascade:
-    """Levels of each shard. ``contains`` is exact for keys of the universe."""
+class Shard:
+    """Levels, and the names of listed and other keys that no level tells apart."""
 
-    shards: list[list[Level]]
+    levels: list[Level]
+    listed: frozenset[str] = frozenset()
+    others: frozenset[str] = frozenset()
 
-    def contains(self, shard: int, hashes: np.ndarray) -> np.ndarray:
-        levels = self.shards[shard]
-        listed = np.full(len(hashes), len(levels) % 2 == 1)
+    def contains(self, hashes: np.ndarray) -> np.ndarray:
+        """What the levels say; keys in ``listed`` or ``others`` are not asked here."""
+        result = np.full(len(hashes), len(self.levels) % 2 == 1)
         open_ = np.arange(len(hashes))
-        for level in levels:
+        for level in self.levels:
             held = level.holds(hashes[open_])
-            listed[open_[~held]] = level.number % 2 == 1
+            result[open_[~held]] = level.number % 2 == 1
             open_ = open_[held]
-        return listed
+        return result
+
+    @property
+    def n_bytes(self) -> int:
+        return sum(level.bits.nbytes for level in self.levels)
+
+
+@dataclass
+class Cascade:
+    """Written shards; the driver holds what was asked last, up to MAX_BYTES. ``contains`` is exact for keys of the
+    universe."""
+
+    shards: list[DataFrame]
+    held: dict[int, Shard] = field(default_factory=dict)
+
+    def shard(self, number: int) -> Shard:
+        if number not in self.held:
+            found = self._read(number)
+            while self.held and sum(s.n_bytes for s in self.held.values()) + found.n_bytes > MAX_BYTES:
+                self.held.pop(next(iter(self.held)))
+            self.held[number] = found
+        return self.held[number]
 
+    def _read(self, number: int) -> Shard:
+        rows = self.shards[number].collect()
+        levels = [Level(np.frombuffer(r["bits"], dtype=np.uint64), r["n_bits"], r["number"], r["n_hashes"])
+                  for r in sorted(rows, key=lambda r: r["number"]) if r["number"] >= 0]
+        names = [r for r in rows if r["number"] < 0]
+        return Shard(levels, frozenset(k for r in names for k in r["listed"]), frozenset(k for r in names for k in r["others"]))
 
-def positions(hashes: np.ndarray, level: int, n_bits: int):
-    """HASHES bit positions of each key in a level, from its 64-bit hash."""
+    def contains(self, shard: int, hashes: np.ndarray, keys: list[str] | None = None) -> np.ndarray:
+        asked = self.shard(shard)
+        found = asked.contains(hashes)
+        for at, key in enumerate(keys or []):
+            if key in asked.listed or key in asked.others:
+                found[at] = key in asked.listed
+        return found
+
+
+_SHARD_SCHEMA = ("number int, n_bits long, n_hashes int, bits binary, listed array<string>, others array<string>")
+
+
+def _written(spark, shard: Shard) -> DataFrame:
+    rows = [(level.number, level.n_bits, level.n_hashes, level.bits.tobytes(), [], []) for level in shard.levels]
+    if shard.listed or shard.others:
+        rows.append((-1, 0, 0, b"", sorted(shard.listed), sorted(shard.others)))
+    return saved(spark.createDataFrame(rows, _SHARD_SCHEMA), "cascade-shard")
+
+
+def positions(hashes: np.ndarray, level: int, n_bits: int, n_hashes: int = HASHES):
+    """The bit positions of each key in a level, from its 64-bit hash."""
     base = mixed(hashes.view(np.uint64) + np.uint64((level + 1) * 0x9E3779B97F4A7C15 % 2**64))
     step = mixed(base) | np.uint64(1)
-    for k in range(HASHES):
+    for k in range(n_hashes):
         yield (base + np.uint64(k) * step) % np.uint64(n_bits)
 
 
@@ -76,27 +128,67 @@ def key_shard(key: Column, n_shards: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(7)), F.lit(n_shards)).cast("int")
 
 
-def _level_bits(keys: DataFrame, number: int, n_bits: dict[int, int]) -> dict[int, Level]:
-    """The filters of one level, by shard, from rows (shard, hash)."""
+def first_level(n_listed: int, n_others: int) -> tuple[int, int]:
+    """Bits per key and hashes of level 0: no more mistakes than about seven for ten listed keys, and one in 16 at most."""
+    rate = min(2.0 ** -HASHES, 0.7 * n_listed / max(1, n_others))
+    return math.ceil(-math.log2(rate) / math.log(2)), max(HASHES, round(-math.log2(rate)))
+
+
+def _level(keys: DataFrame, number: int, n_keys: int, bits_per_key: int, n_hashes: int) -> Level:
+    """The filter of the keys, from their hashes."""
+    n_bits = max(64, bits_per_key * n_keys)
 
     def spread(batches):
         for batch in batches:
-            for shard, part in batch.groupby("shard"):
-                for position in positions(part["hash"].to_numpy(np.int64), number, n_bits[int(shard)]):
-                    yield pd.DataFrame({
-                        "shard": int(shard), "word": (position >> np.uint64(6)).astype(np.int64),
-                        "bits": (np.uint64(1) << (position & np.uint64(63))).view(np.int64)})
-
-    merged = (keys.mapInPandas(spread, "shard int, word long, bits long")
-              .groupBy("shard", "word").agg(F.bit_or("bits").alias("bits")))
-    frame = merged.toPandas()  # at most the stated size of the filters, checked by the caller
-    levels = {}
-    for shard, bits in n_bits.items():
-        part = frame[frame["shard"] == shard]
-        words = np.zeros((bits + 63) // 64, dtype=np.uint64)
-        words[part["word"].to_numpy()] = part["bits"].to_numpy(np.int64).view(np.uint64)
-        levels[shard] = Level(words, bits, number)
-    return levels
+            for position in positions(batch["hash"].to_numpy(np.int64), number, n_bits, n_hashes):
+                yield pd.DataFrame({"word": (position >> np.uint64(6)).astype(np.int64),
+                                    "bits": (np.uint64(1) << (position & np.uint64(63))).view(np.int64)})
+
+    merged = keys.select("hash").mapInPandas(spread, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    frame = merged.toPandas()  # the filter of one level of one shard
+    words = np.zeros((n_bits + 63) // 64, dtype=np.uint64)
+    words[frame["word"].to_numpy(np.int64)] = frame["bits"].to_numpy(np.int64).view(np.uint64)
+    return Level(words, n_bits, number, n_hashes)
+
+
+def _names(keys: DataFrame) -> frozenset[str]:
+    rows = keys.select("key").limit(MAX_NAMES + 1).collect()
+    if len(rows) > MAX_NAMES:
+        raise RuntimeError("too many keys with equal hashes")
+    return frozenset(r["key"] for r in rows)
+
+
+def _build_shard(keys: DataFrame, max_bytes: int) -> Shard | None:
+    """The cascade of a shard's keys (hash, key, listed), or None if it is larger than ``max_bytes``."""
+    spark = keys.sparkSession
+    inside, outside = keys.filter("listed = 1"), keys.filter("listed = 0")
+    sizes = {r["listed"]: r["n"] for r in keys.groupBy("listed").agg(F.count("*").alias("n")).collect()}
+    n_inside, n_outside = sizes.get(1, 0), sizes.get(0, 0)
+    shard, useless = Shard([]), 0
+    bits_per_key, n_hashes = first_level(max(1, n_inside), n_outside)
+    while n_inside:
+        if shard.n_bytes + max(64, bits_per_key * n_inside) / 8 > max_bytes:
+            return None
+        level = _level(inside, len(shard.levels), n_inside, bits_per_key, n_hashes)
+        shard.levels.append(level)
+        held = spark.sparkContext.broadcast(level)
+
+        def mistaken(batches, held=held):
+            for batch in batches:
+                yield batch[held.value.holds(batch["hash"].to_numpy(np.int64))]
+
+        wrong = saved(outside.select("hash", "key").mapInPandas(mistaken, "hash long, key string"), "cascade-level")
+        n_wrong = wrong.count()
+        held.unpersist()
+        useless = useless + 1 if n_wrong == n_outside else 0
+        inside, outside, n_inside, n_outside = wrong, inside, n_wrong, n_inside
+        bits_per_key, n_hashes = BITS_PER_KEY, HASHES
+        if useless > 1 and n_inside:
+            # Levels count from 0: an even one has just been made from listed keys.
+            pair = _names(inside), _names(outside)
+            shard.listed, shard.others = pair if len(shard.levels) % 2 == 0 else pair[::-1]
+            break
+    return shard
 
 
 def build_cascade(listed: DataFrame, universe: DataFrame, key: str = "key",
@@ -112,39 +204,25 @@ def build_cascade(listed: DataFrame, universe: DataFrame, key: str = "key",
     keys = (both.filter("key IS NOT NULL").groupBy("key").agg(F.max("listed").alias("listed"))
             .select(key_hash(F.col("key")).alias("hash"), "key", "listed"))
     keys = saved(keys, "cascade-keys")
-    n_listed = keys.filter("listed = 1").count()
+    counts = {r["listed"]: r["n"] for r in keys.groupBy("listed").agg(F.count("*").alias("n")).collect()}
+    n_listed = counts.get(1, 0)
     if not n_listed:
-        return Cascade([[]])
-    # The levels after the first take a sixteenth of the keys each; half as much again is ample.
-    n_shards = max(1, math.ceil(n_listed * BITS_PER_KEY * 1.5 / 8 / max_bytes))
-    keys = keys.select("hash", "listed", key_shard(F.col("key"), n_shards).alias("shard"))
-    inside, outside = keys.filter("listed = 1"), keys.filter("listed = 0")
-    shards: list[list[Level]] = [[] for _ in range(n_shards)]
-    number = 0
-    while True:
-        counts = {r["shard"]: r["n"] for r in inside.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-        if not counts:
+        return Cascade([_written(spark, Shard([]))])
+    # Level 1 has about 0.7 of the listed keys, those after it a sixteenth each; a quarter more is for unequal shards.
+    bits = first_level(n_listed, counts.get(0, 0))[0] + BITS_PER_KEY
+    n_shards = max(1, math.ceil(1.25 * n_listed * bits / 8 / max_bytes))
+    while n_shards <= 16 * n_listed:
+        shards: list[DataFrame] = []
+        for number in range(n_shards):
+            mine = keys if n_shards == 1 else keys.filter(key_shard(F.col("key"), n_shards) == number)
+            shard = _build_shard(mine, max_bytes)
+            if shard is None:
+                break
+            shards.append(_written(spark, shard))
+        else:
             return Cascade(shards)
-        n_bits = {s: max(64, BITS_PER_KEY * n) for s, n in counts.items()}
-        if sum(n_bits.values()) / 8 > 2 * max_bytes * n_shards:
-            raise ValueError(f"level {number} has {sum(n_bits.values()) // 8} bytes, over the stated bound")
-        levels = _level_bits(inside, number, n_bits)
-        for shard, level in levels.items():
-            shards[shard].append(level)
-        held = spark.sparkContext.broadcast(levels)
-
-        def mistaken(batches, held=held):
-            for batch in batches:
-                keep = np.zeros(len(batch), dtype=bool)
-                shard, hashes = batch["shard"].to_numpy(), batch["hash"].to_numpy(np.int64)
-                for s, level in held.value.items():
-                    at = np.flatnonzero(shard == s)
-                    keep[at] = level.holds(hashes[at])
-                yield batch[keep]
-
-        wrong = saved(outside.select("hash", "shard").mapInPandas(mistaken, "hash long, shard int"),
-                      "cascade-level")
-        inside, outside, number = wrong, inside, number + 1
+        n_shards *= 2
+    raise ValueError(f"{max_bytes} bytes are too few for the levels of a single key")
 
 
 def with_host_and_path(pages: DataFrame, url: str = "url") -> DataFrame:
@@ -193,7 +271,7 @@ def longest_rule(pages: DataFrame, rules: DataFrame, max_bytes: int = MAX_BYTES)
                                 "rule_verdict": F.lit(None).cast("string")})
     for verdict, cascade in cascades.items():
         for shard in range(len(cascade.shards)):
-            listed = _contains_column(pages.sparkSession, cascade, shard, len(cascade.shards))
+            listed, held = _contains_column(pages.sparkSession, cascade, shard)
             hits = F.filter(listed(F.col("_keys")), lambda k: k.isNotNull())
             best = F.sort_array(F.transform(hits, lambda k: F.struct(F.length(k).alias("n"), k.alias("k"))),
                                 asc=False)
@@ -202,26 +280,41 @@ def longest_rule(pages: DataFrame, rules: DataFrame, max_bytes: int = MAX_BYTES)
             chosen = chosen.withColumns({
                 "rule_verdict": F.when(better, F.lit(verdict)).otherwise(F.col("rule_verdict")),
                 "rule": F.when(better, F.col("_best")).otherwise(F.col("rule"))})
+            chosen = _released(chosen, held, len(cascade.shards))
     return chosen.drop("_keys", "_best")
 
 
-def _contains_column(spark, cascade: Cascade, shard: int, n_shards: int):
-    """Column function: an array of keys with null for those that are not listed in the shard."""
-    held = spark.sparkContext.broadcast(cascade)
+def _released(rows: DataFrame, held, n_shards: int) -> DataFrame:
+    """Of several shards, each is gone from the tasks before the next is sent: its answers are written."""
+    if n_shards > 1:
+        rows = saved(rows, "shard-answers")
+        held.unpersist()
+    return rows
+
+
+def _contains_column(spark, cascade: Cascade, number: int):
+    """Column function: an array of keys with null for those that are not listed in the shard; and what is broadcast."""
+    n_shards, shard = len(cascade.shards), cascade.shard(number)
+    held = spark.sparkContext.broadcast(shard)
 
     @F.pandas_udf("array<boolean>")
     def listed(hashes: pd.Series) -> pd.Series:
         sizes = [len(h) for h in hashes]
         flat = np.concatenate([np.asarray(h, dtype=np.int64) for h in hashes]) if sum(sizes) else \
             np.zeros(0, np.int64)
-        found = held.value.contains(shard, flat)
-        return pd.Series(np.split(found, np.cumsum(sizes)[:-1]))
+        return pd.Series(np.split(held.value.contains(flat), np.cumsum(sizes)[:-1]))
 
     def column(keys: Column) -> Column:
         flags = listed(F.transform(keys, key_hash))
-        return F.zip_with(keys, flags, lambda k, f: F.when(f & (key_shard(k, n_shards) == shard), k))
 
-    return column
+        def chosen(key, flag):
+            if shard.listed or shard.others:
+                flag = F.when(key.isin(*shard.listed), True).when(key.isin(*shard.others), False).otherwise(flag)
+            return F.when(flag & (key_shard(key, n_shards) == number), key)
+
+        return F.zip_with(keys, flags, chosen)
+
+    return column, held
 
 
 def listed_hosts(judged: DataFrame) -> DataFrame:
@@ -244,10 +337,11 @@ def judge_pages(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", ur
     ruled = saved(longest_rule(parsed.drop("url"), rules, max_bytes), "url-rules")
     hosts = build_cascade(listed_hosts(ruled), ruled.filter("host <> ''").select(F.col("host").alias("key"))
                           .distinct(), max_bytes=max_bytes)
-    bad = F.lit(False)
+    ruled = ruled.withColumn("_bad", F.lit(False))
     for shard in range(len(hosts.shards)):
-        listed = _contains_column(pages.sparkSession, hosts, shard, len(hosts.shards))
-        bad = bad | F.coalesce(F.get(listed(F.array("host")), F.lit(0)).isNotNull(), F.lit(False))
-    return ruled.withColumn("_bad", bad).select(
+        listed, held = _contains_column(pages.sparkSession, hosts, shard)
+        bad = F.coalesce(F.get(listed(F.array("host")), F.lit(0)).isNotNull(), F.lit(False))
+        ruled = _released(ruled.withColumn("_bad", F.col("_bad") | bad), held, len(hosts.shards))
+    return ruled.select(
         "page_id", "host", "path", "rule",
         F.coalesce("rule_verdict", F.when(F.col("_bad"), "block").otherwise("allow")).alias("verdict"))
