@@ -1,11 +1,11 @@
 """Real-time ad clicks: blacklist, clean clicks, running totals with top ads, sliding counts.
 
-Five queries, each with its own checkpoint, which is kept over restarts:
+Four or five queries, each with its own checkpoint, which is kept over restarts:
 
     clicks ─┬─ detector ── blacklist table (upsert)
             └─ cleaner ─── clean clicks (one folder per batch, blacklist read anew each batch)
-                             ├─ totals ─── running totals (upsert)
-                             ├─ top ads ── top ads per province (upsert of changed ranks, see keyed_state)
+                             ├─ totals ─── running totals (upsert), top ads per province (upsert)
+                             ├─ top ads ── with ``ranks_in_state`` these instead, kept in state: a batch reads no table
                              └─ windows ── sliding counts (append)
 
 The detector reads the unfiltered clicks, so a listed user keeps being counted. A batch that is
@@ -344,9 +344,9 @@ def start_idle_runs(
 def start_ad_realtime(
     spark: SparkSession, clicks: DataFrame, out_dir: str, checkpoint_dir: str,
     whitelist: Whitelist = None, threshold: int = ads.ABUSE_LIMIT, trigger: dict | None = None,
-    state_partitions: int | None = None,
+    state_partitions: int | None = None, ranks_in_state: bool = False,
 ) -> list[StreamingQuery]:
-    """Start the five queries on parsed clicks (see ``parse_ad_click``)."""
+    """Start the queries on parsed clicks (see ``parse_ad_click``)."""
     tables = AdTables(out_dir)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     clean = hadoop(tables.clean)
@@ -357,10 +357,10 @@ def start_ad_realtime(
 
     published = clean_clicks(spark, tables)
     how = {"trigger": trigger, "state_partitions": state_partitions}
-    return [
+    queries = [
         start_detector(clicks, tables, at("detector"), whitelist, threshold, **how),
         start_cleaner(clicks, tables, at("cleaner"), trigger=trigger),
-        start_totals(published, tables, at("totals"), top=None, **how),
-        start_top_ads(published, tables, at("top_ads"), **how),
+        start_totals(published, tables, at("totals"), top=None if ranks_in_state else 5, **how),
         start_windows(published, tables, at("windows"), **how),
     ]
+    return [*queries, start_top_ads(published, tables, at("top_ads"), **how)] if ranks_in_state else queries
