@@ -2,17 +2,21 @@
 
 Words are encoded one by one, as they stand after a blank, with a vocabulary that falls back to bytes.
 Measured are characters per token, the share of tokens that are single bytes, and the entropy of the
-token distribution over the largest that so many tokens can have. A text fails if it is below the band
-of its language, which all documents of the language together define, or outside LIMITS: junk of symbols
-and capitals breaks into many short tokens, foreign scripts into bytes, and repetition leaves few
-distinct tokens.
+token distribution over the largest that so many tokens can have. Each has a band, which all documents of
+a language together define: junk of symbols and capitals breaks into many short tokens, foreign scripts
+into bytes, and repetition leaves few distinct tokens. A text fails outside a band of its language.
 
-Texts are read once. Their measures are written; the bands are two aggregates of those. A worker
-remembers the tokens of at most ``CACHE_WORDS`` words and forgets all when full.
+A language of few documents leans on the band of the text's script, and that on the band of all documents.
+The weight of its own is n / (n + ``PRIOR``), so no number of documents is a threshold, and a band that
+leans on another is wider by the distance between the two. Scripts are those of most letters.
 
-Defined results: null and empty texts have no words and fail; null is a language of its own; languages
-of less than ``MIN_DOCUMENTS`` documents have LIMITS only; repeated rows and null ids keep their rows;
-``clean_documents`` keeps all columns, whatever their names.
+Texts are read once. Their measures are written; the bands are aggregates of those, of which the driver sees
+those of the scripts (a fixed list) only. A worker remembers the tokens of at most ``CACHE_WORDS`` words
+and forgets all when full.
+
+Defined results: null and empty texts have no words and fail; null is a language of its own; repeated rows
+and null ids keep their rows; where no document passes the base rules there are no bands, and none to
+reject; ``clean_documents`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.llm.common import saved
@@ -37,11 +41,19 @@ ROWS = 512  # texts in Python at a time
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\v\f\r"
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-            "chars_per_token double, byte_share double, token_entropy double")
-# For every language: least and most characters per token, most byte share, least relative entropy.
-LIMITS = (1.0, 12.0, 0.3, 0.2)
+            "chars_per_token double, byte_share double, token_entropy double, script string")
+# Scripts by the first byte of their letters in UTF-8 (fixed values), ends included.
+SCRIPTS = {"latin": ((0x41, 0x5A), (0x61, 0x7A), (0xC3, 0xCA)), "greek": ((0xCD, 0xCF),),
+           "cyrillic": ((0xD0, 0xD3),), "hebrew": ((0xD4, 0xD7),), "arabic": ((0xD8, 0xDD),),
+           "south asian": ((0xE0, 0xE1),), "east asian": ((0xE3, 0xE9),), "hangul": ((0xEA, 0xED),),
+           "other": ((0xF0, 0xF4),)}
+NO_SCRIPT = "none"
+# Bands by measure: on which sides they end (-1 below, 1 above), and the least standard deviation, since
+# half of a language's texts may agree to the last digit (most have no byte tokens at all).
+BANDS = {"chars_per_token": ((-1, 1), 0.02), "byte_share": ((1,), 0.02), "token_entropy": ((-1,), 0.02)}
 SPREADS = 5.0
-MIN_DOCUMENTS = 100
+PRIOR = 30
+ROBUST = 1.4826  # standard deviations in a median distance of normal values
 ACCURACY = 10_000
 
 
@@ -94,8 +106,17 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     return int((np.cumsum(covered) > 0).sum())
 
 
+def script_of(data: bytes) -> str:
+    """The script of most letters of a UTF-8 text; the first of SCRIPTS if several have as many."""
+    counts = np.bincount(np.frombuffer(data, dtype=np.uint8), minlength=256)
+    found = {name: int(sum(counts[a:b + 1].sum() for a, b in ranges)) for name, ranges in SCRIPTS.items()}
+    best = max(found, key=found.get)
+    return best if found[best] else NO_SCRIPT
+
+
 def measure(text: str, tokens: WordTokens) -> tuple:
-    words = text.encode("utf-8", "surrogatepass").split()  # exactly the blanks above
+    data = text.encode("utf-8", "surrogatepass")
+    words = data.split()  # exactly the blanks above
     lines = [line for line in text.split("\n") if line.strip(BLANKS)]
     ids = np.fromiter(chain.from_iterable(map(tokens.__getitem__, words)), dtype=np.int64)
     chars = len(text) - sum(text.count(c) for c in BLANKS)
@@ -109,7 +130,7 @@ def measure(text: str, tokens: WordTokens) -> tuple:
     else:
         ratios = (0.0, 0.0, 0.0)
     return (len(words), chars, sum(text.count(c) for c in SYMBOLS), len(lines) - len(set(lines)),
-            repeated_words(words), *ratios)
+            repeated_words(words), *ratios, script_of(data))
 
 
 def with_measures(documents: DataFrame, text: str = "text", drop: tuple = (),
@@ -133,43 +154,103 @@ def with_measures(documents: DataFrame, text: str = "text", drop: tuple = (),
     return kept.mapInArrow(run, schema)
 
 
-def learned_bands(measured: DataFrame, lang: str = "lang", spreads: float = SPREADS,
-                  min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """_lang, _centre, _width and _typical of each language, over all its documents that pass the base rules.
+def base_failure():
+    return (F.col("n_words") < MIN_WORDS) | (
+        100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+
+
+def _median(column) -> Column:
+    return F.percentile_approx(column, 0.5, ACCURACY)
+
+
+def _centres(rows: DataFrame, by: str) -> DataFrame:
+    """_n, _typical (words) and the median of each measure."""
+    return rows.groupBy(by).agg(F.count("*").alias("_n"), _median("n_words").alias("_typical"),
+                                *[_median(m).alias(f"_c_{m}") for m in BANDS])
+
+
+def _variances(rows: DataFrame, by: str) -> DataFrame:
+    """The robust variance of each measure around the centre that stands beside it."""
+    squares = [F.pow(F.greatest(_median(F.abs(F.col(m) - F.col(f"_c_{m}"))) * ROBUST, F.lit(least)), 2.0)
+               .alias(f"_v_{m}") for m, (_, least) in BANDS.items()]
+    kept = [F.first(c).alias(c) for c in ("_n", "_typical", *(f"_c_{m}" for m in BANDS))]
+    return rows.groupBy(by).agg(*squares, *kept)
+
 
-    The centre is the median of characters per token and the width ``spreads`` times the robust standard
-    deviation (1.4826 times the median distance from the centre). ``_typical`` is the median number of
-    words: a text shorter than that by a factor f has a band wider by the root of f, since its mean over
-    tokens varies by so much more. Languages of fewer documents than ``min_documents`` have no row.
+def blend(own: dict, prior: dict, weight) -> dict:
+    """Typical length, centres and variances of a mixture of the two, for numbers and for columns.
+
+    A mixture's variance holds the distance of the centres too.
     """
-    rows = measured.filter(~base_failure()).select(F.col(lang).alias("_lang"), "chars_per_token", "n_words")
-    centres = rows.groupBy("_lang").agg(
-        F.percentile_approx("chars_per_token", 0.5, ACCURACY).alias("_centre"),
-        F.percentile_approx("n_words", 0.5, ACCURACY).alias("_typical"),
-        F.count("*").alias("_n")).filter(F.col("_n") >= min_documents)
-    again = centres.withColumnRenamed("_lang", "_of")
-    distance = F.abs(F.col("chars_per_token") - F.col("_centre"))
-    widths = (rows.join(again, F.col("_lang").eqNullSafe(F.col("_of"))).groupBy("_lang")
-              .agg(F.percentile_approx(distance, 0.5, ACCURACY).alias("_spread"),
-                   F.first("_centre").alias("_centre"), F.first("_typical").alias("_typical")))
-    return widths.select("_lang", "_centre", "_typical", (F.col("_spread") * 1.4826 * spreads).alias("_width"))
+    rest = 1 - weight
+    mixed = {"_typical": weight * own["_typical"] + rest * prior["_typical"]}
+    for m in BANDS:
+        c, v = f"_c_{m}", f"_v_{m}"
+        apart = own[c] - prior[c]
+        mixed[c] = weight * own[c] + rest * prior[c]
+        mixed[v] = weight * own[v] + rest * prior[v] + weight * rest * apart * apart
+    return mixed
 
 
-def base_failure():
-    return (F.col("n_words") < MIN_WORDS) | (
-        100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+def _by_group(rows: DataFrame) -> dict[str, dict]:
+    """Bands of each script and of "all", not yet blended: a row for each of SCRIPTS at most."""
+    groups = rows.withColumn("_group", F.explode(F.array("script", F.lit("all"))))
+    centres = {r["_group"]: r.asDict() for r in _centres(groups, "_group").collect()}
+    if not centres:
+        return {}
+
+    def beside(name):
+        return F.create_map(*[F.lit(x) for g, r in centres.items() for x in (g, r[name])])[F.col("_group")]
+
+    names = ("_n", "_typical", *(f"_c_{m}" for m in BANDS))
+    found = _variances(groups.select("*", *[beside(n).alias(n) for n in names]), "_group")
+    return {r["_group"]: r.asDict() for r in found.collect()}
 
 
-def verdict(measured: DataFrame, bands: DataFrame, lang: str = "lang") -> DataFrame:
-    """Adds ``base_failed`` and ``kept``: inside LIMITS, and not below the band of its language."""
-    least, most, most_bytes, least_entropy = LIMITS
-    joined = measured.join(bands, F.col(lang).eqNullSafe(F.col("_lang")), "left")
-    wider = F.sqrt(F.greatest(F.lit(1.0), F.col("_typical") / F.greatest(F.col("n_words"), F.lit(1))))
-    floor = F.coalesce(F.col("_centre") - F.col("_width") * wider, F.lit(least))
-    inside = (F.col("chars_per_token").between(least, most) & (F.col("chars_per_token") >= floor)
-              & (F.col("byte_share") <= most_bytes) & (F.col("token_entropy") >= least_entropy))
+def learned_bands(measured: DataFrame, lang: str = "lang", prior: float = PRIOR) -> tuple[DataFrame, dict]:
+    """Bands over all documents that pass the base rules: a row per language, and by script.
+
+    Languages have their own number of documents, typical length, centres (medians) and variances (squares
+    of 1.4826 times the median distance from the centre); ``_lang`` names them. Scripts are blended with
+    all documents already; "all" stands for scripts that no document has. The dict is empty if nothing passes.
+    """
+    rows = measured.filter(~base_failure()).select(F.col(lang).alias("_of"), "script", "n_words", *BANDS)
+    groups = _by_group(rows)
+    scripts = {g: blend(r, groups["all"], r["_n"] / (r["_n"] + prior)) for g, r in groups.items()}
+    centres = _centres(rows.drop("script"), "_of").withColumnRenamed("_of", "_lang")
+    languages = _variances(rows.join(centres, F.col("_of").eqNullSafe(F.col("_lang"))), "_lang")
+    return languages, scripts
+
+
+def verdict(measured: DataFrame, bands: tuple[DataFrame, dict], lang: str = "lang",
+            spreads: float = SPREADS, prior: float = PRIOR) -> DataFrame:
+    """Adds ``base_failed`` and ``kept``: inside all bands of its language.
+
+    A band ends ``spreads`` standard deviations from the centre. A text shorter than is typical by a factor
+    f has bands wider by the root of f, since its mean over tokens varies by so much more.
+    """
+    languages, scripts = bands
+    if not scripts:
+        return measured.withColumns({"base_failed": base_failure(), "kept": ~base_failure()})
+    joined = measured.join(languages, F.col(lang).eqNullSafe(F.col("_lang")), "left")
+
+    def of_script(name):
+        by_script = F.create_map(*[F.lit(x) for g, r in scripts.items() for x in (g, float(r[name]))])
+        return F.coalesce(by_script[F.col("script")], by_script[F.lit("all")])
+
+    names = ("_typical", *(f"_{kind}_{m}" for m in BANDS for kind in "cv"))
+    general = {n: of_script(n) for n in names}
+    own = {n: F.coalesce(F.col(n), general[n]) for n in names}
+    n = F.coalesce(F.col("_n"), F.lit(0))
+    band = blend(own, general, n / (n + F.lit(float(prior))))
+    wider = F.sqrt(F.greatest(F.lit(1.0), band["_typical"] / F.greatest(F.col("n_words"), F.lit(1))))
+    inside = F.lit(True)
+    for m, (sides, _) in BANDS.items():
+        width = spreads * wider * F.sqrt(band[f"_v_{m}"])
+        for side in sides:
+            inside = inside & (side * (F.col(m) - band[f"_c_{m}"]) <= width)
     return joined.withColumns({"base_failed": base_failure(), "kept": ~base_failure() & inside}).drop(
-        "_lang", "_centre", "_typical", "_width")
+        "_lang", "_n", *names)
 
 
 def judge(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -186,8 +267,8 @@ def judge(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", lang
 def clean_documents(documents: DataFrame, text: str = "text", lang: str = "lang",
                     vocabulary: str = VOCABULARY) -> DataFrame:
     """The documents that are kept, with their columns. Texts are measured once and written beside the measures."""
-    marks = [F.col(c).alias(f"_d_{c}") for c in documents.columns]
-    rows = documents.select(*marks)
-    measured = saved(with_measures(rows, f"_d_{text}", vocabulary=vocabulary), "fertility")
-    kept = verdict(measured, learned_bands(measured, f"_d_{lang}"), f"_d_{lang}").filter("kept")
-    return kept.select(*[F.col(f"`_d_{c}`").alias(c) for c in documents.columns])
+    names = {c: f"_d_{i}" for i, c in enumerate(documents.columns)}
+    rows = documents.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    measured = saved(with_measures(rows, names[text], vocabulary=vocabulary), "fertility")
+    kept = verdict(measured, learned_bands(measured, names[lang]), names[lang]).filter("kept")
+    return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
