@@ -73,6 +73,50 @@ def targets_of_b(df):
     return row["target"] / row["source_size"]
 
 
+@pytest.mark.parametrize("slice_", [3, m.SLICE])
+def test_equal_rows(spark, monkeypatch, slice_):
+    """Equal rows, null ids and empty texts among them: each is one row of the report, and copies are even."""
+    monkeypatch.setattr(m, "SLICE", slice_)
+    rows = [(None, prose(1, 5), "en", "a")] * 100 + [(7, prose(1, 5), "en", None)] * 41 + [
+        (None, None, "en", "a")] * 50 + [(i + 100, prose(i, 9), "en", "b") for i in range(60)]
+    df = documents(spark, rows).repartition(7)
+    decided = m.decide(df)
+    copies = {(r["doc_id"], r["size"]): r["copies"] for r in decided.collect()}
+    report = m.mix_report(decided).collect()
+    assert len(report) == len(rows)
+    for key, n in (((None, 5), 100), ((7, 5), 41), ((None, 0), 50)):
+        taken = [r["taken"] // max(1, r["size"]) for r in report if (r["doc_id"], r["size"]) == key]
+        assert len(taken) == n and sum(taken) == copies[key] and max(taken) - min(taken) <= 1
+    found = [(r["doc_id"], len(r["text"].split())) for r in m.mixed_documents(df).collect()]
+    assert {k: found.count(k) for k in copies} == copies
+
+
+def test_a_large_group_of_equal_rows_is_spread(spark):
+    n = 300_000
+    df = spark.range(n).selectExpr("cast(null as long) doc_id", "'a b c' text", "'s' source").unionAll(
+        spark.createDataFrame([(1, "x y", "t")], "doc_id long, text string, source string"))
+    decided = m.decide(df)
+    report = m.mix_report(decided)
+    # The two targets add up to all words: 1 of 3 is more than three times the second source's.
+    assert report.count() == n + 1
+    mixed = m.mixed_documents(df)
+    assert mixed.count() == sum(r["copies"] for r in decided.collect())
+    largest = report.groupBy(m.F.spark_partition_id()).count().agg({"count": "max"}).first()[0]
+    assert largest < n
+
+
+def test_callers_columns_come_through(spark):
+    df = spark.createDataFrame([(i, prose(i, 20), "s", 777, i, "dot", 1, 2, 3) for i in range(20)],
+                               "doc_id long, text string, source string, _n int, _k int, `a.b` string, _d_1 int, "
+                               "_copy int, _size int")
+    df = df.unionAll(df.limit(3))
+    mixed = m.mixed_documents(df)
+    assert mixed.columns == df.columns
+    rows = mixed.collect()
+    assert rows and all(r["_n"] == 777 and r["_k"] == r["doc_id"] and r["a.b"] == "dot" and
+                        (r["_d_1"], r["_copy"], r["_size"]) == (1, 2, 3) for r in rows)
+
+
 def test_expectations_are_kept():
     p, size = np.full(40, 0.37), np.sort(np.arange(5, 45.0))[::-1]
     draw = np.random.default_rng(1)

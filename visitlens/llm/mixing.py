@@ -11,8 +11,9 @@ not larger ones). The document left open in each bucket meets those of ``FAN_IN`
 a tree that ends with one per source. Chances come from hashes of ids, so that reruns agree.
 
 Defined results: null and empty texts have size 0 and are never taken; null is a source of its own, the
-last; rows with equal (doc_id, source, size) are due the sum of their copies, dealt evenly among them;
-an empty table gives no rows; columns of the same names as results are replaced.
+last; rows with equal (doc_id, source, size) are due the sum of their copies, dealt evenly among them,
+and numbered in slices, so that any number of them is spread over tasks; an empty table gives no rows;
+``mixed_documents`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ FAN_IN = 64
 SEED = 42
 WORD = r"[^\x20\x09-\x0D]+"
 RANGES = 64
+SLICE = 4_096  # equal rows numbered at a time
 TINY = 1e-9
 UNIT = "doc_id string, source string, size long, m long, base long, p double, tie long, bucket long, extra int"
 
@@ -162,7 +164,7 @@ def decide(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     targets = saved(source_targets(sizes, weights, max_copies), "mix-targets")
     units = sizes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("m"))
     t = targets.withColumnRenamed("source", "_source")
-    due = F.when(F.col("source_size") > 0, F.least(
+    due = F.when(F.col("size") > 0, F.least(
         F.col("target") / F.col("source_size"), F.lit(float(max_copies))) * F.col("m")).otherwise(0.0)
     buckets = F.ceil(F.col("n") / bucket)
     units = units.join(t, F.col("source").eqNullSafe(F.col("_source"))).select(
@@ -192,27 +194,59 @@ def row_copies(total, m, number):
 
 
 def mix_report(decisions: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target and taken (words, copies counted), one row per document row."""
-    each = decisions.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)))
+    """doc_id, size, source_size, target and taken (words, copies counted), one row per document row.
+
+    Equal rows are written out in slices, which are dealt over tasks before they become rows.
+    """
+    keys = ["doc_id", "source", "size"]
+    single = decisions.filter("m = 1").withColumn("k", F.lit(0).cast("long"))
+    slices = decisions.filter("m > 1").withColumn(
+        "slice", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / SLICE))))
+    tasks = int(decisions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = F.col("slice") * SLICE
+    several = slices.repartition(tasks, *keys, "slice").withColumn(
+        "k", F.explode(F.sequence(first, F.least(F.col("m"), first + SLICE) - 1))).drop("slice")
     copies = row_copies(F.col("copies"), F.col("m"), F.col("k"))
-    return each.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"))
+    return single.unionByName(several).select(
+        "doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"))
+
+
+def _numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds ``_k``, the number of a row among those of equal keys, from 0.
+
+    Rows are numbered in slices of ``SLICE`` neighbours, and slices offset by the counts of those before.
+    """
+    # Written, so that a task that runs again finds each row in the slice that was counted.
+    rows = saved(rows.withColumn("_place", F.monotonically_increasing_id()), "mix-equals")
+    rows = rows.withColumn("_slice", F.floor(F.col("_place") / SLICE))
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*keys, "_slice").agg(F.count("*").alias("_count"))
+    offsets = counts.select(*[F.col(k).alias(f"{k}_of") for k in keys], F.col("_slice").alias("_slice_of"),
+                            F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy("_place")) - 1
+    same = F.col("_slice") == F.col("_slice_of")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_of"))
+    return rows.withColumn("_in", inside).join(offsets, same).withColumn("_k", F.col("_in") + F.col("_offset"))
 
 
 def mixed_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     source: str = "source", **options) -> DataFrame:
     """The documents as often as the mix takes them, with the same columns."""
-    decisions = decide(documents, doc_id, text, source, **options).select(
+    decisions = saved(decide(documents, doc_id, text, source, **options).filter("copies > 0").select(
         F.col("doc_id").alias("_doc_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-        F.col("m").alias("_m"), F.col("copies").alias("_copies"))
-    sized = documents.withColumn("_n", n_words(text))
-    joined = sized.join(decisions.filter("_copies > 0"), (
-        F.col(doc_id).cast("long").eqNullSafe(F.col("_doc_id"))
-        & F.col(source).cast("string").eqNullSafe(F.col("_source")) & (F.col("_n") == F.col("_size"))))
-    # Only repeated rows need a number among their equals.
-    number = F.row_number().over(Window.partitionBy("_doc_id", "_source", "_size").orderBy(F.xxhash64(text))) - 1
-    single = joined.filter("_m = 1").withColumn("_k", F.lit(0))
-    several = joined.filter("_m > 1").withColumn("_k", number)
-    both = single.unionByName(several)
+        F.col("m").alias("_m"), F.col("copies").alias("_copies")), "mix-decisions")
+    names = {c: f"_d_{i}" for i, c in enumerate(documents.columns)}
+    sized = documents.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]) \
+        .withColumn("_n", n_words(names[text])).filter("_n > 0")
+    same = (F.col(names[doc_id]).cast("long").eqNullSafe(F.col("_doc_id"))
+            & F.col(names[source]).cast("string").eqNullSafe(F.col("_source")) & (F.col("_n") == F.col("_size")))
+    single = sized.join(decisions.filter("_m = 1"), same).withColumn("_k", F.lit(0))
+    # Rows with equals are few as a rule: Spark then broadcasts their decisions by the size of the file.
+    repeated = saved(decisions.filter("_m > 1"), "mix-repeated")
+    several = _numbered(sized.join(repeated, same), ["_doc_id", "_source", "_size"])
     copies = row_copies(F.col("_copies"), F.col("_m"), F.col("_k")).cast("int")
-    return both.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).select(*[
-        F.col(f"`{c}`") for c in documents.columns])
+    kept = [*names.values(), "_copies", "_m", "_k"]
+    both = single.select(*kept).unionByName(several.select(*kept))
+    return both.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).select(
+        *[F.col(n).alias(c) for c, n in names.items()])
