@@ -93,6 +93,19 @@ def test_empty_table(spark):
     assert packing.packed_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_texts_without_bytes_are_dealt_over_buckets(spark):
+    n = 200_000
+    df = spark.range(n).selectExpr("id doc_id", "cast(null as string) text")
+    packed = packing.packed_documents(df)
+    rows = packed.select("bucket", "n_tokens").collect()
+    by_bucket = defaultdict(int)
+    for r in rows:
+        by_bucket[r["bucket"]] += r["n_tokens"]
+    want = math.ceil(n * packing.ROW_BYTES / packing.BUCKET_BYTES)
+    assert sum(by_bucket.values()) == n and len(by_bucket) == want > 1
+    assert max(by_bucket.values()) < 1.2 * n / want
+
+
 def test_matrix_files(spark):
     df = spark.createDataFrame([(i, "word " * i) for i in range(50)], "doc_id long, text string")
     packed = packing.packed_documents(df, length=32)

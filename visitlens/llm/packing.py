@@ -2,7 +2,8 @@
 
 Texts are encoded with a public byte-level vocabulary and end with an end-of-text id. A document longer
 than a row is cut into pieces, which in turn are the document again. Pieces are dealt by hash into
-buckets of about ``BUCKET_BYTES`` of text, and each bucket is packed by itself: longest piece first, each
+buckets of about ``BUCKET_BYTES`` (a document counts its text and ``ROW_BYTES``, so texts of a word or
+none fill buckets too), and each bucket is packed by itself: longest piece first, each
 into the row with the least room that is enough (best fit decreasing). A segment tree over the capacities
 0 to L finds that row in about log2(L) steps. A bucket is bounded whatever the data hold; equal documents
 are dealt apart by their place in the input.
@@ -34,6 +35,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50_256  # free in the vocabulary: end of text, and padding
 LENGTH = 2_048
 BUCKET_BYTES = 4 << 20
+ROW_BYTES = 256  # what a document costs beside its text
 CACHE_WORDS = 200_000
 ROWS = 256
 # How the vocabulary splits text before it merges bytes (fixed value).
@@ -196,8 +198,9 @@ def pack(pieces: DataFrame, n_buckets: int, length: int = LENGTH, end: int = END
 
 def packed_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
                      end: int = END, vocabulary: str = VOCABULARY, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """Packed rows of all documents. The number of buckets follows the bytes of all texts."""
-    total = documents.agg(F.sum(F.octet_length(F.col(text)).cast("long"))).first()[0] or 0
+    """Packed rows of all documents. The number of buckets follows the bytes of all texts and the number of rows."""
+    size = F.coalesce(F.octet_length(F.col(text)).cast("long"), F.lit(0)) + ROW_BYTES
+    total = documents.agg(F.sum(size)).first()[0] or 0
     pieces = with_ids(documents, doc_id, text, length, end, vocabulary)
     return pack(pieces, max(1, math.ceil(total / bucket_bytes)), length, end)
 
