@@ -1,9 +1,11 @@
 """Toxicity: held-out accuracy, inputs of the score, odd tables."""
 
+import math
 import random
 import zlib
 
 import numpy as np
+import pytest
 
 from tests.llm.helpers import documents, prose
 from visitlens.llm import toxicity as t
@@ -55,6 +57,62 @@ def test_sparsity_and_bound(spark):
     assert 20 < some.count() < 110
 
 
+def brute_learn(examples, epochs, l1=t.L1):
+    """The update of each coordinate by itself, as the method is published, in plain Python."""
+    z, n, bias_z, bias_n = {}, {}, 0.0, 0.0
+
+    def weight(i):
+        a = z.get(i, 0.0)
+        if abs(a) <= l1:
+            return 0.0
+        return -(a - math.copysign(l1, a)) / ((t.BETA + math.sqrt(n[i])) / t.ALPHA + t.L2)
+
+    def bias():
+        return -bias_z / ((t.BETA + math.sqrt(bias_n)) / t.ALPHA)
+
+    for _ in range(epochs):
+        for text, label in examples:
+            values = {}
+            for places, value in zip(t.features(text), (1.0, t.PAIR_VALUE)):
+                values.update((("word" if value == 1 else "pair", int(i)), value) for i in places)
+            assert len({i for _, i in values}) == len(values)  # no place is shared here
+            total, b = bias(), bias()
+            total += sum(v * weight(i) for (_, i), v in values.items())
+            error = (1 / (1 + math.exp(-total)) - label) * (t.POSITIVE_WEIGHT if label else 1)
+            if abs(error) < 1e-4:
+                continue
+            for (_, i), v in values.items():
+                g = error * v
+                before, old = n.get(i, 0.0), weight(i)
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / t.ALPHA * old
+                n[i] = before + g * g
+            bias_z += error - (math.sqrt(bias_n + error * error) - math.sqrt(bias_n)) / t.ALPHA * b
+            bias_n += error * error
+    return bias(), {i: weight(i) for i in z if weight(i)}
+
+
+@pytest.mark.parametrize("l1", [t.L1, 0.2])
+def test_updates_against_a_plain_loop(monkeypatch, l1):
+    monkeypatch.setattr(t, "L1", l1)
+    examples = [(prose(i, 12) + (" blork snarp" if i % 3 == 0 else " calm day"), int(i % 3 == 0)) for i in range(20)]
+    found, (bias, weights) = t.learn(examples, 6), brute_learn(examples, 6, l1)
+    assert found.bias == pytest.approx(bias, rel=1e-3, abs=1e-4)
+    assert set(found.places.tolist()) == set(weights)
+    assert found.values.tolist() == pytest.approx([weights[i] for i in found.places.tolist()], rel=1e-3, abs=1e-3)
+    assert l1 > 1 or len(weights) > 10
+
+
+def test_more_l1_while_there_are_too_many_weights(monkeypatch):
+    monkeypatch.setattr(t, "L1", 0.05)
+    examples = [(prose(i, 30) + (" blork" if i % 2 else " calm"), i % 2) for i in range(40)]
+    free = t.learn(examples)
+    assert len(free.places) > 20
+    some = t.learn(examples, max_weights=20)
+    assert 0 < len(some.places) <= 20
+    flags = some.lookup()
+    assert all((some.score(t.features(x), flags) >= 0.5) == y for x, y in examples)
+
+
 def test_skip_grams_carry_what_words_cannot():
     draw, examples = random.Random(6), []
     for i in range(600):

@@ -2,8 +2,8 @@
 
 Features are the distinct unigrams, bigrams and skip-grams (two words with one or two between) of a text,
 each hashed to one of 2**BITS places. Every place has its own learning rate; L1 leaves most weights at
-exactly zero. The rest are broadcast: their number is at most ``MAX_WEIGHTS``, and learning stops with an
-error beyond.
+exactly zero. The rest are broadcast: their number is at most ``MAX_WEIGHTS``; while there are more, the
+texts are learned anew with twice the L1.
 
 Learning reads at most about ``MAX_ROWS`` labelled texts, drawn by hash of their id (the bound of one
 learning task; a parameter); scoring reads all texts, whole, in one pass without a shuffle. Labels
@@ -78,14 +78,22 @@ def _example(text: str) -> tuple[np.ndarray, int]:
     return np.concatenate([words, pairs]), len(words)
 
 
-def learn(examples: list[tuple[str, int]], epochs: int = EPOCHS) -> Weights:
+def learn(examples: list[tuple[str, int]], epochs: int = EPOCHS, max_weights: int = MAX_WEIGHTS) -> Weights:
+    """At most ``max_weights`` weights, with the least of L1, 2 L1, 4 L1 and so on that gives so few."""
+    known = [(*_example(text), label) for text, label in examples]
+    l1 = L1
+    while len((found := _descend(known, epochs, l1)).places) > max_weights:
+        l1 *= 2
+    return found
+
+
+def _descend(known: list[tuple[np.ndarray, int, int]], epochs: int, l1: float) -> Weights:
     """FTRL-proximal over the examples in turn; a place's rate falls with the gradients it has seen."""
     z, n = np.zeros(1 << BITS, dtype=np.float32), np.zeros(1 << BITS, dtype=np.float32)
     bias_z = bias_n = 0.0
-    known = [(*_example(text), label) for text, label in examples]
 
     def weights(z, n):
-        return np.where(np.abs(z) <= L1, 0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
+        return np.where(np.abs(z) <= l1, 0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
     for _ in range(epochs):
         for at, n_words, label in known:
@@ -136,9 +144,7 @@ def train(known: DataFrame, epochs: int = EPOCHS, max_weights: int = MAX_WEIGHTS
         rows = pd.concat(parts).sort_values(["key", "text"], kind="stable") if parts else None
         if rows is None or rows.empty:
             return
-        found = learn(list(zip(rows["text"], rows["label"])), epochs)
-        if len(found.places) > max_weights:
-            raise ValueError(f"{len(found.places)} weights, more than the stated bound")
+        found = learn(list(zip(rows["text"], rows["label"])), epochs, max_weights)
         yield pd.DataFrame({"bias": [found.bias], "places": [found.places.tobytes()],
                             "values": [found.values.tobytes()]})
 
