@@ -136,3 +136,45 @@ def test_graph_components(spark):
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r["node"]: r["component"] for r in got} == want and len(got) == len(want)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_long_texts_in_one_bucket(spark, monkeypatch):
+    """Slices follow the bytes of the sets: texts of 50,000 words, some linked through steps 3 and some through 4."""
+    monkeypatch.setattr(nd, "SLICE_BYTES", 2 << 20)
+    base = prose(1, 50_000).split()
+    rows = [(0, " ".join(base[:47_000] + prose(2, 9_000).split()), "", "")]  # the least id: near to all, linked with none
+    for i in range(1, 13):
+        kind = i % 3  # two texts of a kind are linked, of two kinds not
+        own = prose(10 + kind, 9_000).split()
+        words = base[:41_000] + own
+        words[i * 500] = "uno"
+        rows.append((i, " ".join(words), "", ""))
+    found = nd.near_duplicates(documents(spark, rows), 85).collect()
+    got = sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in found)
+    assert got == brute(rows, 85)
+
+
+def test_slices_by_members_and_bytes(spark):
+    few_long = spark.range(100).selectExpr("1L key", "7 step", "5000000L n")
+    many_short = spark.range(3 * nd.SLICE).selectExpr("2L key", "7 step", "20L n")
+    one = spark.range(1).selectExpr("3L key", "0 step", "1L n")
+    got = {r["key"]: r["slices"] for r in nd.slice_counts(few_long.union(many_short).union(one)).collect()}
+    assert got == {1: -(-100 * 5_000_000 * 8 // nd.SLICE_BYTES), 2: 3, 3: 1}
+
+
+def test_members_of_large_buckets_are_dealt_by_salt(spark, monkeypatch):
+    monkeypatch.setattr(nd, "SLICE", 4)
+    rows = ([(1, 0, i, 50, i % 2) for i in range(40)]  # large, two components
+            + [(2, 0, 100 + i, 50, 1) for i in range(40)]  # large, one component
+            + [(3, 0, 200, 50, 1), (3, 0, 201, 50, 2), (4, 0, 300, 50, 3), (4, 0, 301, 50, 3)])
+    known = spark.createDataFrame(rows, "key long, band int, rep long, n long, component long")
+    found = nd._of_several(known)
+    got = found.collect()
+    assert sorted(r["rep"] for r in got) == [*range(40), 200, 201]
+    assert {r["rep"] for r in got if r["large"]} == set(range(40))
+    assert len({r["salt"] for r in got if r["large"]}) > 10
+    members = found.withColumn("step", found.key.cast("int"))
+    slices = nd.slice_counts(members.filter("NOT large"))
+    large = nd._salted(nd.slice_counts(members.filter("large")))
+    counted = nd._with_slices(members, slices, large).collect()
+    assert sorted((r["rep"], r["slices"]) for r in counted) == [*((i, 10) for i in range(40)), (200, 1), (201, 1)]

@@ -9,8 +9,10 @@
    full sets, and the links among them give first components.
 4. Only buckets in which several components meet are looked through pair by pair. They are split by
    set size, since the sizes of a linked pair differ by little, and then into slices of about ``SLICE``
-   members; a task compares the signatures of two slices. Members with a possible partner in another
-   component meet again with their full sets, which decide, and only links leave the task.
+   members or ``SLICE_BYTES`` of full sets, whichever is less; a task compares the signatures of two
+   slices. Members with a possible partner in another component meet again with their full sets, which
+   decide, and only links leave the task. Buckets of over ``SLICE`` members are dealt over ``SALTS``
+   tasks wherever their members meet what is known of the bucket.
 5. Components of all links, by alternating large-star and small-star.
 
 So every pair that shares a bucket is either linked through others or decided on its full sets; nothing
@@ -40,8 +42,9 @@ BANDS, ROWS_PER_BAND = 32, 6
 PERCENT = 85
 MARGIN = 0.15  # a signature may fall so far below the similarity: five standard deviations and more
 SLICE = 2_048
+SLICE_BYTES = 32 << 20  # of full sets in a slice, 8 bytes a shingle
+SALTS = 64
 TEXTS = 256
-BROADCAST_IDS = 500_000  # ids (8 bytes each) that are broadcast at most
 _SCALE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -132,12 +135,6 @@ def _signature_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> Dat
     return near.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
-def only_ids(rows: DataFrame, ids: DataFrame, on: str) -> DataFrame:
-    """Rows with one of the ids. Ids are broadcast if counted to be few, else joined by shuffle."""
-    few = ids.count() <= BROADCAST_IDS
-    return rows.join(F.broadcast(ids) if few else ids, on, "left_semi")
-
-
 def _sets(ids: DataFrame, documents: DataFrame) -> DataFrame:
     """id and shingles (sorted, packed) of the documents with these ids (column doc_id)."""
 
@@ -146,8 +143,9 @@ def _sets(ids: DataFrame, documents: DataFrame) -> DataFrame:
             sets = [shingles(t or "").tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["id", "shingles"])
 
+    # A stored table has a measured size, by which Spark chooses to broadcast it or to shuffle.
     few = saved(ids.distinct(), "near-ids")
-    return saved(only_ids(documents, few, "doc_id").mapInArrow(build, "id long, shingles binary"), "near-sets")
+    return saved(documents.join(few, "doc_id", "left_semi").mapInArrow(build, "id long, shingles binary"), "near-sets")
 
 
 def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -212,6 +210,37 @@ def _links_of(table: pa.Table, percent: int) -> list[tuple[int, int]]:
     return links
 
 
+def slice_counts(members: DataFrame) -> DataFrame:
+    """key, step and slices: by members, or by the bytes of their full sets (column n) where those ask for more."""
+    return members.groupBy("key", "step").agg(F.greatest(
+        F.ceil(F.count("*") / SLICE), F.ceil(8 * F.sum("n") / SLICE_BYTES)).cast("int").alias("slices"))
+
+
+def _salted(keys: DataFrame) -> DataFrame:
+    """A row of a large bucket for each salt, so that it meets the bucket's members in ``SALTS`` places."""
+    return keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _of_several(known: DataFrame) -> DataFrame:
+    """The members of buckets in which several components meet, with their salt, and ``large`` by the bucket's size."""
+    buckets = saved(known.groupBy("key").agg(
+        (F.min("component") != F.max("component")).alias("several"), (F.count("*") > SLICE).alias("large")),
+        "near-bucket-sizes")
+    # Members of large buckets are told apart first; none of them comes near a join by key alone.
+    large = saved(_salted(buckets.filter("large")).select("key", "salt", "several"), "near-large-buckets")
+    salted = known.withColumn("salt", F.pmod(F.xxhash64("rep", F.lit("salt")), F.lit(SALTS)).cast("int"))
+    told = salted.join(large, ["key", "salt"], "left")
+    small = told.filter("several IS NULL").drop("several").join(
+        buckets.filter("several AND NOT large").select("key"), "key").withColumn("large", F.lit(False))
+    return small.unionByName(told.filter("several").drop("several").withColumn("large", F.lit(True)))
+
+
+def _with_slices(members: DataFrame, slices: DataFrame, large_slices: DataFrame) -> DataFrame:
+    """Members beside the number of slices of their (key, step); those without such a group go."""
+    return members.filter("NOT large").join(slices, ["key", "step"]).unionByName(
+        members.filter("large").join(large_slices, ["key", "step", "salt"]))
+
+
 def _across_components(members: DataFrame, classes: DataFrame, labels: DataFrame, documents: DataFrame,
                        percent: int) -> DataFrame:
     """Links (a, b) between different components that share a bucket.
@@ -222,20 +251,19 @@ def _across_components(members: DataFrame, classes: DataFrame, labels: DataFrame
     """
     known = saved(members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "band", "rep", "n", F.coalesce("component", "rep").alias("component")), "near-members")
-    several = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
-        "low <> high").select("key")
     # Sizes of a linked pair are in the same or in neighbouring steps of this scale.
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
-    home = saved(known.join(several, "key").withColumn("step", step), "near-mixed")
-    slices = home.groupBy("key", "step").agg(F.ceil(F.count("*") / SLICE).cast("int").alias("slices"))
+    home = saved(_of_several(known).withColumn("step", step), "near-mixed")
+    slices = saved(slice_counts(home.filter("NOT large")), "near-slices")
+    large_slices = saved(_salted(slice_counts(home.filter("large"))), "near-large-slices")
     mine = F.pmod(F.xxhash64("rep"), F.col("slices")).cast("int")
     columns = ["key", "band", "step", "i", "j", "mine", "rep", "n", "component"]
     # At home a member of slice i meets every slice; the pair of slices is named by (smaller, larger).
-    at_home = (home.join(slices, ["key", "step"]).withColumn("mine", mine)
+    at_home = (_with_slices(home, slices, large_slices).withColumn("mine", mine)
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
                .withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")}).select(columns))
     # Members of the next lower step visit every slice; -1 marks them.
-    visiting = (home.withColumn("step", F.col("step") + 1).join(slices, ["key", "step"])
+    visiting = (_with_slices(home.withColumn("step", F.col("step") + 1), slices, large_slices)
                 .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
                 .withColumns({"j": F.col("i"), "mine": F.lit(-1)}).select(columns))
     meeting = at_home.unionByName(visiting).join(classes.select("rep", "signature", "bands"), "rep")
@@ -297,5 +325,5 @@ def without_near_duplicates(documents: DataFrame, percent: int = PERCENT, doc_id
     """The documents of which one per group stays, with all columns; of equal (id, text) rows one stays."""
     judged = near_duplicates(documents, percent, doc_id, text)
     dropped = judged.filter("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    stay = documents.join(dropped, F.col(doc_id).cast("long") == F.col("_dropped"), "left_anti")
+    stay = documents.join(dropped, documents[doc_id].cast("long") == dropped["_dropped"], "left_anti")
     return stay.dropDuplicates([doc_id, text])
