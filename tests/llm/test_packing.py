@@ -107,17 +107,42 @@ def test_texts_without_bytes_are_dealt_over_buckets(spark):
 
 
 def test_matrix_files(spark):
-    df = spark.createDataFrame([(i, "word " * i) for i in range(50)], "doc_id long, text string")
-    packed = packing.packed_documents(df, length=32)
-    collected = packed.collect()
-    rows = {bytes(r["ids"]): list(r["cu_seqlens"]) for r in collected}  # equal ids have equal bounds here
-    manifest = packing.write_matrices(packed, scratch_path(spark, "m"), 32).collect()
-    seen = 0
-    for m in manifest:
+    rows = [(i, "word " * i) for i in range(50)] + [(None, None), (None, ""), (7, "word " * 7), (99, "long " * 900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    manifest = packing.write_packed(df, scratch_path(spark, "m"), length=32, file_bytes=1_500)
+    files = manifest.collect()
+    assert len(files) > 1
+    by_bucket = defaultdict(list)
+    for r in packing.packed_documents(df, length=32, bucket_bytes=1_500).collect():
+        by_bucket[r["bucket"]].append(r)
+    for m in files:
+        want = sorted(by_bucket.pop(m["bucket"]), key=lambda r: r["number"])
         ids = np.load(f"{m['path']}.ids.npy", mmap_mode="r")
         bounds, lines = np.load(f"{m['path']}.cu_seqlens.npy"), np.load(f"{m['path']}.lines.npy")
-        assert ids.shape == (m["lines"], 32)
+        assert ids.shape == (m["lines"], 32) and m["n_tokens"] == sum(r["n_tokens"] for r in want)
         for i, row in enumerate(ids):
-            assert rows[row.tobytes()] == bounds[lines[i]:lines[i + 1]].tolist()
-            seen += 1
-    assert seen == len(collected)
+            assert want[i]["ids"] == row.tobytes() and want[i]["cu_seqlens"] == bounds[lines[0, i]:lines[0, i + 1]].tolist()
+    assert not by_bucket
+
+
+@pytest.mark.parametrize("read_rows", [packing.READ_ROWS, 3])
+def test_written_rows_come_back_as_packed(spark, monkeypatch, read_rows):
+    monkeypatch.setattr(packing, "READ_ROWS", read_rows)
+    rows = [(str(i), "word " * (i % 40), "x") for i in range(120)] + [(None, None, "x"), ("a", "long " * 900, None)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, bucket string")
+    want = packing.packed_documents(df, length=32, bucket_bytes=4_000)
+    got = packing.written_documents(df, scratch_path(spark, "w"), length=32, file_bytes=4_000)
+    assert got.dtypes == want.dtypes
+    key = lambda r: (r["bucket"], r["number"])
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[:2]) == sorted(map(tuple, want.collect()), key=lambda r: r[:2])
+    assert len({key(r) for r in want.collect()}) == want.count()
+
+
+def test_no_documents_no_files(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert packing.written_documents(empty, scratch_path(spark, "none")).count() == 0
+
+
+def test_positions_begin_again_at_segments_and_padding():
+    assert np.frombuffer(packing.positions_of(np.array([0, 3, 4]), 7, "<u2"), "<u2").tolist() == [0, 1, 2, 0, 0, 1, 2]
+    assert packing._resets([0, 3, 4], 7) == [0, 3, 4] and packing._resets([0, 3, 7], 7) == [0, 3]

@@ -10,7 +10,9 @@ are dealt apart by their place in the input.
 
 A packed row has its ids (little-endian uint16, or uint32 for larger vocabularies, filled up with the
 padding id), the cumulative lengths of its segments from 0, the position of each id in its segment, and
-the document and piece of each segment. ``write_matrices`` puts rows into matrix files.
+the document and piece of each segment. ``packed_documents`` returns such rows. ``write_packed`` has the
+packing tasks write them as files and returns the manifest, and ``read_packed`` turns a manifest into rows
+again. Only files in the manifest count: a task that ran twice leaves unused ones.
 
 Defined results: null and empty texts are one end-of-text id; repeated rows are packed each; null ids stay
 null; an empty table gives no rows; other columns are ignored.
@@ -35,9 +37,11 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50_256  # free in the vocabulary: end of text, and padding
 LENGTH = 2_048
 BUCKET_BYTES = 4 << 20
+FILE_BYTES = 16 << 20  # of text in the files of one packing task; larger for large corpora, as memory allows
 ROW_BYTES = 256  # what a document costs beside its text
 CACHE_WORDS = 200_000
 ROWS = 256
+READ_ROWS = 1_000
 # How the vocabulary splits text before it merges bytes (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _BLANK = "\t-\r \x85\xa0  -     　"
@@ -159,83 +163,168 @@ def best_fit_decreasing(lengths: list[int], length: int) -> list[list[int]]:
     return rows
 
 
+def pack_bucket(table: pa.Table, length: int, end: int, dtype: str) -> pa.Table:
+    """number, n_tokens, ids, cu_seqlens, doc_ids and pieces: the packed rows of one bucket of pieces."""
+    table = table.sort_by([("n", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("row", "ascending")])
+    n, ids = table.column("n").to_pylist(), table.column("ids").to_pylist()
+    number = table.column("piece").to_pylist()
+    rows = best_fit_decreasing(n, length)
+    matrix, bounds, used = [], [], []
+    filler = np.full(length, end, dtype=dtype).tobytes()
+    width = np.dtype(dtype).itemsize
+    for row in rows:
+        lengths = [n[i] for i in row]
+        total = sum(lengths)
+        matrix.append(b"".join([*(ids[i] for i in row), filler[:(length - total) * width]]))
+        bounds.append(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+        used.append(total)
+    flat = pa.array([i for row in rows for i in row], pa.int64())
+    offsets = pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32))
+    return pa.table({
+        "number": pa.array(range(len(rows)), pa.int32()), "n_tokens": pa.array(used, pa.int32()),
+        "ids": pa.array(matrix, pa.binary()), "cu_seqlens": pa.array(bounds, pa.list_(pa.int32())),
+        "doc_ids": pa.ListArray.from_arrays(offsets, table.column("doc_id").combine_chunks().take(flat)),
+        "pieces": pa.array([[number[i] for i in row] for row in rows], pa.list_(pa.int32()))})
+
+
+def positions_of(resets: np.ndarray, length: int, dtype: str) -> bytes:
+    """The position of each id of a row, from the places where positions begin again at 0."""
+    runs = np.diff(np.append(resets, length))
+    return (np.arange(length) - np.repeat(resets, runs)).astype(dtype).tobytes()
+
+
+def _resets(bounds: list[int], length: int) -> list[int]:
+    """Where positions begin again: at each segment, and at the padding if there is any."""
+    return bounds if bounds[-1] < length else bounds[:-1]
+
+
+def packed_schema(kind: str) -> str:
+    return (f"bucket int, number int, n_tokens int, ids binary, cu_seqlens array<int>, positions binary, "
+            f"doc_ids array<{kind}>, pieces array<int>")
+
+
+def _in_buckets(pieces: DataFrame, n_buckets: int) -> DataFrame:
+    return pieces.withColumn("bucket", F.pmod(F.xxhash64("row", "piece"), F.lit(n_buckets)).cast("int"))
+
+
 def pack(pieces: DataFrame, n_buckets: int, length: int = LENGTH, end: int = END, dtype: str = "<u2") -> DataFrame:
     """Packed rows: bucket, number, n_tokens, ids, cu_seqlens, positions, doc_ids, pieces."""
     kind = pieces.schema["doc_id"].dataType.simpleString()
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("n", "descending"), ("doc_id", "ascending"), ("piece", "ascending"),
-                               ("row", "ascending")])
-        bucket = table.column("bucket")[0].as_py()
-        n, ids = table.column("n").to_pylist(), table.column("ids").to_pylist()
-        number = table.column("piece").to_pylist()
-        rows = best_fit_decreasing(n, length)
-        matrix, positions, bounds, used = [], [], [], []
-        count = np.arange(length, dtype=np.uint32).astype(dtype)
-        filler = np.full(length, end, dtype=dtype).tobytes()
-        width = np.dtype(dtype).itemsize
-        for row in rows:
-            lengths = [n[i] for i in row]
-            total = sum(lengths)
-            matrix.append(b"".join([*(ids[i] for i in row), filler[:(length - total) * width]]))
-            positions.append(b"".join([count[:k].tobytes() for k in (*lengths, length - total)]))
-            bounds.append(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
-            used.append(total)
-        flat = pa.array([i for row in rows for i in row], pa.int64())
-        offsets = pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32))
-        return pa.table({
-            "bucket": pa.array([bucket] * len(rows), pa.int32()), "number": pa.array(range(len(rows)), pa.int32()),
-            "n_tokens": pa.array(used, pa.int32()), "ids": pa.array(matrix, pa.binary()),
-            "cu_seqlens": pa.array(bounds, pa.list_(pa.int32())), "positions": pa.array(positions, pa.binary()),
-            "doc_ids": pa.ListArray.from_arrays(offsets, table.column("doc_id").combine_chunks().take(flat)),
-            "pieces": pa.array([[number[i] for i in row] for row in rows], pa.list_(pa.int32()))})
+        rows = pack_bucket(table, length, end, dtype)
+        places = [positions_of(np.array(_resets(b, length)), length, dtype) for b in rows.column("cu_seqlens").to_pylist()]
+        bucket = pa.array([table.column("bucket")[0].as_py()] * rows.num_rows, pa.int32())
+        return (rows.append_column("bucket", bucket).append_column("positions", pa.array(places, pa.binary()))
+                .select(["bucket", "number", "n_tokens", "ids", "cu_seqlens", "positions", "doc_ids", "pieces"]))
 
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("row", "piece"), F.lit(n_buckets)).cast("int"))
-    return dealt.groupBy("bucket").applyInArrow(run, (
-        f"bucket int, number int, n_tokens int, ids binary, cu_seqlens array<int>, positions binary, "
-        f"doc_ids array<{kind}>, pieces array<int>"))
+    return _in_buckets(pieces, n_buckets).groupBy("bucket").applyInArrow(run, packed_schema(kind))
+
+
+def _n_buckets(documents: DataFrame, text: str, bucket_bytes: int) -> int:
+    """As many as the bytes of all texts and the number of rows ask for."""
+    size = F.coalesce(F.octet_length(F.col(text)).cast("long"), F.lit(0)) + ROW_BYTES
+    return max(1, math.ceil((documents.agg(F.sum(size)).first()[0] or 0) / bucket_bytes))
 
 
 def packed_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
                      end: int = END, vocabulary: str = VOCABULARY, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Packed rows of all documents. The number of buckets follows the bytes of all texts and the number of rows."""
-    size = F.coalesce(F.octet_length(F.col(text)).cast("long"), F.lit(0)) + ROW_BYTES
-    total = documents.agg(F.sum(size)).first()[0] or 0
     pieces = with_ids(documents, doc_id, text, length, end, vocabulary)
-    return pack(pieces, max(1, math.ceil(total / bucket_bytes)), length, end)
+    return pack(pieces, _n_buckets(documents, text, bucket_bytes), length, end)
 
 
-def write_matrices(packed: DataFrame, folder: str, length: int = LENGTH, dtype: str = "<u2") -> DataFrame:
-    """Matrix files in a shared folder (``.npy``, a line per packed row, memory-mappable): the manifest.
+def write_packed(documents: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
+                 end: int = END, vocabulary: str = VOCABULARY, file_bytes: int = FILE_BYTES,
+                 dtype: str = "<u2") -> DataFrame:
+    """Packs all documents into files of a shared folder; returns the manifest: bucket, path, lines, n_tokens.
 
-    Each task writes the ids, the positions and, as one long list with a list of line starts, the cumulative
-    lengths of its rows. Columns: path (without ending), lines, n_tokens. Only files in the manifest count.
+    The task that packs a bucket writes it under a name of its own, so that nothing else is sent on:
+    ``.ids.npy``, a matrix with a line per packed row that can be mapped into memory; ``.cu_seqlens.npy`` and
+    ``.resets.npy``, the cumulative lengths and the places where positions begin again, all lines in one list;
+    ``.lines.npy``, where each line starts in these two; ``.segments.arrow``, documents and pieces.
     """
     from visitlens.llm.warc import file_system
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def write(table: pa.Table) -> pa.Table:
+        rows = pack_bucket(table, length, end, dtype)
+        bounds = rows.column("cu_seqlens").to_pylist()
+        resets = [_resets(b, length) for b in bounds]
+        arrays = {
+            "ids": np.frombuffer(b"".join(rows.column("ids").to_pylist()), dtype=dtype).reshape(-1, length),
+            "cu_seqlens": np.concatenate([np.array(b, dtype=np.int32) for b in bounds]),
+            "resets": np.concatenate([np.array(r, dtype=np.int32) for r in resets]),
+            "lines": np.array([np.cumsum([0, *map(len, x)]) for x in (bounds, resets)], dtype=np.int64)}
         system, root = file_system(folder)
         system.create_dir(root, recursive=True)
+        name = f"packed-{uuid.uuid4().hex}"
+        for kind, array in arrays.items():
+            with system.open_output_stream(f"{root}/{name}.{kind}.npy", compression=None) as out:
+                np.lib.format.write_array(_Sink(out), array, allow_pickle=False)
+        segments = rows.select(["number", "n_tokens", "doc_ids", "pieces"])
+        with system.open_output_stream(f"{root}/{name}.segments.arrow", compression=None) as out:
+            with pa.ipc.new_file(out, segments.schema) as writer:
+                writer.write_table(segments, max_chunksize=READ_ROWS)
+        return pa.table({
+            "bucket": pa.array([table.column("bucket")[0].as_py()], pa.int32()), "path": [f"{folder}/{name}"],
+            "lines": pa.array([rows.num_rows], pa.int64()),
+            "n_tokens": pa.array([sum(rows.column("n_tokens").to_pylist())], pa.int64())})
+
+    pieces = with_ids(documents, doc_id, text, length, end, vocabulary)
+    dealt = _in_buckets(pieces, _n_buckets(documents, text, file_bytes))
+    return saved(dealt.groupBy("bucket").applyInArrow(write, "bucket int, path string, lines long, n_tokens long"),
+                 "packed-manifest")
+
+
+def read_packed(manifest: DataFrame, kind: str = "bigint", length: int = LENGTH, dtype: str = "<u2") -> DataFrame:
+    """The packed rows in the files of a manifest, like those of ``packed_documents``; ``kind`` is the ids' type.
+
+    A file is read by one task, ``READ_ROWS`` rows at a time."""
+    from visitlens.llm.warc import file_system
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            name = f"packed-{uuid.uuid4().hex}"
-            bounds = batch.column("cu_seqlens").to_pylist()
-            arrays = {
-                "ids": np.frombuffer(b"".join(batch.column("ids").to_pylist()), dtype=dtype).reshape(-1, length),
-                "positions": np.frombuffer(b"".join(batch.column("positions").to_pylist()), dtype=dtype)
-                .reshape(-1, length),
-                "cu_seqlens": np.concatenate([np.array(b, dtype=np.int32) for b in bounds]),
-                "lines": np.cumsum([0, *(len(b) for b in bounds)]).astype(np.int64)}
-            for kind, array in arrays.items():
-                with system.open_output_stream(f"{root}/{name}.{kind}.npy", compression=None) as out:
-                    np.lib.format.write_array(_Sink(out), array, allow_pickle=False)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([f"{folder}/{name}"]), pa.array([batch.num_rows], pa.int64()),
-                 pa.array([sum(batch.column("n_tokens").to_pylist())], pa.int64())], ["path", "lines", "n_tokens"])
-
-    columns = packed.select("ids", "positions", "cu_seqlens", "n_tokens")
-    return saved(columns.mapInArrow(write, "path string, lines long, n_tokens long"), "packed-manifest")
+            for bucket, path in zip(batch.column("bucket").to_pylist(), batch.column("path").to_pylist()):
+                system, root = file_system(path)
+
+                def whole(name):
+                    with system.open_input_stream(f"{root}.{name}.npy", compression=None) as file:
+                        return np.lib.format.read_array(_Source(file), allow_pickle=False)
+
+                bounds, resets, lines = whole("cu_seqlens"), whole("resets"), whole("lines")
+                with (system.open_input_stream(f"{root}.ids.npy", compression=None) as ids,
+                      system.open_input_file(f"{root}.segments.arrow") as file):
+                    source = _Source(ids)
+                    np.lib.format.read_magic(source)
+                    shape, _, stored = np.lib.format.read_array_header_1_0(source)
+                    if shape != (lines.shape[1] - 1, length) or stored != np.dtype(dtype):
+                        raise ValueError(f"{path}: the matrix is {shape} of {stored}")
+                    segments, at = pa.ipc.open_file(file), 0
+                    for k in range(segments.num_record_batches):
+                        part = segments.get_batch(k)
+                        width = length * stored.itemsize
+                        data = source.read(part.num_rows * width)
+                        rows = range(at, at + part.num_rows)
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array([bucket] * part.num_rows, pa.int32()), part.column("number"), part.column("n_tokens"),
+                            pa.array([data[i * width:(i + 1) * width] for i in range(part.num_rows)], pa.binary()),
+                            pa.array([bounds[lines[0, i]:lines[0, i + 1]] for i in rows], pa.list_(pa.int32())),
+                            pa.array([positions_of(resets[lines[1, i]:lines[1, i + 1]], length, dtype) for i in rows],
+                                     pa.binary()),
+                            part.column("doc_ids"), part.column("pieces")],
+                            ["bucket", "number", "n_tokens", "ids", "cu_seqlens", "positions", "doc_ids", "pieces"])
+                        at += part.num_rows
+
+    # The manifest is a few lines; its files are dealt over as many tasks as a shuffle has.
+    return manifest.repartition("path").mapInArrow(read, packed_schema(kind))
+
+
+def written_documents(documents: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text",
+                      **options) -> DataFrame:
+    """All documents packed, written as matrix files into ``folder`` and read back."""
+    kind = documents.schema[doc_id].dataType.simpleString()
+    manifest = write_packed(documents, folder, doc_id, text, **options)
+    return read_packed(manifest, kind, options.get("length", LENGTH), options.get("dtype", "<u2"))
 
 
 class _Sink:
@@ -246,3 +335,20 @@ class _Sink:
 
     def write(self, data) -> int:
         return self.out.write(data)
+
+
+class _Source:
+    """What numpy needs of a file to read: as many bytes as asked for while there are any."""
+
+    def __init__(self, file):
+        self.file = file
+
+    def read(self, n: int) -> bytes:
+        parts = []
+        while n > 0:
+            part = self.file.read(n)
+            if not part:
+                break
+            parts.append(part)
+            n -= len(part)
+        return b"".join(parts)

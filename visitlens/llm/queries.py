@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from visitlens.llm import (decontamination, fertility, fim, mixing, neardup, notices, packing, pii, repeats, toxicity,
                            url_cascade, warc, whitening)
 from visitlens.llm.common import table
+from visitlens.session import scratch_path
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -25,7 +26,7 @@ def query(name: str, sql: str | None = None):
 
 @query("op1_packed_ids")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed_documents(table(spark, sf_dir, "documents"))
+    return packing.written_documents(table(spark, sf_dir, "documents"), scratch_path(spark, "packed"))
 
 
 @query("op2_toxicity")
