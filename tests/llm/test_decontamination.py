@@ -7,6 +7,7 @@ import numpy as np
 import corpus_pipeline
 from tests.llm.helpers import documents, prose
 from visitlens.llm import decontamination as dc
+from visitlens.llm import neardup
 
 
 def brute_common(a, b):
@@ -139,6 +140,18 @@ def test_clean_rows_stay_beside_leaks_of_the_same_id(spark, monkeypatch):
         ((d, t) for d, t, *_ in (rows[1], rows[2], rows[3], rows[5], rows[7])), key=str)
 
 
+def test_columns_named_like_those_within_come_through(spark):
+    texts, benchmark = items(spark, 3)
+    rows = [(1, texts[0], "l", 5, "d", "x"), (2, prose(4, 60), "m", 6, "e", None), (None, None, "n", 7, None, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _leak string, _dropped int, _digest string, `a.b` string")
+    want = [(2, prose(4, 60), "m", 6, "e", None), (None, None, "n", 7, None, "z")]
+    for left in (dc.clean_rows(df, benchmark), dc.clean_documents(df, benchmark)):
+        assert left.columns == df.columns
+        assert sorted(map(tuple, left.collect()), key=str) == want
+    kept = neardup.without_near_duplicates(df.union(df))
+    assert kept.columns == df.columns and sorted(map(tuple, kept.collect()), key=str) == sorted(rows, key=str)
+
+
 def test_odd_tables(spark):
     texts, benchmark = items(spark, 3)
     odd = documents(spark, [(None, texts[0], None, None), (None, "a", None, None), (1, None, "", ""), (2, "", "", ""),

@@ -424,24 +424,16 @@ def _leaks(rows: DataFrame, benchmark: DataFrame, item_id: str = "item_id", item
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """The documents in which no item was found, with all columns."""
-    from visitlens.llm.neardup import BROADCAST_IDS
-
     found = saved(find_leaks(documents, benchmark, doc_id, **options).select(
         F.col("doc_id").alias("_leak")).distinct(), "leaks")
-    if found.count() <= BROADCAST_IDS:
-        found = F.broadcast(found)
-    return documents.join(found, F.col(doc_id).cast("long").eqNullSafe(F.col("_leak")), "left_anti")
+    return documents.join(found, F.col(doc_id).cast("long").eqNullSafe(found["_leak"]), "left_anti")
 
 
 def clean_rows(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                **options) -> DataFrame:
     """The rows in whose own text no item was found, with all columns; other rows of the same id do not count."""
-    from visitlens.llm.neardup import BROADCAST_IDS
-
     own, digest = F.col(doc_id).cast("long"), F.md5(F.col(text).cast("binary"))
     rows = documents.select(own.alias("doc_id"), F.col(text).alias("text"), digest.alias("digest"))
     found = saved(_leaks(rows, benchmark, **options).select(
         F.col("doc_id").alias("_leak"), F.col("digest").alias("_digest")).distinct(), "leaks")
-    if found.count() <= BROADCAST_IDS:
-        found = F.broadcast(found)
-    return documents.join(found, own.eqNullSafe(F.col("_leak")) & (digest == F.col("_digest")), "left_anti")
+    return documents.join(found, own.eqNullSafe(found["_leak"]) & (digest == found["_digest"]), "left_anti")
