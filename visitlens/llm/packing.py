@@ -42,6 +42,7 @@ ROW_BYTES = 256  # what a document costs beside its text
 CACHE_WORDS = 200_000
 ROWS = 256
 READ_ROWS = 1_000
+FILES_A_TASK = 4  # read by one task
 # How the vocabulary splits text before it merges bytes (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _BLANK = "\t-\r \x85\xa0  -     　"
@@ -315,8 +316,9 @@ def read_packed(manifest: DataFrame, kind: str = "bigint", length: int = LENGTH,
                             ["bucket", "number", "n_tokens", "ids", "cu_seqlens", "positions", "doc_ids", "pieces"])
                         at += part.num_rows
 
-    # The manifest is a few lines; its files are dealt over as many tasks as a shuffle has.
-    return manifest.repartition("path").mapInArrow(read, packed_schema(kind))
+    # Lines of a manifest are small and their files are not: a stated number of tasks is not merged by size.
+    tasks = max(1, math.ceil(manifest.count() / FILES_A_TASK))
+    return manifest.repartition(tasks, "path").mapInArrow(read, packed_schema(kind))
 
 
 def written_documents(documents: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text",
