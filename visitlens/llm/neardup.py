@@ -12,7 +12,8 @@
    members or ``SLICE_BYTES`` of full sets, whichever is less; a task compares the signatures of two
    slices. Members with a possible partner in another component meet again with their full sets, which
    decide, and only links leave the task. Buckets of over ``SLICE`` members are dealt over ``SALTS``
-   tasks wherever their members meet what is known of the bucket.
+   tasks wherever their members meet what is known of the bucket. Members of the next lower step are not
+   sliced: all of them visit each slice of a step, so such a task is not bounded.
 5. Components of all links, by alternating large-star and small-star.
 
 So every pair that shares a bucket is either linked through others or decided on its full sets; nothing
