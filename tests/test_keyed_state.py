@@ -1,5 +1,6 @@
 """Keyed state on streams: totals that expire, top ads that are kept up, versions that go."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import rows
@@ -7,7 +8,7 @@ from tests.test_ads import ALL, IDLE, Feed, click, finish, static
 from visitlens.operators import ads
 from visitlens.sinks import upsert as up
 from visitlens.streaming import ad_realtime as rt
-from visitlens.streaming.keyed_state import IDLE_SCHEMA
+from visitlens.streaming.keyed_state import DEFAULT_STORE, IDLE_SCHEMA, STORE
 
 ONE = {"trigger": ALL, "state_partitions": 1}
 
@@ -116,3 +117,21 @@ def test_chained_windows_update_less_state(spark, tmp_path):
 def test_user_windows_in_panes(spark):
     clicks = static(spark, [click(37 * i, user=i % 3) for i in range(60)])
     assert rows(ads.user_click_windows(clicks, threshold=2, panes=True)) == rows(ads.user_click_windows(clicks, threshold=2))
+
+
+@pytest.fixture
+def plain(spark):
+    """The session with Spark's default state store, as one that the library did not build."""
+    before = spark.conf.get(STORE)
+    spark.conf.set(STORE, DEFAULT_STORE)
+    yield spark
+    assert spark.conf.get(STORE) == DEFAULT_STORE
+    spark.conf.set(STORE, before)
+
+
+def test_idle_totals_in_a_plain_session(plain, tmp_path):
+    feed = Feed(tmp_path / "feed")
+    for part in (IDLE[:4], [*IDLE[4:], click(3 * 3600, ad=2)]):
+        feed.write(part)
+        finish(rt.start_idle_totals(feed.clicks(plain), str(tmp_path / "out"), str(tmp_path / "cp"), **ONE))
+    assert totals(plain, str(tmp_path / "out")) == EXPECTED
