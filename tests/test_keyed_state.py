@@ -135,3 +135,11 @@ def test_idle_totals_in_a_plain_session(plain, tmp_path):
         feed.write(part)
         finish(rt.start_idle_totals(feed.clicks(plain), str(tmp_path / "out"), str(tmp_path / "cp"), **ONE))
     assert totals(plain, str(tmp_path / "out")) == EXPECTED
+
+
+def test_top_ads_in_a_plain_session(plain, tmp_path):
+    feed, tables, clicks = Feed(tmp_path / "feed"), rt.AdTables(str(tmp_path / "out")), [click(i, ad=i % 3) for i in range(8)]
+    for part in (clicks[:5], clicks[5:]):
+        feed.write(part)
+        finish(rt.start_top_ads(feed.clicks(plain), tables, str(tmp_path / "cp"), **ONE))
+    assert rows(rt.read_top_ads(plain, tables)) == rows(ads.province_top_ads(ads.ad_daily_counts(static(plain, clicks)), 5))
