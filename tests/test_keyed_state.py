@@ -1,8 +1,11 @@
 """Keyed state on streams: totals that expire, top ads that are kept up, versions that go."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from checks.compare import differences
 from tests.helpers import rows
 from tests.test_ads import ALL, IDLE, Feed, click, finish, static
 from visitlens.operators import ads
@@ -10,6 +13,7 @@ from visitlens.sinks import upsert as up
 from visitlens.streaming import ad_realtime as rt
 from visitlens.streaming.keyed_state import DEFAULT_STORE, IDLE_SCHEMA, STORE
 
+SF_DIR = "/root/testdata/sf0.001"
 ONE = {"trigger": ALL, "state_partitions": 1}
 
 
@@ -143,3 +147,9 @@ def test_top_ads_in_a_plain_session(plain, tmp_path):
         feed.write(part)
         finish(rt.start_top_ads(feed.clicks(plain), tables, str(tmp_path / "cp"), **ONE))
     assert rows(rt.read_top_ads(plain, tables)) == rows(ads.province_top_ads(ads.ad_daily_counts(static(plain, clicks)), 5))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
+@pytest.mark.parametrize("name", ["job_ad_realtime"])
+def test_query_in_a_plain_session(plain, name):
+    assert differences(plain, SF_DIR, name) is None
