@@ -150,6 +150,6 @@ def test_top_ads_in_a_plain_session(plain, tmp_path):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
-@pytest.mark.parametrize("name", ["job_ad_realtime"])
+@pytest.mark.parametrize("name", ["job_ad_realtime", "stream_result_tables"])
 def test_query_in_a_plain_session(plain, name):
     assert differences(plain, SF_DIR, name) is None
