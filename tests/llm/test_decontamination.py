@@ -165,3 +165,22 @@ def test_odd_tables(spark):
     assert [r["doc_id"] for r in dc.find_leaks(alone, benchmark).collect()] == [1]
     none = spark.createDataFrame([(1, None), (2, "...")], "item_id long, text string")
     assert dc.find_leaks(odd, none).count() == 0
+
+
+def test_latent_directions_of_many_passages(spark, monkeypatch):
+    """However many passages are multiplied at once, the directions give the matrix of all passages back."""
+    draw = np.random.default_rng(3)
+    texts = [draw.integers(0, 40, size=n).astype("<u2") for n in (0, 1, 64, 65, 700, 0, 2000)]
+    weights = np.concatenate([[0], draw.uniform(0.5, 2, 39)])
+    texts_df = spark.createDataFrame([(bytearray(t.tobytes()),) for t in texts], "terms binary")
+    _, passage, term, count = dc.passage_counts(texts, 39)
+    full = np.zeros((passage.max() + 1, 40))
+    full[passage, term] = count * weights[term]
+    norms = np.linalg.norm(full, axis=1, keepdims=True)
+    full = np.divide(full, norms, out=np.zeros_like(full), where=norms > 0)
+    for at_once in (1, 7, 256):
+        monkeypatch.setattr(dc, "PASSAGES", at_once)
+        # Columns are directions by singular values: of norm 1 / value.
+        got = dc.latent_directions(texts_df, weights, "<u2", directions=39) / np.where(weights, weights, 1)[:, None]
+        again = got / np.linalg.norm(got, axis=0) ** 2
+        assert np.allclose(again @ again.T, full.T @ full, atol=1e-4)

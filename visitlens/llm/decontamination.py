@@ -51,6 +51,7 @@ _SCALE = np.uint64(0x9E3779B97F4A7C15)
 BLOCK_CHARS = 2_000_000
 ROWS = 256
 PIECE_WORDS = 1 << 15  # words compared at once
+PASSAGES = 256  # passages multiplied at once
 FOUND = ("item_id long, first_word int, n_words int, cosine double, common int, cover double, answer_cover double")
 
 
@@ -122,12 +123,6 @@ def passage_counts(texts: list[np.ndarray], n_terms: int) -> tuple[int, np.ndarr
     return int(passages.sum()), keys // (n_terms + 1), keys % (n_terms + 1), counts
 
 
-def _sum_by(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct sorted keys and the sum of the rows of each."""
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[starts], np.add.reduceat(rows, starts, axis=0)
-
-
 def inverse_frequencies(texts: DataFrame, n_terms: int, width: str) -> np.ndarray:
     """FLOOR + log((1 + passages) / (1 + passages with the term)) by term number; 0 for number 0."""
 
@@ -164,13 +159,15 @@ def latent_directions(texts: DataFrame, weights: np.ndarray, width: str, directi
             passage, term, value = passage[used], term[used], value[used]
             if not len(term):
                 continue
-            places, squares = _sum_by(passage, value ** 2)
-            number = np.searchsorted(places, passage)
-            value = (value / np.sqrt(squares)[number]).astype(np.float32)
-            _, sketch = _sum_by(passage, probe[term] * value[:, None])
-            order = np.argsort(term, kind="stable")
-            terms, back = _sum_by(term[order], sketch[number[order]] * value[order, None])
-            total[terms] += back
+            _, starts, number = np.unique(passage, return_index=True, return_inverse=True)
+            value = (value / np.sqrt(np.add.reduceat(value ** 2, starts))[number]).astype(np.float32)
+            # A few passages at a time as a matrix over their own terms, which stays in the processor's cache.
+            for first, begin in zip(range(0, len(starts), PASSAGES), starts[::PASSAGES]):
+                mine = slice(begin, starts[first + PASSAGES] if first + PASSAGES < len(starts) else None)
+                terms, column = np.unique(term[mine], return_inverse=True)
+                weighed = np.zeros((min(PASSAGES, len(starts) - first), len(terms)), dtype=np.float32)
+                weighed[number[mine] - first, column] = value[mine]
+                total[terms] += weighed.T @ (weighed @ probe[terms])
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
 
     total = summed(texts.select("terms").mapInArrow(run, "part binary"))
@@ -236,8 +233,9 @@ def candidates(texts: list[np.ndarray], coordinates: np.ndarray, scales: dict[in
         padded[np.arange(lengths.sum()) + np.repeat(shift, lengths)] = np.concatenate(parts)
         padded = padded.reshape(-1, unit)
         total = coordinates[padded[:, 0]]
+        buffer = np.empty_like(total)
         for k in range(1, unit):
-            total += coordinates[padded[:, k]]
+            total += np.take(coordinates, padded[:, k], axis=0, out=buffer, mode="clip")
         sums = np.zeros((ends[-1] + 1, coordinates.shape[1]))
         np.cumsum(total, axis=0, out=sums[1:])
         whole = np.array([-(-len(texts[number]) // unit) for number, _ in group])  # segments of the whole text
@@ -250,11 +248,14 @@ def candidates(texts: list[np.ndarray], coordinates: np.ndarray, scales: dict[in
             piece = np.repeat(np.arange(len(group)), count)
             first = (np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count)) * hop
             last = np.minimum(first + span, segments[piece])
-            cosines = _unit((sums[begins[piece] + last] - sums[begins[piece] + first]).astype(np.float32)) @ items.T
-            at, item = np.nonzero(cosines >= least)
+            mine = (sums[begins[piece] + last] - sums[begins[piece] + first]).astype(np.float32)
+            norms = np.sqrt(np.einsum("ij,ij->i", mine, mine))
+            norms[norms == 0] = 1
+            products = mine @ items.T  # the items are unit vectors
+            at, item = np.nonzero(products >= least * norms[:, None])
             offset = np.array([f for _, f in group])[piece[at]]
             hits[window].append((np.array([t for t, _ in group])[piece[at]], offset + first[at] * unit,
-                                 offset + last[at] * unit, numbers[item], cosines[at, item]))
+                                 offset + last[at] * unit, numbers[item], products[at, item] / norms[at]))
     for window, parts in hits.items():
         for part in parts:
             for number, first, last, item, cosine in zip(*(column.tolist() for column in part)):
@@ -279,9 +280,10 @@ class Seeds:
 def _runs(words: np.ndarray, length: int) -> np.ndarray:
     """A hash for each run of so many words."""
     n = max(0, len(words) - length + 1)
-    sums = np.zeros(n, dtype=np.uint64)
+    sums, wide = np.zeros(n, dtype=np.uint64), words.astype(np.uint64)
     for k in range(length):
-        sums = (sums + words[k:k + n].astype(np.uint64)) * _SCALE
+        sums += wide[k:k + n]
+        sums *= _SCALE
     return sums
 
 
