@@ -149,6 +149,20 @@ def test_top_ads_in_a_plain_session(plain, tmp_path):
     assert rows(rt.read_top_ads(plain, tables)) == rows(ads.province_top_ads(ads.ad_daily_counts(static(plain, clicks)), 5))
 
 
+def test_all_state_of_the_job_leaves_the_heap_in_a_plain_session(plain, tmp_path):
+    """Windows per user are several rows a click, too many for the heap that Spark's default store keeps them in."""
+    feed, tables = Feed(tmp_path / "feed"), rt.AdTables(str(tmp_path / "out"))
+    feed.write([click(i) for i in range(8)])
+    starts = {"detector": lambda at: rt.start_detector(feed.clicks(plain), tables, at, **ONE),
+              "totals": lambda at: rt.start_totals(feed.clicks(plain), tables, at, top=None, **ONE),
+              "windows": lambda at: rt.start_windows(feed.clicks(plain), tables, at, **ONE)}
+    for name, start in starts.items():
+        query = start(str(tmp_path / name))
+        finish(query)
+        states = [s for p in query.recentProgress for s in p.stateOperators]
+        assert states and all("rocksdbPutCount" in s.customMetrics for s in states), name
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 @pytest.mark.parametrize("name", ["job_ad_realtime", "stream_result_tables"])
 def test_query_in_a_plain_session(plain, name):
