@@ -5,6 +5,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from tests.llm.helpers import documents, prose
@@ -167,3 +168,10 @@ def test_names_with_dots_and_no_passing_text(spark):
 def test_empty_table(spark):
     assert f.judge(documents(spark, [])).count() == 0
     assert f.clean_documents(documents(spark, [])).count() == 0
+
+
+def test_words_keep_packed_ids():
+    """Ids wait in the cache as four bytes each, not as lists of numbers."""
+    tokens = f.WordTokens(f.VOCABULARY)
+    for word in ("training", "данные", "\U0001f600x"):
+        assert np.frombuffer(tokens[word.encode()], dtype=np.int32).tolist() == tokens.model.encode(word)

@@ -178,3 +178,19 @@ def test_members_of_large_buckets_are_dealt_by_salt(spark, monkeypatch):
     large = nd._salted(nd.slice_counts(members.filter("large")))
     counted = nd._with_slices(members, slices, large).collect()
     assert sorted((r["rep"], r["slices"]) for r in counted) == [*((i, 10) for i in range(40)), (200, 1), (201, 1)]
+
+
+def test_wide_rows_reach_python_in_small_batches(spark):
+    """Texts and full sets go to Python a few hundred rows at a time, whatever the session says; its setting stays."""
+    from visitlens.llm.common import saved_in_small_batches
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    rows = spark.range(5_000, numPartitions=1).mapInArrow(sizes, "n long")
+    found = [r.n for r in saved_in_small_batches(rows, "sizes", 512).collect()]
+    assert sum(found) == 5_000 and max(found) <= 512
+    assert spark.conf.get(name) == before

@@ -26,6 +26,18 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return write_shared(df, label)[0]
 
 
+def saved_in_small_batches(df: DataFrame, label: str, rows: int = 512) -> DataFrame:
+    """``saved`` for wide rows (texts, sets) that pass to Python: ``rows`` of them at a time, and not Spark's 10,000,
+    of which a batch of two columns takes over 100 MB outside the heap, and as much in Python, for each task."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, str(rows))
+    try:
+        return saved(df, label)
+    finally:
+        conf.set(name, before)
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit values (the finaliser of splitmix64)."""
     x = values.astype(np.uint64, copy=True)

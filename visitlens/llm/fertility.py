@@ -23,7 +23,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +57,7 @@ ACCURACY = 10_000
 
 
 class WordTokens(dict):
-    """Token ids by word (bytes), computed when first asked for."""
+    """Token ids by word (bytes), packed as int32, computed when first asked for."""
 
     def __init__(self, vocabulary: str, limit: int = CACHE_WORDS):
         import sentencepiece
@@ -69,10 +68,10 @@ class WordTokens(dict):
         n = self.model.get_piece_size()
         self.is_byte = np.array([self.model.is_byte(i) for i in range(n)])
 
-    def __missing__(self, word: bytes) -> list[int]:
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.limit:
             self.clear()
-        ids = self.model.encode(word.decode("utf-8", "replace"))
+        ids = np.array(self.model.encode(word.decode("utf-8", "replace")), dtype=np.int32).tobytes()
         if len(word) <= 64:
             self[word] = ids
         return ids
@@ -118,7 +117,7 @@ def measure(text: str, tokens: WordTokens) -> tuple:
     data = text.encode("utf-8", "surrogatepass")
     words = data.split()  # exactly the blanks above
     lines = [line for line in text.split("\n") if line.strip(BLANKS)]
-    ids = np.fromiter(chain.from_iterable(map(tokens.__getitem__, words)), dtype=np.int64)
+    ids = np.frombuffer(b"".join(map(tokens.__getitem__, words)), dtype=np.int32)
     chars = len(text) - sum(text.count(c) for c in BLANKS)
     if len(ids):
         counts = np.bincount(ids, minlength=len(tokens.is_byte))

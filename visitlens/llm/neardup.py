@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import mixed, saved
+from visitlens.llm.common import mixed, saved, saved_in_small_batches
 from visitlens.llm.components import components
 
 WORDS = 5
@@ -141,12 +141,15 @@ def _sets(ids: DataFrame, documents: DataFrame) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t or "").tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["id", "shingles"])
+            for start in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(start, TEXTS)
+                sets = [shingles(t or "").tobytes() for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], ["id", "shingles"])
 
     # A stored table has a measured size, by which Spark chooses to broadcast it or to shuffle.
     few = saved(ids.distinct(), "near-ids")
-    return saved(documents.join(few, "doc_id", "left_semi").mapInArrow(build, "id long, shingles binary"), "near-sets")
+    return saved_in_small_batches(
+        documents.join(few, "doc_id", "left_semi").mapInArrow(build, "id long, shingles binary"), "near-sets")
 
 
 def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -168,7 +171,7 @@ def _verified(pairs: DataFrame, documents: DataFrame, percent: int) -> DataFrame
 
     joined = (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
               .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b"))
-    return saved(joined.select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "near-links")
+    return saved_in_small_batches(joined.select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "near-links")
 
 
 def _open_pairs(table: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -284,14 +287,14 @@ def _across_components(members: DataFrame, classes: DataFrame, labels: DataFrame
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
     full = left.join(sets.withColumnRenamed("id", "rep"), "rep")
-    return saved(full.groupBy(*groups).applyInArrow(link, "a long, b long").distinct(), "near-links")
+    return saved_in_small_batches(full.groupBy(*groups).applyInArrow(link, "a long, b long").distinct(), "near-links")
 
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept, a row per document row."""
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = saved(with_signatures(rows), "signatures")
+    signed = saved_in_small_batches(with_signatures(rows), "signatures")
     named = signed.filter("doc_id IS NOT NULL AND n > 0")
     classes = saved(named.groupBy("cls").agg(
         F.min(F.struct("doc_id", "n", "bands", "signature")).alias("s")).select(
