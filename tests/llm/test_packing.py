@@ -146,3 +146,16 @@ def test_no_documents_no_files(spark):
 def test_positions_begin_again_at_segments_and_padding():
     assert np.frombuffer(packing.positions_of(np.array([0, 3, 4]), 7, "<u2"), "<u2").tolist() == [0, 1, 2, 0, 0, 1, 2]
     assert packing._resets([0, 3, 4], 7) == [0, 3, 4] and packing._resets([0, 3, 7], 7) == [0, 3]
+
+
+def test_encoder_keeps_nothing_between_texts():
+    """Texts of new words cost no more memory than texts of old ones: nothing is kept by word."""
+    import tracemalloc
+
+    encoder = packing.Encoder()
+    tracemalloc.start()
+    for i in range(20_000):
+        encoder.ids(f"w{i:x}q {i * i:x}")
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 100_000

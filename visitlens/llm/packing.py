@@ -21,7 +21,6 @@ null; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import math
-import re
 import uuid
 from collections.abc import Iterator
 
@@ -39,42 +38,28 @@ LENGTH = 2_048
 BUCKET_BYTES = 4 << 20
 FILE_BYTES = 16 << 20  # of text in the files of one packing task; larger for large corpora, as memory allows
 ROW_BYTES = 256  # what a document costs beside its text
-CACHE_WORDS = 200_000
 ROWS = 256
 READ_ROWS = 1_000
 FILES_A_TASK = 4  # read by one task
 # How the vocabulary splits text before it merges bytes (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_BLANK = "\t-\r \x85\xa0  -     　"
-# Coarser than SPLIT and cut only where SPLIT cuts, whatever stands around: a run without blanks and the
-# one blank before it, or blanks.
-STRETCH = re.compile(f" ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
 
 
-class Encoder(dict):
-    """Packed ids by stretch of text, computed when first asked for; forgets all at ``CACHE_WORDS``."""
+class Encoder:
+    """Packed ids of texts. Whole texts go to the library: a cache of stretches in Python costs more than it saves."""
 
     def __init__(self, vocabulary: str = VOCABULARY):
         import base64
 
         import tiktoken
 
-        super().__init__()
         with open(vocabulary, "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self.encoding = tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
         self.dtype = id_type(max(ranks.values()))
 
-    def __missing__(self, stretch: str) -> bytes:
-        ids = np.array(self.encoding.encode_ordinary(stretch), dtype=self.dtype).tobytes()
-        if len(stretch) <= 32:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[stretch] = ids
-        return ids
-
     def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, STRETCH.findall(text)))
+        return np.array(self.encoding.encode_ordinary(text), dtype=self.dtype).tobytes()
 
 
 def id_type(largest: int) -> str:
