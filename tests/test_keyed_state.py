@@ -1,8 +1,11 @@
 """Keyed state on streams: totals that expire, top ads that are kept up, versions that go."""
 
 import os
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from checks.compare import differences
@@ -11,7 +14,7 @@ from tests.test_ads import ALL, IDLE, Feed, click, finish, static
 from visitlens.operators import ads
 from visitlens.sinks import upsert as up
 from visitlens.streaming import ad_realtime as rt
-from visitlens.streaming.keyed_state import DEFAULT_STORE, IDLE_SCHEMA, STORE
+from visitlens.streaming.keyed_state import DEFAULT_STORE, IDLE_SCHEMA, STORE, IdleTotals, ProvinceTop, SliceCounts
 
 SF_DIR = "/root/testdata/sf0.001"
 ONE = {"trigger": ALL, "state_partitions": 1}
@@ -163,6 +166,21 @@ def test_all_state_of_the_job_leaves_the_heap_in_a_plain_session(plain, tmp_path
         assert states and all("rocksdbPutCount" in s.customMetrics for s in states), name
 
 
+LOAD = """
+import importlib.util, pickle, sys
+assert importlib.util.find_spec("visitlens") is None
+print(*(type(p).__name__ for p in pickle.load(sys.stdin.buffer)))
+"""
+
+
+def test_processors_load_where_the_library_is_missing(tmp_path):
+    """The worker that Spark starts beside the driver gets none of the session's Python files."""
+    sent = cloudpickle.dumps([IdleTotals(30, 12), SliceCounts(5), ProvinceTop(5)])
+    plain_path = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    loaded = subprocess.run([sys.executable, "-c", LOAD], input=sent, cwd=tmp_path, env=plain_path, capture_output=True)
+    assert loaded.stdout.split() == [b"IdleTotals", b"SliceCounts", b"ProvinceTop"], loaded.stderr.decode()
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 @pytest.mark.parametrize("name", ["job_ad_realtime", "stream_result_tables"])
 def test_query_in_a_plain_session(plain, name):
